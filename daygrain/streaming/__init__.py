@@ -1,0 +1 @@
+"""No streaming operator: every input of these analyses is a finished batch file."""
