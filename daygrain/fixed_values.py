@@ -141,15 +141,6 @@ RIDERSHIP_COLUMNS = {
     "Bridges and Tunnels: Total Traffic": "brdg_tun",
     "Staten Island Railway: Total Estimated Ridership": "sttn_rw",
 }
-RIDERSHIP_DROPPED_COLUMNS = [
-    "Subways: % of Comparable Pre-Pandemic Day",
-    "Buses: % of Comparable Pre-Pandemic Day",
-    "LIRR: % of Comparable Pre-Pandemic Day",
-    "Metro-North: % of Comparable Pre-Pandemic Day",
-    "Access-A-Ride: % of Comparable Pre-Pandemic Day",
-    "Bridges and Tunnels: % of Comparable Pre-Pandemic Day",
-    "Staten Island Railway: % of Comparable Pre-Pandemic Day",
-]
 
 # --- fixed values: which measures each report uses ---------------------------------
 CASUALTIES = ["ppl_i", "ppl_k", "ped_i", "ped_k", "cyc_i", "cyc_k", "mot_i", "mot_k"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from daygrain.sources.readers import read_csv, read_table
 
@@ -22,14 +23,20 @@ def write_table(
 
     ``single_file`` sends all rows through one task, so it is meant for day-grain
     tables. Without it the files are written in parallel, and ``order_by`` sorts
-    across them.
+    across them. With ``partition_by`` rows are first brought together by folder,
+    so that tasks do not each leave a small file in every folder; a crowded
+    folder is split over several tasks, and ``order_by`` sorts within a file.
     """
+    order = list(order_by or [])
     if single_file:
         df = df.repartition(1)
-        if order_by:
-            df = df.sortWithinPartitions(*order_by)
-    elif order_by:
-        df = df.orderBy(*order_by)
+    elif partition_by:
+        df = df.hint("rebalance", *map(F.col, partition_by))
+        order = [*partition_by, *order] if order else []
+    elif order:
+        df = df.orderBy(*order)
+    if order and (single_file or partition_by):
+        df = df.sortWithinPartitions(*order)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True)
