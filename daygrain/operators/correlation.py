@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 def corr_long(
     df: DataFrame, xs: Sequence[str], ys: Sequence[str], nulls: str = "drop"
 ) -> DataFrame:
-    """One row (x, y, r) per pair of columns, from a single aggregation.
+    """One row (x, y, r) per pair of columns.
 
     ``nulls="drop"`` leaves out, pair by pair, the rows where either side is
     unknown; ``"zero"`` counts an unknown value as 0. A constant side has no
     correlation: r is null.
+
+    Every row is repeated per pair and the pairs are grouped: one scan and one
+    shuffle of a few numbers per pair and task, in a plan whose size does not
+    depend on the number of pairs. A single aggregation with an expression per
+    pair has hundreds of buffers, too many for generated code.
     """
     if nulls not in ("drop", "zero"):
         raise ValueError(f"nulls must be 'drop' or 'zero', not {nulls!r}")
@@ -24,13 +29,16 @@ def corr_long(
         value = F.col(c).cast("double")
         return F.coalesce(value, F.lit(0.0)) if nulls == "zero" else value
 
-    pairs = [(x, y) for x in xs for y in ys]
-    one_row = df.agg(*[_r(number(x), number(y)).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r"))
-        for i, (x, y) in enumerate(pairs)
-    ]
-    return one_row.select(F.inline(F.array(*rows)))
+    def entries(cols: Sequence[str]) -> Column:
+        return F.array(
+            *[F.struct(F.lit(c).alias("name"), number(c).alias("value")) for c in cols]
+        )
+
+    sides = df.select(entries(xs).alias("xs"), entries(ys).alias("ys"))
+    pairs = sides.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    return pairs.groupBy(F.col("x.name").alias("x"), F.col("y.name").alias("y")).agg(
+        _r(F.col("x.value"), F.col("y.value")).alias("r")
+    )
 
 
 def corr_matrix(corr: DataFrame, ys: Sequence[str]) -> DataFrame:

@@ -9,10 +9,12 @@ from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.fixed_values import HOLDOUT_PARTS, TRAIN_PARTS
+from daygrain.session import scratch_folder
+from daygrain.sources import read_table, write_table
 
 REPORT_SCHEMA = (
     "label string, term string, coef double, t_value double, "
@@ -20,17 +22,22 @@ REPORT_SCHEMA = (
 )
 
 
-def split_by_day(
-    df: DataFrame, day: str = "date", train: int = TRAIN_PARTS, holdout: int = HOLDOUT_PARTS
-) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out rows by arithmetic on the day.
+def in_training(day: str, train: int = TRAIN_PARTS, holdout: int = HOLDOUT_PARTS) -> Column:
+    """Does the day belong to the training part? Decided by arithmetic on the day.
 
     The same day always falls on the same side, whatever the partitioning, so a
     task that runs again cannot move a row to the other side.
     """
     number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date")).cast("bigint")
-    in_train = F.pmod(number * 7919, F.lit(train + holdout)) < train
-    return df.filter(in_train), df.filter(~in_train)
+    return F.pmod(number * 7919, F.lit(train + holdout)) < train
+
+
+def split_by_day(
+    df: DataFrame, day: str = "date", train: int = TRAIN_PARTS, holdout: int = HOLDOUT_PARTS
+) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out rows, see :func:`in_training`."""
+    chosen = in_training(day, train, holdout)
+    return df.filter(chosen), df.filter(~chosen)
 
 
 def random_split(
@@ -62,9 +69,16 @@ def ols_report(
 
     One row per label and term, the intercept last: coefficient, t-value, R² in
     training, R² and root mean squared error on the held-out days. Runs the fits;
-    the rows are model size. The day table is kept for the fits and then released.
+    the rows are model size.
+
+    The columns the models need are first written to the shared scratch folder,
+    so that neither the fits nor a lost executor go back to the events. What is
+    read from there is kept in memory until the last fit.
     """
-    data = assemble(df, features).select(day, "features", *labels)
+    spark = df.sparkSession
+    needed = df.select(*dict.fromkeys([day, *features, *labels]))
+    path = write_table(needed, scratch_folder(spark, "model-days"))
+    data = assemble(read_table(spark, path), features).select(day, "features", *labels)
     data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, holdout = split_by_day(data, day)
@@ -79,14 +93,17 @@ def ols_report(
                 )
     finally:
         data.unpersist()
-    return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def holdout_predictions(
     df: DataFrame, features: Sequence[str], label: str, day: str = "date"
 ) -> DataFrame:
-    """Label and prediction for every held-out day; runs the fit."""
-    train, holdout = split_by_day(assemble(df, features), day)
+    """Label and prediction for every held-out day; runs the fit on a written copy of the days."""
+    spark = df.sparkSession
+    needed = df.select(*dict.fromkeys([day, *features, label]))
+    path = write_table(needed, scratch_folder(spark, "model-days"))
+    train, holdout = split_by_day(assemble(read_table(spark, path), features), day)
     return fit_ols(train, label).transform(holdout).select(day, label, "prediction")
 
 

@@ -9,9 +9,9 @@ from daygrain.operators import (
     corr_long,
     corr_matrix,
     holdout_predictions,
+    in_training,
     ols_report,
     random_split,
-    split_by_day,
 )
 from daygrain.queries.registry import query
 from daygrain.queries.standins import DAY_TABLES_SQL, XS, YS, features
@@ -65,11 +65,8 @@ SELECT CASE WHEN in_train THEN 'train' ELSE 'holdout' END AS part, count(*) AS d
        CAST(sum(crash) AS BIGINT) AS crash
 FROM model GROUP BY 1""")
 def key_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, holdout = split_by_day(_model_table(spark, sf_dir).select("date", "crash"))
-    parts = train.select(F.lit("train").alias("part"), "crash").unionByName(
-        holdout.select(F.lit("holdout").alias("part"), "crash")
-    )
-    return parts.groupBy("part").agg(
+    part = F.when(in_training("date"), "train").otherwise("holdout")
+    return _model_table(spark, sf_dir).groupBy(part.alias("part")).agg(
         F.count(F.lit(1)).alias("days"), F.sum("crash").alias("crash")
     )
 
