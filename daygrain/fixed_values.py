@@ -29,7 +29,7 @@ STATION_NAMES = {
 }
 REPORT_HOURLY = "FM-15"
 REPORT_SPECIAL = "FM-16"
-REPORT_SUMMARY_OF_DAY = "SOD"  # padded with blanks in the files; compared trimmed
+REPORT_SUMMARY_OF_DAY = "SOD"  # padded with blanks in the files; trimmed when read
 
 # --- fixed values: trace precipitation ----------------------------------------
 TRACE_MARK = "T"

@@ -31,13 +31,10 @@ def describe_code(code: Column | str, descriptions: Mapping[str, str]) -> Column
 def tokens(text: Column | str, sep: str | None = " ") -> Column:
     """Array of tokens.
 
-    ``sep`` is taken literally and may leave empty tokens; ``None`` splits on
-    runs of white space and leaves none.
+    ``sep`` is taken literally; ``None`` splits on runs of white space. Either
+    may leave empty tokens, which are cheaper to filter once they are rows.
     """
-    c = _col(text)
-    if sep is None:
-        return F.filter(F.split(c, r"\s+"), lambda t: t != "")
-    return F.split(c, "\\Q" + sep + "\\E")
+    return F.split(_col(text), r"\s+" if sep is None else "\\Q" + sep + "\\E")
 
 
 def _lookup(c: Column, names: Mapping[str, str]) -> Column:

@@ -49,19 +49,18 @@ def code_day_grid(
     """Per code and day, 1 if a row of the day names the code as a word, else 0.
 
     The grid has every code and every day. A code outside the list appears only
-    on the days that name it.
+    on the days that name it. The zeros are rows like the readings, so the grid
+    is filled by the one aggregation and needs no join.
     """
     kept = df.filter(days_between(ts, first, last) & F.col(text).isNotNull())
     if where is not None:
         kept = kept.filter(where)
-    hits = (
-        kept.select(F.explode(tokens(text, None)).alias("code"), day_of(ts).alias("date"))
-        .distinct()
-        .withColumn("hit", F.lit(1))
-    )
-    grid = day_spine(df.sparkSession, first, last).select(
-        F.explode(F.array(*map(F.lit, codes))).alias("code"), "date"
-    )
-    return grid.join(hits, ["code", "date"], "full").select(
-        "code", "date", F.coalesce("hit", F.lit(0)).alias("present")
+    hits = kept.select(
+        F.explode(tokens(text, None)).alias("code"),
+        day_of(ts).alias("date"),
+        F.lit(1).alias("present"),
+    ).filter(F.col("code") != "")
+    empty = day_spine(df.sparkSession, first, last).select(
+        F.explode(F.array(*map(F.lit, codes))).alias("code"), "date", F.lit(0).alias("present")
     )
+    return empty.unionByName(hits).groupBy("code", "date").agg(F.max("present").alias("present"))

@@ -39,15 +39,16 @@ def top_k_with_others(
 ) -> DataFrame:
     """Counts of the k most frequent values over the columns, and one row for all the rest.
 
-    The counts are needed by both parts; Spark shuffles them once and reads that
-    shuffle twice. Only the k rows of the first part are sent to every task.
+    The rest is the total less the top k, so the counts take part only as they
+    are: Spark reads the table once, shuffles the counts once and uses that
+    shuffle for each part. The number of distinct values does not matter.
     """
     values = stack_columns(df, cols).filter(F.col("value").isNotNull())
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias(count))
     top = top_k(counts, count, k, "value")
-    rest = counts.join(top.select("value"), "value", "left_anti").agg(
-        F.coalesce(F.sum(count), F.lit(0)).alias(count)
-    )
+    total = counts.agg(F.sum(count).alias(count))
+    less = top.select((-F.col(count)).alias(count))
+    rest = total.unionByName(less).agg(F.coalesce(F.sum(count), F.lit(0)).alias(count))
     return top.unionByName(rest.select(F.lit(others).alias("value"), count))
 
 

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.fixed_values import HOLDOUT_PARTS, TRAIN_PARTS
-from daygrain.session import scratch_folder
-from daygrain.sources import read_table, write_table
+from daygrain.sources import written
 
 REPORT_SCHEMA = (
     "label string, term string, coef double, t_value double, "
@@ -43,7 +42,10 @@ def split_by_day(
 def random_split(
     df: DataFrame, seed: int, train: int = TRAIN_PARTS, holdout: int = HOLDOUT_PARTS
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out rows at random, repeatable for one seed and partitioning."""
+    """Training and held-out rows at random, repeatable for one seed and partitioning.
+
+    Each side reads the frame on its own: give it one from :func:`daygrain.sources.written`.
+    """
     first, second = df.randomSplit([float(train), float(holdout)], seed)
     return first, second
 
@@ -75,10 +77,8 @@ def ols_report(
     so that neither the fits nor a lost executor go back to the events. What is
     read from there is kept in memory until the last fit.
     """
-    spark = df.sparkSession
-    needed = df.select(*dict.fromkeys([day, *features, *labels]))
-    path = write_table(needed, scratch_folder(spark, "model-days"))
-    data = assemble(read_table(spark, path), features).select(day, "features", *labels)
+    days = written(df.select(*dict.fromkeys([day, *features, *labels])), "model-days")
+    data = assemble(days, features).select(day, "features", *labels)
     data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, holdout = split_by_day(data, day)
@@ -93,17 +93,15 @@ def ols_report(
                 )
     finally:
         data.unpersist()
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def holdout_predictions(
     df: DataFrame, features: Sequence[str], label: str, day: str = "date"
 ) -> DataFrame:
     """Label and prediction for every held-out day; runs the fit on a written copy of the days."""
-    spark = df.sparkSession
-    needed = df.select(*dict.fromkeys([day, *features, label]))
-    path = write_table(needed, scratch_folder(spark, "model-days"))
-    train, holdout = split_by_day(assemble(read_table(spark, path), features), day)
+    days = written(df.select(*dict.fromkeys([day, *features, label])), "model-days")
+    train, holdout = split_by_day(assemble(days, features), day)
     return fit_ols(train, label).transform(holdout).select(day, label, "prediction")
 
 

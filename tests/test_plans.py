@@ -144,7 +144,7 @@ def test_codes(reports):
 
 
 def test_report_counts(reports):
-    assert dict(rows(weather.report_counts(reports))) == {"FM-15": 9, "SOD  ": 4, "FM-16": 1}
+    assert dict(rows(weather.report_counts(reports))) == {"FM-15": 9, "SOD": 4, "FM-16": 1}
 
 
 def test_clean_hourly_and_series(reports):
