@@ -37,8 +37,8 @@ def parse_timestamp(text: Column | str, pattern: str) -> Column:
     zone with summer time neither shifts nor merges readings.
     """
     instant = F.try_to_timestamp(F.concat(_col(text), F.lit("Z")), F.lit(pattern + "X"))
-    seconds = (F.unix_micros(instant) / 1000000).cast("decimal(18,6)")
-    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def days_between(ts: Column | str, first: dt.date | str, last: dt.date | str) -> Column:

@@ -33,6 +33,7 @@ from daygrain.operators.regression import (
 )
 from daygrain.operators.selections import (
     date_range,
+    labelled_parts,
     measure_bounds,
     month_series,
     split_by_value,
@@ -45,7 +46,7 @@ __all__ = [
     "assemble", "by_season", "by_weekday", "code_day_grid", "complete_domain", "corr_long",
     "corr_matrix", "count_flags", "counts_by_hour", "counts_join_sums", "daily_counts_and_sums",
     "daily_flags", "daily_min_max_avg", "daily_sums_by_group", "date_range", "day_spine",
-    "fit_ols", "holdout_predictions", "impact_by_condition", "in_training", "join_on", "literal_domain",
+    "fit_ols", "holdout_predictions", "impact_by_condition", "in_training", "join_on", "labelled_parts", "literal_domain",
     "mean_daily_by_month", "mean_of_groups", "mean_std", "mean_std_by_flag", "measure_bounds",
     "month_series", "monthly_means", "ols_report", "random_split", "split_by_day",
     "split_by_value", "stack_columns", "station_series", "token_vocabulary", "top_k",

@@ -16,6 +16,7 @@ from daygrain.functions import (
 )
 from daygrain.operators import (
     date_range,
+    labelled_parts,
     measure_bounds,
     month_series,
     split_by_value,
@@ -30,24 +31,35 @@ from daygrain.queries.standins import table
 USER = {"station": "user_id"}
 
 
+REPORTS = {"view": "hourly", "click": "special", "purchase": "summary"}
+
+
 @query("""
-SELECT 'hourly' AS report, event_id, ts, value FROM events WHERE trim(event_type) = 'view'
+SELECT 'hourly' AS report, event_id, ts, value FROM events WHERE event_type = 'view'
 UNION ALL
-SELECT 'special', event_id, ts, value FROM events WHERE trim(event_type) = 'click'
+SELECT 'special', event_id, ts, value FROM events WHERE event_type = 'click'
 UNION ALL
-SELECT 'summary', event_id, ts, value FROM events WHERE trim(event_type) = 'purchase'
+SELECT 'summary', event_id, ts, value FROM events WHERE event_type = 'purchase'
 """)
 def report_type_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keep = ["event_id", "ts", "value"]
+    parts = labelled_parts(table(spark, sf_dir, "events"), "event_type", REPORTS, "report")
+    return parts.select("report", "event_id", "ts", "value")
+
+
+@query("SELECT event_id, ts, props FROM events WHERE event_type = 'purchase'")
+def summary_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of three frames, each with its own columns."""
+    hourly = ["event_id", "ts", "value"]
     parts = split_by_value(
         table(spark, sf_dir, "events"),
         "event_type",
-        {"hourly": ("view", keep), "special": ("click", keep), "summary": ("purchase", keep)},
-    )
-    hourly, special, summary = (
-        df.select(F.lit(name).alias("report"), *keep) for name, df in parts.items()
+        {
+            "hourly": ("view", hourly),
+            "special": ("click", hourly),
+            "summary": ("purchase", ["event_id", "ts", "props"]),
+        },
     )
-    return hourly.unionByName(special).unionByName(summary)
+    return parts["summary"]
 
 
 @query("""

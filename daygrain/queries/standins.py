@@ -86,7 +86,10 @@ def ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def four_way(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four day tables joined one after the other."""
+    """The four day tables joined one after the other, as when each comes from its own source.
+
+    Here three of them share a source; :func:`features` is the cheaper form then.
+    """
     return join_on([f(spark, sf_dir) for f in (weather_agg, weather_cond, collision_daily, ridership)])
 
 

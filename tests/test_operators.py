@@ -173,6 +173,31 @@ def test_series_are_sorted_and_selected(spark):
     assert rows(op.measure_bounds(df, "m")) == [(1.0, 5.0)]
 
 
+def test_labelled_parts_equal_the_split(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "kind string, v int")
+    parts = op.split_by_value(df, "kind", {"first": ("a", ["v"]), "second": ("b", ["v"])})
+    assert {k: rows(v) for k, v in parts.items()} == {"first": [(1,)], "second": [(2,)]}
+    labelled = op.labelled_parts(df, "kind", {"a": "first", "b": "second"}, "part")
+    assert rows(labelled.select("part", "v").orderBy("v")) == [("first", 1), ("second", 2)]
+
+
+def test_a_crowded_key_changes_no_result(spark):
+    """A third of all rows on one day, with one value: counts, sums and top-k stay whole."""
+    n = 60000
+    crowded = F.col("id") % 3 == 0
+    df = spark.range(0, n, 1, 16).select(
+        F.when(crowded, F.lit("2022-06-01").cast("date"))
+        .otherwise(F.date_add(F.lit("2022-01-01").cast("date"), (F.col("id") % 365).cast("int")))
+        .alias("d"),
+        F.when(crowded, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 5000)).alias("v"),
+    )
+    daily = op.daily_counts_and_sums(df, "d", [])
+    assert daily.agg(F.sum("n")).first()[0] == n and daily.count() == 365
+    top = rows(op.top_k_with_others(df, ["v"], 3))
+    assert top[0] == ("hot", n // 3) and sum(r[1] for r in top) == n
+    assert sum(r[2] for r in rows(op.by_weekday(df, "d"))) == n
+
+
 def test_labels(spark):
     df = spark.createDataFrame([(1, 2, 3)], "min_t int, metro_north int, crash int")
     assert op.with_labels(df).columns == ["min t", "metro-north", "crash"]
