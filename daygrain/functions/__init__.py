@@ -7,12 +7,14 @@ from daygrain.functions.calendar import (
     hour_of_text,
     month_name,
     month_of,
+    name_at,
     parse_date,
     parse_timestamp,
     season,
     season_of_month,
     week_bounds,
     weekday_name,
+    weekday_number,
     year_month,
 )
 from daygrain.functions.flags import any_of, flag_from_code, severity
@@ -21,7 +23,8 @@ from daygrain.functions.text import describe_code, normalise_text, recode, token
 
 __all__ = [
     "any_of", "coerce_number", "day_of", "days_between", "describe_code", "flag_from_code",
-    "hhmm_to_minutes", "hour_of_text", "month_name", "month_of", "normalise_text",
+    "hhmm_to_minutes", "hour_of_text", "month_name", "month_of", "name_at", "normalise_text",
     "parse_date", "parse_timestamp", "rate", "recode", "season", "season_of_month", "severity",
-    "share", "steady_round", "tokens", "total_of", "week_bounds", "weekday_name", "year_month",
+    "share", "steady_round", "tokens", "total_of", "week_bounds", "weekday_name",
+    "weekday_number", "year_month",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,23 +69,30 @@ def year_month(day: Column | str) -> Column:
     return F.date_format(_col(day), YEAR_MONTH_PATTERN)
 
 
+def name_at(position: Column | str, names: Sequence[str]) -> Column:
+    """The name at a position from 1; a lookup, which costs less per row than formatting."""
+    return F.element_at(F.array(*map(F.lit, names)), _col(position))
+
+
 def month_name(day: Column | str) -> Column:
-    """Full month name; a lookup, which costs less per row than formatting."""
-    return F.element_at(F.array(*map(F.lit, MONTHS)), F.month(_col(day)))
+    """Full month name."""
+    return name_at(month_of(day), MONTHS)
+
+
+def weekday_number(day: Column | str) -> Column:
+    """1 for Monday to 7 for Sunday."""
+    return F.weekday(_col(day)) + 1
 
 
 def weekday_name(day: Column | str) -> Column:
-    """Full weekday name; a lookup, which costs less per row than formatting."""
-    return F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.weekday(_col(day)) + 1)
+    """Full weekday name."""
+    return name_at(weekday_number(day), WEEKDAYS)
 
 
 def season_of_month(month: Column | str) -> Column:
-    m = _col(month)
-    out = None
-    for name, months in SEASON_MONTHS.items():
-        test = m.isin(months)
-        out = F.when(test, name) if out is None else out.when(test, name)
-    return out
+    """Season of a month number."""
+    names = {m: name for name, months in SEASON_MONTHS.items() for m in months}
+    return name_at(month, [names[m] for m in range(1, 13)])
 
 
 def season(day: Column | str) -> Column:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.fixed_values import SEASON_MONTHS, WEEKDAYS
-from daygrain.functions.calendar import hour_of_text, month_of, season, weekday_name
+from daygrain.functions.calendar import (
+    hour_of_text,
+    month_of,
+    name_at,
+    season_of_month,
+    weekday_number,
+)
 from daygrain.operators.days import daily_counts_and_sums
 from daygrain.operators.domains import complete_domain
 
@@ -19,12 +25,18 @@ def mean_daily_by_month(df: DataFrame, ts: str, name: str = "avg_daily") -> Data
 
 def by_weekday(df: DataFrame, ts: str, count: str = "n") -> DataFrame:
     """Rows per weekday, Monday first; null for a weekday without any."""
-    return _by_name(df, ts, weekday_name(ts), "weekday", WEEKDAYS, count)
+    counts = _counts(df, ts, weekday_number(ts), "__number", count)
+    named = counts.select(name_at("__number", WEEKDAYS).alias("weekday"), count)
+    return complete_domain(named, "weekday", WEEKDAYS)
 
 
 def by_season(df: DataFrame, ts: str, count: str = "n") -> DataFrame:
     """Rows per season, winter first; null for a season without any."""
-    return _by_name(df, ts, season(ts), "season", list(SEASON_MONTHS), count)
+    counts = _counts(df, ts, month_of(ts), "__month", count)
+    named = counts.groupBy(season_of_month("__month").alias("season")).agg(
+        F.sum(count).alias(count)
+    )
+    return complete_domain(named, "season", list(SEASON_MONTHS))
 
 
 def counts_by_hour(df: DataFrame, time_text: str, count: str = "n") -> DataFrame:
@@ -34,8 +46,10 @@ def counts_by_hour(df: DataFrame, time_text: str, count: str = "n") -> DataFrame
     per minute of the day, are parsed. Rows without a valid time are left out.
     """
     by_text = df.groupBy(time_text).agg(F.count(F.lit(1)).alias("__n"))
+    # Tied to the count, or the test for valid times would move below it and parse every row.
+    hour = F.when(F.col("__n") > 0, hour_of_text(time_text))
     return (
-        by_text.withColumn("hour", hour_of_text(time_text))
+        by_text.withColumn("hour", hour)
         .filter(F.col("hour").isNotNull())
         .groupBy("hour")
         .agg(F.sum("__n").alias(count))
@@ -43,11 +57,7 @@ def counts_by_hour(df: DataFrame, time_text: str, count: str = "n") -> DataFrame
     )
 
 
-def _by_name(df, ts, expression, name, order, count) -> DataFrame:
-    counts = (
-        df.filter(F.col(ts).isNotNull())
-        .groupBy(expression.alias(name))
-        .agg(F.count(F.lit(1)).alias(count))
-    )
-    return complete_domain(counts, name, order)
-
+def _counts(df: DataFrame, ts: str, number: Column, name: str, count: str) -> DataFrame:
+    # Numbers, not names, are grouped: names follow on the few rows that are left.
+    known = df.filter(F.col(ts).isNotNull())
+    return known.groupBy(number.alias(name)).agg(F.count(F.lit(1)).alias(count))

@@ -64,7 +64,7 @@ def wide_counts(
     rows = df.select(
         (F.col(key) if isinstance(key, str) else key).alias("__key"),
         (F.col(column) if isinstance(column, str) else column).alias("__value"),
-    ).dropna()
+    ).filter(F.col("__key").isNotNull() & F.col("__value").isNotNull())
     counts = [
         F.nullif(F.count_if(F.col("__value") == v), F.lit(0)).alias(label)
         for v, label in names.items()

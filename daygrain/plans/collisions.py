@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain import fixed_values as V
-from daygrain.functions import month_name, normalise_text, severity
+from daygrain.functions import month_of, name_at, normalise_text, severity
 from daygrain.operators import (
     by_season,
     by_weekday,
@@ -61,12 +61,13 @@ def severity_by_month(cleaned: DataFrame) -> DataFrame:
     """One row per month of the year, a column per severity class."""
     counts = wide_counts(
         cleaned,
-        month_name("crash_date"),
-        "month",
+        month_of("crash_date"),
+        "number",
         severity([F.col("ppl_i") > 0, F.col("ppl_k") > 0]),
         [V.SEVERE, V.NOT_SEVERE],
     )
-    return complete_domain(counts, "month", V.MONTHS)
+    named = counts.withColumn("month", name_at("number", V.MONTHS)).drop("number")
+    return complete_domain(named, "month", V.MONTHS)
 
 
 def per_day_and_borough(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.fixed_values import MONTHS, NOT_SEVERE, SEVERE
-from daygrain.functions import month_name, severity
+from daygrain.functions import month_of, name_at, severity
 from daygrain.operators import (
     by_season,
     by_weekday,
@@ -99,16 +99,19 @@ SELECT month, ord, dangerous, non_injury FROM domain LEFT JOIN counts USING (mon
 def monthly_severity_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = wide_counts(
         table(spark, sf_dir, "lineitem"),
-        month_name("l_shipdate"),
-        "month",
+        month_of("l_shipdate"),
+        "number",
         severity([F.col("l_quantity") > 45, F.col("l_discount") > 0.09]),
         {SEVERE: "dangerous", NOT_SEVERE: "non_injury"},
     )
-    return complete_domain(counts, "month", MONTHS)
+    named = counts.withColumn("month", name_at("number", MONTHS)).drop("number")
+    return complete_domain(named, "month", MONTHS)
 
 
 @query("SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n FROM events "
        "WHERE ts IS NOT NULL GROUP BY 1", name="counts_by_hour")
 def event_counts_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table(spark, sf_dir, "events").select(F.date_format("ts", "H:mm").alias("time"))
+    minutes = F.lpad(F.minute("ts").cast("string"), 2, "0")
+    time = F.concat(F.hour("ts").cast("string"), F.lit(":"), minutes)
+    texts = table(spark, sf_dir, "events").select(time.alias("time"))
     return counts_by_hour(texts, "time")

@@ -33,7 +33,7 @@ def _rounded(df: DataFrame, cols: list[str], places: int = 2) -> DataFrame:
 SELECT CAST(ts AS DATE) AS date, min(value) AS min_t, max(value) AS max_t,
        round(avg(value), 6) AS avg_t
 FROM events WHERE event_type = 'view' AND ts IS NOT NULL GROUP BY 1
-""")
+""", name="daily_min_max_avg")
 def daily_min_max_avg_of_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = F.col("event_type") == "view"
     daily = daily_min_max_avg(table(spark, sf_dir, "events"), "ts", "value", where=views)
@@ -53,7 +53,7 @@ FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1
 """
 
 
-@query(_DAILY_LINES_SQL)
+@query(_DAILY_LINES_SQL, name="daily_counts_and_sums")
 def daily_counts_and_sums_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = daily_counts_and_sums(table(spark, sf_dir, "lineitem"), "l_shipdate", LINE_SUMS)
     return _rounded(daily, ["l_discount_sum", "l_tax_sum"]).orderBy("date")
@@ -123,7 +123,7 @@ grid AS (
        generate_series(DATE '1996-01-01', DATE '1996-12-31', INTERVAL 1 DAY) AS s(d))
 SELECT code, date, CASE WHEN h.present THEN 1 ELSE 0 END AS present
 FROM grid FULL JOIN (SELECT *, TRUE AS present FROM hits) h USING (code, date)
-""")
+""", name="code_day_grid")
 def code_day_grid_of_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_day_grid(
         table(spark, sf_dir, "orders"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.session import scratch_folder
-from daygrain.sources.readers import read_csv, read_table
+from daygrain.sources.readers import read_csv, read_csv_text, read_table
 
 
 def write_table(
@@ -66,10 +66,12 @@ def write_to_all(df: DataFrame, paths: Sequence[str], fmt: str = "csv", **option
     first, *others = paths
     write_table(df, first, fmt, **options)
     spark = df.sparkSession
-    if fmt == "csv":
-        written = read_csv(spark, first, df.schema)
+    if fmt != "csv":
+        copy = read_table(spark, first, fmt)
+    elif options.get("order_by"):
+        copy = read_csv(spark, first, df.schema)
     else:
-        written = read_table(spark, first, fmt)
+        copy = read_csv_text(spark, first)
     for path in others:
-        write_table(written, path, fmt, **options)
+        write_table(copy, path, fmt, **options)
     return list(paths)

@@ -66,7 +66,7 @@ def test_four_day_tables_are_joined_in_place(spark, sf_dir, no_broadcast):
 
 
 def test_counts_and_sums_read_the_table_once(spark, sf_dir):
-    one = planned(QUERIES["daily_counts_and_sums_of_lines"](spark, sf_dir))
+    one = planned(QUERIES["daily_counts_and_sums"](spark, sf_dir))
     two = planned(QUERIES["daily_counts_join_sums"](spark, sf_dir))
     assert (count(one, "FileScan parquet"), count(two, "FileScan parquet")) == (1, 2)
 
@@ -89,12 +89,18 @@ def test_wide_counts_need_one_shuffle(spark, sf_dir):
 
 
 def test_code_grid_needs_no_join(spark, sf_dir):
-    plan = planned(QUERIES["code_day_grid_of_priorities"](spark, sf_dir))
+    plan = planned(QUERIES["code_day_grid"](spark, sf_dir))
     assert "Join" not in plan and count(plan, "Exchange") == 1
 
 
+def test_times_are_parsed_after_they_are_counted(spark, sf_dir):
+    plan = planned(QUERIES["counts_by_hour"](spark, sf_dir))
+    assert "gettimestamp" in plan
+    assert "gettimestamp" not in plan.split("Exchange hashpartitioning")[-1]
+
+
 def test_reductions_combine_before_the_shuffle(spark, sf_dir):
-    for name in ("daily_counts_and_sums_of_lines", "value_counts", "total_by_season", "top_days"):
+    for name in ("daily_counts_and_sums", "value_counts", "total_by_season", "top_days"):
         below = planned(QUERIES[name](spark, sf_dir)).split("Exchange hashpartitioning")[1]
         assert "partial_" in below
 
