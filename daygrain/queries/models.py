@@ -130,8 +130,8 @@ def _intercept(p: int) -> str:
     return f"m_{p} - (" + " + ".join(f"({_coef(i, p)}) * m_{i}" for i in range(p)) + ")"
 
 
-def _report_sql(features: list[str], labels: list[str]) -> str:
-    """The whole report of the models in SQL."""
+def report_sql(model: str, features: list[str], labels: list[str]) -> str:
+    """The whole report in SQL, on a table ``model`` that the given text defines."""
     p = len(features)
     ctes, selects = [], []
     sigma2 = f"(n * s_{p} * s_{p} * a_{p}_{p} / (n - {p} - 1))"
@@ -165,7 +165,7 @@ def _report_sql(features: list[str], labels: list[str]) -> str:
             f"SELECT '{label}' AS label, 'intercept' AS term, round({_intercept(p)}, 6) AS coef, "
             f"round({t}, 6) AS t_value, {tail}"
         )
-    return f"{_MODEL_SQL}, " + ",\n".join(ctes) + "\n" + _UNION.join(selects)
+    return f"{model}, " + ",\n".join(ctes) + "\n" + _UNION.join(selects)
 
 
 def _predictions_sql(features: list[str], label: str) -> str:
@@ -187,17 +187,17 @@ def _report(spark: SparkSession, sf_dir: str, features: list[str], labels: list[
     return report.withColumns({c: F.round(c, 6) for c in numbers})
 
 
-@query(_report_sql(["min_t"], ["crash"]))
+@query(report_sql(_MODEL_SQL, ["min_t"], ["crash"]))
 def ols_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir, ["min_t"], ["crash"])
 
 
-@query(_report_sql(["min_t", "max_t"], ["crash", "ppl_i"]))
+@query(report_sql(_MODEL_SQL, ["min_t", "max_t"], ["crash", "ppl_i"]))
 def ols_two_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir, ["min_t", "max_t"], ["crash", "ppl_i"])
 
 
-@query(_report_sql(FEATURES, LABELS))
+@query(report_sql(_MODEL_SQL, FEATURES, LABELS))
 def ols_report_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir, FEATURES, LABELS)
 
