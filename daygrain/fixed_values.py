@@ -142,6 +142,17 @@ RIDERSHIP_COLUMNS = {
     "Staten Island Railway: Total Estimated Ridership": "sttn_rw",
 }
 
+# --- fixed values: columns that are computed on, so that a file must have them --------
+WEATHER_REQUIRED = [
+    "station", "ts", "report_type", "daily_weather", "dry_bulb_temperature",
+    "relative_humidity", "precipitation", "sunrise", "sunset",
+]
+COLLISION_REQUIRED = [
+    "crash_date", "crash_time", "borough",
+    "ppl_i", "ppl_k", "ped_i", "ped_k", "cyc_i", "cyc_k", "mot_i", "mot_k",
+    "vehicle_1", "vehicle_2", "vehicle_3", "vehicle_4", "vehicle_5",
+]
+
 # --- fixed values: which measures each report uses ---------------------------------
 CASUALTIES = ["ppl_i", "ppl_k", "ped_i", "ped_k", "cyc_i", "cyc_k", "mot_i", "mot_k"]
 TRANSIT_MODES = ["sub", "bus", "lirr", "metro_north", "acc_a_ride", "brdg_tun", "sttn_rw"]

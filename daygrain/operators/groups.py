@@ -53,12 +53,18 @@ def top_k_with_others(
 
 
 def wide_counts(
-    df: DataFrame, key: Column | str, name: str, column: str | Column, values: Sequence | Mapping
+    df: DataFrame,
+    key: Column | str,
+    name: str,
+    column: str | Column,
+    values: Sequence | Mapping,
+    others: str | None = None,
 ) -> DataFrame:
     """One row per key, one column per value with its count; null where there is none.
 
-    Rows without key or value are left out. Counts under a condition need one
-    shuffle, where a pivot needs two.
+    Rows without key or value are left out; ``others`` names a column for the
+    values that are not listed. Counts under a condition need one shuffle, where
+    a pivot needs two.
     """
     names = dict(values) if isinstance(values, Mapping) else {v: str(v) for v in values}
     rows = df.select(
@@ -69,6 +75,9 @@ def wide_counts(
         F.nullif(F.count_if(F.col("__value") == v), F.lit(0)).alias(label)
         for v, label in names.items()
     ]
+    if others is not None:
+        unlisted = F.count_if(~F.col("__value").isin(list(names)))
+        counts.append(F.nullif(unlisted, F.lit(0)).alias(others))
     return rows.groupBy(F.col("__key").alias(name)).agg(*counts)
 
 

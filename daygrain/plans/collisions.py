@@ -71,10 +71,16 @@ def severity_by_month(cleaned: DataFrame) -> DataFrame:
 
 
 def per_day_and_borough(
-    cleaned: DataFrame, boroughs: Sequence[str] = tuple(V.BOROUGHS)
+    cleaned: DataFrame,
+    boroughs: Sequence[str] = tuple(V.BOROUGHS),
+    others: str | None = None,
 ) -> DataFrame:
-    """One row per day, a column per borough; collisions without a borough are left out."""
-    return wide_counts(cleaned, "crash_date", "date", "borough", list(boroughs)).orderBy("date")
+    """One row per day, a column per borough; collisions without a borough are left out.
+
+    ``others`` names a column for boroughs that are not listed.
+    """
+    counts = wide_counts(cleaned, "crash_date", "date", "borough", list(boroughs), others)
+    return counts.orderBy("date")
 
 
 def vehicle_types(cleaned: DataFrame, k: int = 10) -> DataFrame:

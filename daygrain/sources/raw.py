@@ -21,6 +21,7 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
         V.WEATHER_COLUMNS,
         types={"sunrise": "int", "sunset": "int"},
         timestamp_patterns={"ts": V.WEATHER_TIMESTAMP_PATTERN},
+        required=V.WEATHER_REQUIRED,
     )
     return reports.withColumn("report_type", F.trim("report_type"))
 
@@ -34,6 +35,7 @@ def read_collisions(spark: SparkSession, path: str) -> DataFrame:
         V.COLLISION_COLUMNS,
         types=types,
         date_patterns={"crash_date": V.COLLISION_DATE_PATTERN},
+        required=V.COLLISION_REQUIRED,
     )
 
 
@@ -44,6 +46,7 @@ def read_ridership(spark: SparkSession, path: str) -> DataFrame:
         V.RIDERSHIP_COLUMNS,
         types={c: "bigint" for c in V.TRANSIT_MODES},
         date_patterns={"date": V.RIDERSHIP_DATE_PATTERN},
+        required=V.RIDERSHIP_COLUMNS.values(),
     )
 
 

@@ -5,7 +5,7 @@ A path may be a file, a folder or a glob; every data file in a folder is read.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,16 +55,21 @@ def conform(
     types: Mapping[str, str] | None = None,
     date_patterns: Mapping[str, str] | None = None,
     timestamp_patterns: Mapping[str, str] | None = None,
+    required: Collection[str] = (),
 ) -> DataFrame:
     """Pick raw columns by name, rename and type them, and leave the rest in the file.
 
     Names match without regard to case. A raw column that the file lacks becomes
-    null; a value that does not fit its type becomes null.
+    null, unless its new name is required; a value that does not fit its type
+    becomes null.
     """
     types = types or {}
     date_patterns = date_patterns or {}
     timestamp_patterns = timestamp_patterns or {}
     present = {c.lower(): c for c in df.columns}
+    missing = [r for r, name in names.items() if name in required and r.lower() not in present]
+    if missing:
+        raise ValueError(f"the file has no column {', '.join(map(repr, missing))}")
 
     def typed(raw: str, name: str) -> Column:
         found = present.get(raw.lower())

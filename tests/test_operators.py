@@ -100,6 +100,8 @@ def test_wide_counts_uses_null_for_none(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None), (None, "a")], "k int, v string")
     got = rows(op.wide_counts(df, "k", "k", "v", ["a", "b"]).orderBy("k"))
     assert got == [(1, 2, None), (2, None, 1)]
+    whole = rows(op.wide_counts(df, "k", "k", "v", ["a"], others="rest").orderBy("k"))
+    assert whole == [(1, 2, None), (2, None, 1)]
 
 
 def test_count_flags_and_rows_without_any(spark):

@@ -214,6 +214,13 @@ def test_ridership(rides):
     assert rows(ridership.two_modes(rides))[1] == (J2, 200, None)
 
 
+def test_a_file_without_a_needed_column_is_refused(spark, tmp_path):
+    file = tmp_path / "r.csv"
+    file.write_text(RIDERSHIP.replace("Buses: Total", "Busses: Total"))
+    with pytest.raises(ValueError, match="'Buses: Total Estimated Ridership'"):
+        read_ridership(spark, str(file))
+
+
 def test_transit_by_weather(rides, reports):
     spread = ridership.spread_by_weather(rides, weather.daily_conditions(reports))
     got = {(r.condition, r.value, r.measure): (r["mean"], r.stddev) for r in spread.collect()}

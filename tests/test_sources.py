@@ -13,6 +13,7 @@ from daygrain.sources import (
     read_table,
     write_table,
     write_to_all,
+    written,
 )
 
 D = dt.date
@@ -74,6 +75,13 @@ def test_reader_types_dates_and_nulls_what_does_not_fit(spark, tmp_path):
     assert [tuple(r) for r in got] == [(D(2022, 1, 31), 1), (None, None)]
 
 
+def test_written_rows_do_not_depend_on_their_source(spark, tmp_path):
+    path = write_table(spark.range(10), str(tmp_path / "source"))
+    copy = written(read_table(spark, path), "copy")
+    write_table(spark.range(3), path, mode="overwrite")
+    assert copy.count() == 10
+
+
 def test_conform_matches_names_in_any_case_and_order(spark, tmp_path):
     file = tmp_path / "c.csv"
     file.write_text("extra,N,CRASH DATE\nz,5,2022-01-02\nz,bad,never\n")
@@ -102,6 +110,21 @@ def test_partitioned_table_has_few_files_and_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(part" in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_scratch_folder_is_never_local_to_a_machine_on_a_cluster():
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf({"spark.master": master})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(Session("yarn"), "x")
+    local = Session("local[2]")
+    assert scratch_folder(local, "x").startswith(local.conf["spark.checkpoint.dir"])
+
+
 def test_scratch_folder_lies_in_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_folder(spark, "x"), scratch_folder(spark, "x")
