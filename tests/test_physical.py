@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from daygrain.operators import join_on
+from daygrain.operators import date_range, join_on
 
 QUERIES = entry.queries()
 
@@ -113,6 +113,13 @@ def test_series_filters_reach_the_reader(spark, sf_dir):
         assert "EqualTo(event_type,view)" in pushed
 
 
+def test_date_ranges_reach_the_reader_for_date_columns_too(spark, tmp_path):
+    path = str(tmp_path / "days")
+    spark.sql("SELECT DATE'2022-01-01' AS d, 1 AS v").write.parquet(path)
+    plan = planned(date_range(spark.read.parquet(path), "d", "2022-01-01", "2022-01-31"))
+    assert "GreaterThanOrEqual(d,2022-01-01), LessThan(d,2022-02-01)" in plan
+
+
 def test_only_needed_columns_are_read(spark, sf_dir):
     def columns(name):
         schemas = re.findall(r"ReadSchema: struct<(.*?)>", planned(QUERIES[name](spark, sf_dir)))
