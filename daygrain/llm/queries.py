@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import packing, sentencepiece_codec, sharding, token_counts
+from daygrain.llm import packing, sentencepiece_codec, sharding, token_counts, toxicity
 from daygrain.llm.registry import query
 from daygrain.llm.tables import table
 
@@ -41,3 +41,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.unigram_token_counts(docs, tokenizer("piece_bpe_32k.model"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    lexicon = toxicity.learn(toxicity.sample_of(docs, toxicity.training_labels(labels)))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return toxicity.toxicity_scores(docs, lexicon).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", "weight"
+    )
