@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import packing, sentencepiece_codec, sharding, token_counts, toxicity
+from daygrain.llm import near_duplicates, packing, sentencepiece_codec, sharding, token_counts, toxicity
 from daygrain.llm.registry import query
 from daygrain.llm.tables import table
 
@@ -51,3 +51,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, lexicon).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", "weight"
     )
+
+
+@query("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold=80)
