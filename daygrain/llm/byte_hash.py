@@ -53,7 +53,7 @@ def text_parts(column: pa.Array, at_once: int = AT_ONCE) -> Iterator[tuple[int,
     Gives first row, row after the last, their bytes, and the bounds of each row's text among them.
     A null counts as an empty text.
     """
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_binary()).fill_null(b"")
     n = len(column)
     if not n:
         return

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm import near_duplicates, packing, sentencepiece_codec, sharding, token_counts, toxicity
+from daygrain.llm import (
+    near_duplicates,
+    packing,
+    sentencepiece_codec,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from daygrain.llm.registry import query
 from daygrain.llm.tables import table
 
@@ -16,6 +24,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents"), length=100)
+
+
 @query("op2_hilbert_shards")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.hilbert_shards(table(spark, sf_dir, "documents"), shards=40)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.sources.sinks import written
+from daygrain.sources import sinks
 
 #: Bytes of text that one task is dealt where an operator chooses the number of its partitions.
 TEXT_PER_TASK = 8 << 20
@@ -15,6 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows read back from a copy in the shared scratch folder; frees the shuffle files behind it.
+
+    What follows needs the copy alone, so Spark may drop the shuffle files when the write ends.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return sinks.written(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts, in one pass over that column."""
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
