@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.llm import (
+    fingerprints,
     near_duplicates,
     packing,
     sentencepiece_codec,
@@ -69,3 +70,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_near_duplicates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold=80)
+
+
+@query("op3_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
