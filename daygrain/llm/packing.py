@@ -26,15 +26,30 @@ from daygrain.llm.tables import written
 OPEN = 16
 #: Partitions whose leftover windows are merged together, so a merge sees OPEN * MERGED windows at most.
 MERGED = 16
-#: Distinct words a worker remembers.
-WORDS = 400_000
+#: Distinct words a worker remembers, and texts after which it looks whether they are too many.
+WORDS, TEXTS = 1_200_000, 256
+
+
+class _Numbers(dict):
+    """word -> number, given when first asked for; ``new`` lists the words that got one."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordIds:
     """Token ids of texts as little-endian 32-bit numbers, tokenizing each distinct word once.
 
     For tokenizers that drop white space and whose tokens never cross it, the ids of a text are those
-    of its words in order. A full table starts anew, so memory is bounded.
+    of its words in order. Such a tokenizer also parts letters from the full stop or comma behind
+    them, so a word with one is put together from the two. A full table starts anew, so memory is
+    bounded.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -42,27 +57,45 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_file)
-        if self._ids(["a  b"])[0] != b"".join(self._ids(["a", "b"])):
-            raise ValueError("this tokenizer does not drop white space")
-        self.table: dict[str, bytes] = {"": b""}
+        for whole, parts in ((" a \n b ", ["a", "b"]), ("ab.", ["ab", "."]), ("ab,", ["ab", ","])):
+            if self._ids([whole])[0] != b"".join(self._ids(parts)):
+                raise ValueError("this tokenizer does not part words as the table does")
+        self.numbers, self.ids = _Numbers(), []
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
+    def _learn(self) -> None:
+        """Find the ids of all numbered words that have none yet."""
+        numbers, ids = self.numbers, self.ids
+        ended = []
+        for word in numbers.new:  # grows while it is read: bare words may be new too
+            if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+                ended.append((numbers[word], numbers[word[:-1]], numbers[word[-1]]))
+        ids.extend([b""] * (len(numbers) - len(ids)))
+        whole = {n for n, _, _ in ended}
+        plain = [w for w in numbers.new if numbers[w] not in whole]
+        for word, found in zip(plain, self._ids(plain), strict=True):
+            ids[numbers[word]] = found
+        for number, bare, sign in ended:
+            ids[number] = ids[bare] + ids[sign]
+        numbers.new.clear()
+
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        table = self.table
-        for text in texts:
-            words = (text or "").replace("\n", " ").split(" ")
-            new = [w for w in set(words) if w not in table]
-            if new:
-                if len(table) + len(new) > WORDS:
-                    table.clear()
-                    new = list(set(words))
-                table.update(zip(new, self._ids(new), strict=True))
-            yield b"".join([table[w] for w in words])
-            if len(table) > WORDS:  # one text with more words than the table may hold
-                table.clear()
+        for first in range(0, len(texts), TEXTS):
+            numbers = self.numbers
+            rows = [
+                [numbers[w] for w in (t or "").replace("\n", " ").split(" ")]
+                for t in texts[first : first + TEXTS]
+            ]
+            if numbers.new:
+                self._learn()
+            ids = self.ids
+            for row in rows:
+                yield b"".join([ids[n] for n in row])
+            if len(ids) > WORDS:
+                self.numbers, self.ids = _Numbers(), []
 
 
 @lru_cache(maxsize=2)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.llm import (
+    embedding_duplicates,
     fingerprints,
     near_duplicates,
     packing,
@@ -75,3 +76,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_fingerprints")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op8_embedding_duplicates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates.embedding_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
