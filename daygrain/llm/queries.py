@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daygrain.llm import (
     embedding_duplicates,
     fingerprints,
+    language_id,
     near_duplicates,
     packing,
     sentencepiece_codec,
@@ -81,3 +82,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_embedding_duplicates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates.embedding_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = language_id.train(language_id.training_sample(docs))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return language_id.languages(docs, network).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
