@@ -1,19 +1,59 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents: five stages, each on the written result of the one before.
+
+Toxic documents go, then those in no learned language, then all but one of each group of near
+duplicates; passages that repeat are cut out of what is left, and the rest is packed into sequences
+of token ids. Every stage but the last returns the columns it was given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daygrain.llm import language_id, near_duplicates, packing, suffix_dedup, toxicity
+from daygrain.llm.queries import tokenizer
 from daygrain.llm.tables import table, written
 
-STAGES: list = []
 
-#: The stages are trained models, sketches and tokenizers, which SQL can't express.
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a lexicon learned from ``labels`` does not reject."""
+    labels = toxicity.training_labels(table(spark, sf_dir, "labels"))
+    return toxicity.harmless(docs, toxicity.learn(toxicity.sample_of(docs, labels)))
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a network learned from their ``lang`` gives a language."""
+    return language_id.in_languages(docs, language_id.train(language_id.training_sample(docs)))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: shingles of five words, similarity 0.8."""
+    return near_duplicates.first_of_each(docs, size=5, threshold=80)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 100 bytes and more that also start earlier."""
+    return suffix_dedup.without_repeats(docs, length=100)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 4096 token ids."""
+    return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), size=4096)
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("language_id", in_a_language),
+    ("near_duplicates", one_of_each),
+    ("suffix_dedup", without_repeats),
+    ("packing", packed),
+]
+
+#: Learned models, sketches and tokenizers are not for SQL; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each on the written result of the one before."""
+    """All stages in order, from ``documents`` to packed sequences."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)

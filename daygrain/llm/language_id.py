@@ -23,6 +23,8 @@ UNDETERMINED = "und"
 UNITS, SPAN = 8, 128
 #: Documents of each language to learn from (on average), windows of each, and characters of a window.
 PER_LANGUAGE, WINDOWS, WINDOW = 600, 2, 96
+#: Score below which a text counts as none of the learned languages.
+LEAST_SCORE = 0.35
 #: Languages learned at most: the most frequent ones.
 LANGUAGES = 64
 
@@ -236,6 +238,23 @@ def training_sample(docs: DataFrame, parts: int = 4, held_out: int = 2, per_lang
     return [(lang, w.encode()) for lang, _, found in sorted(map(tuple, rows)) for w in found]
 
 
+def _lettered():
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
+def _predict(network: Network | None, texts: pa.Array, lettered: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Predicted language and score of each text of a column."""
+    names = np.array([*(network.languages if network else []), UNDETERMINED], object)
+    lettered = lettered.to_numpy(zero_copy_only=False).astype(bool)
+    best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
+    if network:
+        for first, last, data, bounds in text_parts(texts):
+            found, part = pooled(network, data, bounds), slice(first, last)
+            best[part] = np.where(lettered[part], found.argmax(axis=1), best[part])
+            score[part] = np.where(lettered[part], np.clip(found.max(axis=1), 0, 1), 0.0)
+    return names[best], score
+
+
 def languages(docs: DataFrame, network: Network | None) -> DataFrame:
     """``doc_id, lang_pred, score`` of each whole text; only the text decides.
 
@@ -246,22 +265,34 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
     """
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*(network.languages if network else []), UNDETERMINED], object)
         for batch in batches:
-            for first, last, data, bounds in text_parts(batch.column(1), 1 << 20):
-                lettered = batch.column(2).slice(first, last - first).to_numpy(zero_copy_only=False)
-                best, score = np.full(last - first, len(names) - 1), np.zeros(last - first)
-                if network and lettered.any():
-                    found = pooled(network, data, bounds)
-                    best = np.where(lettered, found.argmax(axis=1), best)
-                    score = np.where(lettered, np.clip(found.max(axis=1), 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(names[best], pa.string()), pa.array(score)],
-                    ["doc_id", "lang_pred", "score"],
-                )
+            named, score = _predict(network, batch.column(1), batch.column(2))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(named, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"]
+            )
 
     kind = dict(docs.dtypes)["doc_id"]
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    return docs.select("doc_id", "text", lettered).mapInArrow(
+    return docs.select("doc_id", "text", _lettered().alias("lettered")).mapInArrow(
         predicted, f"doc_id {kind}, lang_pred string, score double"
     )
+
+
+def in_languages(docs: DataFrame, network: Network | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows, all columns as they are, whose text has a language with a score of at least ``least``.
+
+    See ``languages``: texts that are null or without a letter go, and those that no learned language
+    explains better than chance. The decision is taken where the row is read. If nothing was learned
+    every row stays.
+    """
+    at, columns = docs.columns.index("text"), docs.columns
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named, score = _predict(network, batch.column(at), batch.column(len(columns)))
+            keep = (named != UNDETERMINED) & (score >= least)
+            yield pa.RecordBatch.from_arrays(batch.columns[: len(columns)], columns).filter(pa.array(keep.astype(bool)))
+
+    if network is None:
+        return docs
+    # the added column is taken by its place, so no name can clash with it
+    return docs.select("*", _lettered()).mapInArrow(kept, docs.schema)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -340,9 +340,10 @@ def _removed(length: int, with_text: bool):
                 out.append((doc.as_py(), len(data), removed, runs, last))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             kinds = [batch.column(0).type, pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_text" if with_text else "kept_sha256"]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_text" if with_text else "kept_sha256"],
+                [*[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], *batch.columns[3:]],
+                [*names, *["rest"] * (batch.num_columns - 3)],
             )
 
     return cut
@@ -405,6 +406,7 @@ def remove_repeated(
     anchor: int = ANCHOR,
     crowd: int = CROWD,
     with_text: bool = False,
+    carry: Sequence[str] = (),
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -430,6 +432,7 @@ def remove_repeated(
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"),
         _place(text).alias("check"),
         text.alias("text"),
+        *([F.struct(*[F.col(c) for c in carry]).alias("rest")] if carry else []),
     )
     plain = rows.select("doc", "check", F.coalesce("text", F.lit("")).alias("text"))
     spans = (
@@ -441,10 +444,24 @@ def remove_repeated(
     spans = written(spans, "spans")
     kind = dict(docs.dtypes)[id_col]
     last = "kept_text string" if with_text else "kept_sha256 string"
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {last}"
+    if carry:
+        schema += f", rest {dict(rows.dtypes)['rest']}"
     return (
         rows.join(spans.hint("shuffle_hash"), ["doc", "check"], "left")
-        .select("id", "text", "spans")
-        .mapInArrow(
-            _removed(length, with_text), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {last}"
-        )
+        .select("id", "text", "spans", *["rest"] * bool(carry))
+        .mapInArrow(_removed(length, with_text), schema)
     )
+
+
+def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``, and ``n_chars`` counted anew if there is one.
+
+    All rows stay, one that is nothing but repeats with an empty text. See ``remove_repeated``.
+    """
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    cut = remove_repeated(docs, length, with_text=True, carry=rest)
+    values = {"doc_id": F.col("doc_id"), "text": F.col("kept_text")} | {c: F.col("rest")[c] for c in rest}
+    if "n_chars" in values:
+        values["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[values[c].alias(c) for c in docs.columns])

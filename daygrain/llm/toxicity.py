@@ -230,6 +230,21 @@ def training_labels(labels: DataFrame, parts: int = 3, held_out: int = 1) -> Dat
     return labels.filter(F.crc32(F.col("doc_id").cast("string")) % parts != held_out)
 
 
+def _scorer(lexicon: Lexicon):
+    """Function of a column of texts: scores and weights."""
+    automaton, beta = lexicon.automaton(), np.array(lexicon.logistic)
+
+    def score_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = [t or "" for t in column.to_pylist()]
+        weights = np.array([weight_of(automaton, fold(t)) for t in texts], float)
+        if math.isinf(beta[0]):
+            return np.zeros(len(texts)), weights
+        x = np.array([features(w, t) for w, t in zip(weights, texts, strict=True)]).reshape(-1, 2)
+        return 1 / (1 + np.exp(-np.clip(beta[0] + x @ beta[1:], -30, 30))), weights
+
+    return score_of
+
+
 def toxicity_scores(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
     """``doc_id, score, predicted, weight`` of each whole text; only the text decides.
 
@@ -239,17 +254,10 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = lexicon.automaton()
-        beta = np.array(lexicon.logistic)
+        score_of = _scorer(lexicon)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            weights = [weight_of(automaton, fold(t)) for t in texts]
-            if math.isinf(beta[0]):
-                score = np.zeros(len(texts))
-            else:
-                x = np.array([features(w, t) for w, t in zip(weights, texts, strict=True)]).reshape(-1, 2)
-                score = 1 / (1 + np.exp(-np.clip(beta[0] + x @ beta[1:], -30, 30)))
-            columns = [pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32)), pa.array(weights, pa.float64())]
+            score, weights = score_of(batch.column(1))
+            columns = [pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(weights)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *columns], ["doc_id", "score", "predicted", "weight"]
             )
@@ -258,3 +266,19 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -
     return docs.select("doc_id", "text").mapInArrow(
         scored, f"doc_id {kind}, score double, predicted int, weight double"
     )
+
+
+def harmless(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
+    """The rows, all columns as they are, whose text scores below ``threshold``.
+
+    See ``toxicity_scores``. The decision is taken where the row is read, so no text crosses the
+    network. Null and empty texts stay unless the lexicon's base score is that high.
+    """
+    at = docs.columns.index("text")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score_of = _scorer(lexicon)
+        for batch in batches:
+            yield batch.filter(pa.array(score_of(batch.column(at))[0] < threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
