@@ -93,8 +93,8 @@ def wide(spark, sf_dir):
     lines = S.table(spark, sf_dir, "lineitem")
     day, values = F.to_date("l_shipdate"), ["A", "N", "R"]
     return (
-        lambda: run(lines.groupBy(day.alias("date")).pivot("l_returnflag", values).count()),
-        lambda: run(wide_counts(lines, day, "date", "l_returnflag", values)),
+        lambda: run(lines.groupBy(day.alias("date")).pivot("l_returnflag", values, others=None).count()),
+        lambda: run(wide_counts(lines, day, "date", "l_returnflag", values, others=None)),
     )
 
 

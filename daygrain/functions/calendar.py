@@ -22,8 +22,8 @@ def _col(c: Column | str) -> Column:
 
 
 def day_of(ts: Column | str) -> Column:
-    """The date part of a timestamp, a date or an ISO text."""
-    return F.to_date(_col(ts))
+    """The date part of a timestamp, a date or an ISO text; text that is no date becomes null."""
+    return F.try_to_date(_col(ts))
 
 
 def parse_date(text: Column | str, pattern: str) -> Column:

@@ -34,9 +34,20 @@ def steady_round(value: Column | str, places: int = 0) -> Column:
     return F.round(F.round(_col(value), places + 6), places)
 
 
-def rate(total: Column | str, days: Column | str, places: int = 0) -> Column:
-    """Total per day, rounded half up; null where there is no day."""
-    return steady_round(F.try_divide(_col(total), _col(days)), places)
+def rate(
+    total: Column | str, days: Column | str, places: int = 0, whole: bool = False
+) -> Column:
+    """Total per day, rounded half up; null where there is no day.
+
+    With ``whole`` both are whole numbers, and the quotient is rounded once and
+    exactly, in whole numbers; otherwise see :func:`steady_round`.
+    """
+    if not whole:
+        return steady_round(F.try_divide(_col(total), _col(days)), places)
+    t = _col(total).cast("decimal(20,0)")
+    d = F.nullif(_col(days).cast("decimal(12,0)"), F.lit(0).cast("decimal(12,0)"))
+    scaled = F.call_function("div", F.abs(t) * F.lit(2 * 10**places) + d, d * F.lit(2))
+    return scaled * F.signum(t.cast("double")) / F.lit(10**places)
 
 
 def total_of(cols: Sequence[str]) -> Column:

@@ -17,22 +17,37 @@ from daygrain.operators.days import daily_counts_and_sums
 from daygrain.operators.domains import complete_domain
 
 
-def mean_daily_by_month(df: DataFrame, ts: str, name: str = "avg_daily") -> DataFrame:
-    """Mean number of rows per day that has any, by month number."""
-    daily = daily_counts_and_sums(df, ts, [])
+def mean_daily_by_month(
+    df: DataFrame, ts: str, name: str = "avg_daily", counted: str | None = None
+) -> DataFrame:
+    """Mean number of rows per day that has any, by month number.
+
+    ``counted`` names the count column of a frame that has one row per day already.
+    """
+    daily = (
+        df.select(F.col(ts).alias("date"), F.col(counted).alias("n")).filter(F.col(ts).isNotNull())
+        if counted
+        else daily_counts_and_sums(df, ts, [])
+    )
     return daily.groupBy(month_of("date").alias("month")).agg(F.avg("n").alias(name)).orderBy("month")
 
 
-def by_weekday(df: DataFrame, ts: str, count: str = "n") -> DataFrame:
-    """Rows per weekday, Monday first; null for a weekday without any."""
-    counts = _counts(df, ts, weekday_number(ts), "__number", count)
+def by_weekday(df: DataFrame, ts: str, count: str = "n", counted: str | None = None) -> DataFrame:
+    """Rows per weekday, Monday first; null for a weekday without any.
+
+    ``counted`` names a column with the number of rows that each row stands for.
+    """
+    counts = _counts(df, ts, weekday_number(ts), "__number", count, counted)
     named = counts.select(name_at("__number", WEEKDAYS).alias("weekday"), count)
     return complete_domain(named, "weekday", WEEKDAYS)
 
 
-def by_season(df: DataFrame, ts: str, count: str = "n") -> DataFrame:
-    """Rows per season, winter first; null for a season without any."""
-    counts = _counts(df, ts, month_of(ts), "__month", count)
+def by_season(df: DataFrame, ts: str, count: str = "n", counted: str | None = None) -> DataFrame:
+    """Rows per season, winter first; null for a season without any.
+
+    ``counted`` names a column with the number of rows that each row stands for.
+    """
+    counts = _counts(df, ts, month_of(ts), "__month", count, counted)
     named = counts.groupBy(season_of_month("__month").alias("season")).agg(
         F.sum(count).alias(count)
     )
@@ -57,7 +72,10 @@ def counts_by_hour(df: DataFrame, time_text: str, count: str = "n") -> DataFrame
     )
 
 
-def _counts(df: DataFrame, ts: str, number: Column, name: str, count: str) -> DataFrame:
+def _counts(
+    df: DataFrame, ts: str, number: Column, name: str, count: str, counted: str | None
+) -> DataFrame:
     # Numbers, not names, are grouped: names follow on the few rows that are left.
     known = df.filter(F.col(ts).isNotNull())
-    return known.groupBy(number.alias(name)).agg(F.count(F.lit(1)).alias(count))
+    rows = F.sum(counted) if counted else F.count(F.lit(1))
+    return known.groupBy(number.alias(name)).agg(rows.alias(count))

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from daygrain.functions.flags import any_of
 from daygrain.functions.numbers import rate
@@ -46,7 +47,11 @@ def impact_by_condition(
         .groupBy("condition", "value")
         .agg(F.count(count).alias("days"), *[F.sum(c).alias(name) for c, name in sums.items()])
     )
-    per_day = {name: rate(total, "days", places) for name, (total, places) in rates.items()}
+    whole = {f.name for f in totals.schema if isinstance(f.dataType, IntegralType)}
+    per_day = {
+        name: rate(total, "days", places, whole=total in whole)
+        for name, (total, places) in rates.items()
+    }
     return totals.withColumns(per_day)
 
 

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daygrain.fixed_values import OTHERS
 from daygrain.functions.calendar import day_of
 from daygrain.functions.flags import flag_from_code
 
@@ -92,15 +93,23 @@ def daily_sums_by_group(
     measure: str,
     names: Mapping[str, str],
     day: str = "date",
+    others: str | None = OTHERS,
 ) -> DataFrame:
     """One column per group value with its sum of the day; null where the day lacks the group.
 
-    Sums under a condition need one shuffle, where a pivot needs two.
+    ``others`` names a column for the sum over all other groups and rows without
+    one; None is for lists that are known to be complete. Sums under a condition
+    need one shuffle, where a pivot needs two.
     """
+    if others in names.values():
+        raise ValueError(f"a listed group is called {others!r}: name the column for the others")
     sums = [
         F.sum(F.when(F.col(group) == value, F.col(measure))).alias(name)
         for value, name in names.items()
     ]
+    if others is not None:
+        listed = F.coalesce(F.col(group).isin(list(names)), F.lit(False))
+        sums.append(F.sum(F.when(~listed, F.col(measure))).alias(others))
     return _by_day(df, ts, None, day).agg(*sums)
 
 

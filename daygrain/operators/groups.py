@@ -39,13 +39,16 @@ def top_k_with_others(
 ) -> DataFrame:
     """Counts of the k most frequent values over the columns, and one row for all the rest.
 
+    A value that is itself called like the rest is counted there, so that name stands once.
     The rest is the total less the top k, so the counts take part only as they
     are: Spark reads the table once, shuffles the counts once and uses that
     shuffle for each part. The number of distinct values does not matter.
     """
     values = stack_columns(df, cols).filter(F.col("value").isNotNull())
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias(count))
-    top = top_k(counts, count, k, "value")
+    # left out after a limit, or the filter would move below the counts and count anew
+    more = top_k(counts, count, k + 1, "value").filter(F.col("value") != others)
+    top = top_k(more, count, k, "value")
     total = counts.agg(F.sum(count).alias(count))
     less = top.select((-F.col(count)).alias(count))
     rest = total.unionByName(less).agg(F.coalesce(F.sum(count), F.lit(0)).alias(count))
@@ -58,15 +61,18 @@ def wide_counts(
     name: str,
     column: str | Column,
     values: Sequence | Mapping,
-    others: str | None = None,
+    others: str | None = OTHERS,
 ) -> DataFrame:
     """One row per key, one column per value with its count; null where there is none.
 
     Rows without key or value are left out; ``others`` names a column for the
-    values that are not listed. Counts under a condition need one shuffle, where
-    a pivot needs two.
+    values that are not listed, so that no row is lost. ``others=None`` is for
+    lists that are known to be complete. Counts under a condition need one
+    shuffle, where a pivot needs two.
     """
     names = dict(values) if isinstance(values, Mapping) else {v: str(v) for v in values}
+    if others in names.values():
+        raise ValueError(f"a listed value is called {others!r}: name the column for the others")
     rows = df.select(
         (F.col(key) if isinstance(key, str) else key).alias("__key"),
         (F.col(column) if isinstance(column, str) else column).alias("__value"),
@@ -84,9 +90,7 @@ def wide_counts(
 def monthly_means(df: DataFrame, day: str, cols: Sequence[str]) -> DataFrame:
     """Mean of each column per month, labelled year-month; empty values do not count."""
     month = year_month(F.trunc(day, "month"))
-    return (
-        df.groupBy(month.alias("month")).agg(*[F.avg(c).alias(c) for c in cols]).orderBy("month")
-    )
+    return df.groupBy(month.alias("month")).agg(*[F.avg(c).alias(c) for c in cols])
 
 
 def mean_of_groups(df: DataFrame, cols: Sequence[str], key: str, value: str) -> DataFrame:

@@ -48,9 +48,15 @@ def station_series(
     station: str = "station",
     stations: Sequence | None = None,
     where: Column | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Readings of the days from first to last in time order, for all or for chosen stations."""
-    return _series(df, days_between(ts, first, last), measures, ts, station, stations, where)
+    """Readings of the days from first to last, for all or for chosen stations.
+
+    In time order if ``ordered``, which reads the selection once more to divide it.
+    A table in folders by year and month opens only those of the period.
+    """
+    in_time = days_between(ts, first, last) & _in_folders(df, first, last)
+    return _series(df, in_time, measures, ts, station, stations, where, ordered)
 
 
 def week_series(df: DataFrame, day: dt.date | str, measures: Sequence[str], **options) -> DataFrame:
@@ -68,18 +74,23 @@ def month_series(
     station: str = "station",
     stations: Sequence | None = None,
     where: Column | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Readings of a month.
 
     Without a year, of that month in every year; with one, the selection is a
-    range of instants that the file reader can use.
+    range of instants that the file reader can use. A table in folders by year and
+    month opens only those of the month.
     """
     if year is None:
         in_month = month_of(ts) == month
+        if _has_folders(df):
+            in_month &= F.col("month") == month
     else:
-        last = calendar.monthrange(year, month)[1]
-        in_month = days_between(ts, dt.date(year, month, 1), dt.date(year, month, last))
-    return _series(df, in_month, measures, ts, station, stations, where)
+        first = dt.date(year, month, 1)
+        last = dt.date(year, month, calendar.monthrange(year, month)[1])
+        in_month = days_between(ts, first, last) & _in_folders(df, first, last)
+    return _series(df, in_month, measures, ts, station, stations, where, ordered)
 
 
 def measure_bounds(df: DataFrame, measure: str) -> DataFrame:
@@ -92,11 +103,28 @@ def with_labels(df: DataFrame, labels: Mapping[str, str] = LABELS) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in labels.items() if k in df.columns})
 
 
-def _series(df, in_time, measures, ts, station, stations, where) -> DataFrame:
+def _has_folders(df: DataFrame) -> bool:
+    """Has the table the columns that folders by year and month give it?"""
+    return {"year", "month"} <= {name for name, kind in df.dtypes if kind == "int"}
+
+
+def _in_folders(df: DataFrame, first: dt.date | str, last: dt.date | str) -> Column:
+    """The folders of the days from first to last, by year and month."""
+    if not _has_folders(df):
+        return F.lit(True)
+    (y0, m0), (y1, m1) = ((int(str(d)[:4]), int(str(d)[5:7])) for d in (first, last))
+    year, month = F.col("year"), F.col("month")
+    after = (year > y0) | ((year == y0) & (month >= m0))
+    before = (year < y1) | ((year == y1) & (month <= m1))
+    return after & before
+
+
+def _series(df, in_time, measures, ts, station, stations, where, ordered) -> DataFrame:
     kept = df.filter(in_time)
     if where is not None:
         kept = kept.filter(where)
     if stations is not None:
         kept = kept.filter(F.col(station).isin(list(stations)))
+    picked = kept.select(station, ts, *measures)
     # Sorting by the measures too keeps many readings of one instant from meeting in one task.
-    return kept.select(station, ts, *measures).orderBy(ts, station, *measures)
+    return picked.orderBy(ts, station, *measures) if ordered else picked

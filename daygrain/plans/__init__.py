@@ -1,6 +1,6 @@
 """The analyses on the three raw data sets, composed from the operators."""
 
 from daygrain.plans import collisions, impact, ridership, weather
-from daygrain.plans.run import run
+from daygrain.plans.run import Scope, run
 
-__all__ = ["collisions", "impact", "ridership", "run", "weather"]
+__all__ = ["collisions", "impact", "ridership", "Scope", "run", "weather"]

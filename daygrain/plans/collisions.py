@@ -37,20 +37,24 @@ def daily(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def worst_days(cleaned: DataFrame, k: int = 20) -> DataFrame:
-    return top_k(daily_counts_and_sums(cleaned, "crash_date", [], count="crash"), "crash", k, "date")
+def worst_days(days: DataFrame, k: int = 20) -> DataFrame:
+    """The days of :func:`daily` with most collisions."""
+    return top_k(days.select("date", "crash"), "crash", k, "date")
 
 
-def mean_by_month(cleaned: DataFrame) -> DataFrame:
-    return mean_daily_by_month(cleaned, "crash_date")
+def mean_by_month(days: DataFrame) -> DataFrame:
+    """Mean daily number of collisions by month, from the day table."""
+    return mean_daily_by_month(days, "date", counted="crash")
 
 
-def per_weekday(cleaned: DataFrame) -> DataFrame:
-    return by_weekday(cleaned, "crash_date", "crash")
+def per_weekday(days: DataFrame) -> DataFrame:
+    """Collisions per weekday, from the day table."""
+    return by_weekday(days, "date", "crash", counted="crash")
 
 
-def per_season(cleaned: DataFrame) -> DataFrame:
-    return by_season(cleaned, "crash_date", "crash")
+def per_season(days: DataFrame) -> DataFrame:
+    """Collisions per season, from the day table."""
+    return by_season(days, "date", "crash", counted="crash")
 
 
 def per_hour(cleaned: DataFrame) -> DataFrame:
@@ -65,6 +69,7 @@ def severity_by_month(cleaned: DataFrame) -> DataFrame:
         "number",
         severity([F.col("ppl_i") > 0, F.col("ppl_k") > 0]),
         [V.SEVERE, V.NOT_SEVERE],
+        others=None,  # a collision is one or the other
     )
     named = counts.withColumn("month", name_at("number", V.MONTHS)).drop("number")
     return complete_domain(named, "month", V.MONTHS)
@@ -73,14 +78,13 @@ def severity_by_month(cleaned: DataFrame) -> DataFrame:
 def per_day_and_borough(
     cleaned: DataFrame,
     boroughs: Sequence[str] = tuple(V.BOROUGHS),
-    others: str | None = None,
+    others: str | None = V.OTHERS,
 ) -> DataFrame:
     """One row per day, a column per borough; collisions without a borough are left out.
 
     ``others`` names a column for boroughs that are not listed.
     """
-    counts = wide_counts(cleaned, "crash_date", "date", "borough", list(boroughs), others)
-    return counts.orderBy("date")
+    return wide_counts(cleaned, "crash_date", "date", "borough", list(boroughs), others)
 
 
 def vehicle_types(cleaned: DataFrame, k: int = 10) -> DataFrame:

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from daygrain import fixed_values as V
 from daygrain.functions import hhmm_to_minutes, steady_round
-from daygrain.operators import corr_long, impact_by_condition, join_on, ols_report
+from daygrain.operators import (
+    corr_long,
+    holdout_predictions,
+    impact_by_condition,
+    join_on,
+    ols_report,
+)
 
 IMPACT_SUMS = {
     "crash": "tt_crash",
@@ -70,6 +76,19 @@ def regression_report(
     features: DataFrame,
     terms: Sequence[str] = tuple(V.MODEL_FEATURES),
     labels: Sequence[str] = tuple(V.MODEL_LABELS),
+    split: str = "day",
+    seed: int = 0,
 ) -> DataFrame:
     """Least squares of collisions, injured and killed on temperature and transit use."""
-    return ols_report(features, list(terms), list(labels))
+    return ols_report(features, list(terms), list(labels), split=split, seed=seed)
+
+
+def regression_predictions(
+    features: DataFrame,
+    label: str,
+    terms: Sequence[str] = tuple(V.MODEL_FEATURES),
+    split: str = "day",
+    seed: int = 0,
+) -> DataFrame:
+    """Label and prediction for the held-out days of one model of the report."""
+    return holdout_predictions(features, list(terms), label, split=split, seed=seed)

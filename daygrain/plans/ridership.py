@@ -21,7 +21,7 @@ def clean(
 
 
 def monthly_profile(cleaned: DataFrame, modes: Sequence[str] = tuple(V.PROFILE_MODES)) -> DataFrame:
-    return monthly_means(cleaned, "date", modes)
+    return monthly_means(cleaned, "date", modes).orderBy("month")
 
 
 def daily_shares(cleaned: DataFrame, modes: Sequence[str] = tuple(V.SHARE_MODES)) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,21 @@ from daygrain.sources import (
 CENTRAL_PARK = V.STATION_NAMES[V.STATION_CENTRAL_PARK]
 
 
+@dataclass(frozen=True)
+class Scope:
+    """What of the sources is studied: the station of the day tables, and the days of the rides.
+
+    The defaults are those of the published results. Reports and collisions are kept
+    for all days; the joined tables have the days of all sources.
+    """
+
+    first: str = V.FIRST_DAY
+    last: str = V.LAST_DAY
+    station: str | None = CENTRAL_PARK
+    split: str = "day"
+    seed: int = 0
+
+
 def event_tables(spark: SparkSession, weather_path: str, collisions_path: str):
     """The two clean event tables, by name."""
     return {
@@ -28,35 +45,57 @@ def event_tables(spark: SparkSession, weather_path: str, collisions_path: str):
     }
 
 
-def day_tables(events: dict[str, DataFrame], rides: DataFrame) -> dict[str, DataFrame]:
+def day_tables(
+    events: dict[str, DataFrame], rides: DataFrame, scope: Scope = Scope()
+) -> dict[str, DataFrame]:
     """The three day tables, by name."""
     return {
-        "daily_weather": weather.daily_weather(events["reports"], station=CENTRAL_PARK),
+        "daily_weather": weather.weather_days(events["reports"], station=scope.station),
         "daily_collisions": collisions.daily(events["collisions"]),
-        "daily_ridership": ridership.clean(rides),
+        "daily_ridership": ridership.clean(rides, scope.first, scope.last),
+    }
+
+
+def joined_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The days that all sources have, by name."""
+    days = (weather.both_of(tables["daily_weather"]), tables["daily_collisions"])
+    return {"daily_features": impact.daily_features(*days, tables["daily_ridership"])}
+
+
+def joint_results(features: DataFrame, scope: Scope = Scope()) -> dict[str, DataFrame]:
+    """Result tables by name, from the joined day table."""
+    return {
+        "condition_impact": impact.condition_impact(features),
+        "correlations": impact.correlations(features),
+        "regression": impact.regression_report(features, split=scope.split, seed=scope.seed),
+        **{
+            f"predictions_{label}": impact.regression_predictions(
+                features, label, split=scope.split, seed=scope.seed
+            )
+            for label in V.MODEL_LABELS
+        },
     }
 
 
-def products(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def products(tables: dict[str, DataFrame], scope: Scope = Scope()) -> dict[str, DataFrame]:
     """Result tables by name, from the event and day tables."""
     crashes, reports = tables["collisions"], tables["reports"]
-    rides, conditions = tables["daily_ridership"], tables["daily_weather"]
-    features = impact.daily_features(conditions, tables["daily_collisions"], rides)
-    corr = impact.correlations(features)
+    crash_days, rides = tables["daily_collisions"], tables["daily_ridership"]
+    conditions = weather.conditions_of(tables["daily_weather"])
     return {
-        "daily_features": features,
-        "condition_impact": impact.condition_impact(features),
-        "correlations": corr,
-        "correlation_matrix": corr_matrix(corr, ["crash", *V.CASUALTIES, *V.TRANSIT_MODES]),
-        "regression": impact.regression_report(features),
+        "weather_agg": weather.temperature_of(tables["daily_weather"]),
+        "weather_cond": conditions,
+        "correlation_matrix": corr_matrix(
+            tables["correlations"], ["crash", *V.CASUALTIES, *V.TRANSIT_MODES]
+        ),
         "transit_by_weather": ridership.spread_by_weather(rides, conditions),
         "ridership_by_month": ridership.monthly_profile(rides),
         "mode_shares": ridership.mean_shares(rides),
         "subway_and_bus": ridership.two_modes(rides),
-        "worst_days": collisions.worst_days(crashes),
-        "collisions_by_month": collisions.mean_by_month(crashes),
-        "collisions_by_weekday": collisions.per_weekday(crashes),
-        "collisions_by_season": collisions.per_season(crashes),
+        "worst_days": collisions.worst_days(crash_days),
+        "collisions_by_month": collisions.mean_by_month(crash_days),
+        "collisions_by_weekday": collisions.per_weekday(crash_days),
+        "collisions_by_season": collisions.per_season(crash_days),
         "collisions_by_hour": collisions.per_hour(crashes),
         "severity_by_month": collisions.severity_by_month(crashes),
         "collisions_by_borough": collisions.per_day_and_borough(crashes),
@@ -64,7 +103,7 @@ def products(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "involved_parties": collisions.involved_parties(crashes),
         "report_counts": weather.report_counts(reports),
         "weather_codes": weather.code_vocabulary(reports, station=None),
-        "code_calendar": weather.code_calendar(reports),
+        "code_calendar": weather.code_calendar(reports, scope.first, scope.last),
     }
 
 
@@ -77,13 +116,16 @@ def run(
     fmt: str = "parquet",
     mode: str = "errorifexists",
     events_by_month: bool = False,
+    scope: Scope = Scope(),
 ) -> list[str]:
     """Write event tables, day tables and results, each from the files of the one before.
 
-    The raw text is parsed once and the events are reduced to days once. Raw files
-    come roughly in time order, which the event tables keep, so a date range reads
-    few row groups without any shuffle; ``events_by_month`` spends a shuffle on a
-    folder per month instead. Gives the names of the tables and results.
+    The raw text is parsed once. Collisions are reduced to days once, and what the days
+    tell is taken from them; hours, severity, boroughs, vehicles and parties need a pass
+    of their own over the collisions. Raw files come roughly in time order, which the
+    event tables keep, so a date range reads few row groups without any shuffle;
+    ``events_by_month`` spends a shuffle on a folder per month instead. ``scope`` sets
+    period, station and split. Gives the names of the tables and results.
     """
 
     def keep(tables: dict[str, DataFrame], by_month: dict[str, str]) -> dict[str, DataFrame]:
@@ -102,8 +144,11 @@ def run(
 
     by_month = {"reports": "ts", "collisions": "crash_date"} if events_by_month else {}
     events = keep(event_tables(spark, weather_path, collisions_path), by_month)
-    days = keep(day_tables(events, read_ridership(spark, ridership_path)), {})
-    results = products({**events, **days})
+    days = keep(day_tables(events, read_ridership(spark, ridership_path), scope), {})
+    joined = keep(joined_tables(days), {})
+    joint = joint_results(joined["daily_features"], scope)
+    correlations = keep({"correlations": joint.pop("correlations")}, {})
+    results = {**joint, **products({**events, **days, **correlations}, scope)}
     for name, df in results.items():
         write_table(df, f"{out}/results/{name}", fmt, mode=mode)
-    return [*events, *days, *results]
+    return [*events, *days, *joined, *correlations, *results]

@@ -60,7 +60,7 @@ def daily_temperature(
         "ts",
         coerce_number("dry_bulb_temperature"),
         where=_at(station) & _is_report(report),
-    ).orderBy("date")
+    )
 
 
 def daily_conditions(
@@ -81,19 +81,23 @@ def daily_conditions(
         where=_at(station) & _is_report(V.REPORT_SUMMARY_OF_DAY),
         match=match,
         also=[F.min("sunrise").alias("sunrise"), F.max("sunset").alias("sunset")],
-    ).orderBy("date")
+    )
 
 
-def daily_weather(
+TEMPERATURE = ["min_t", "max_t", "avg_t"]
+
+
+def weather_days(
     raw: DataFrame,
     station: str | None = V.STATION_CENTRAL_PARK,
     codes: Mapping[str, str] = V.CONDITION_CODES,
     match: str = "contains",
 ) -> DataFrame:
-    """Temperatures and conditions of the days that have both, from one pass over the reports.
+    """Temperatures and conditions of every day, from one pass over the reports.
 
-    The same rows as joining :func:`daily_temperature` and :func:`daily_conditions`
-    by date, without reading and shuffling the reports twice.
+    ``has_hourly`` and ``has_summary`` tell which of the two a day has: filtered by
+    them, these are the rows of :func:`daily_temperature` and
+    :func:`daily_conditions`, without reading and shuffling the reports twice.
     """
     hourly, summary = _is_report(V.REPORT_HOURLY), _is_report(V.REPORT_SUMMARY_OF_DAY)
     temperature = F.when(hourly, coerce_number("dry_bulb_temperature"))
@@ -111,14 +115,37 @@ def daily_weather(
             F.min(F.when(summary, F.col("sunrise"))).alias("sunrise"),
             F.max(F.when(summary, F.col("sunset"))).alias("sunset"),
             *flags,
-            F.bool_or(hourly).alias("__hourly"),
-            F.bool_or(summary).alias("__summary"),
+            F.bool_or(hourly).alias("has_hourly"),
+            F.bool_or(summary).alias("has_summary"),
         )
-        .filter("__hourly AND __summary")
-        .drop("__hourly", "__summary")
     )
 
 
+def temperature_of(days: DataFrame) -> DataFrame:
+    """The days of :func:`weather_days` with hourly reports, and their temperatures."""
+    return days.filter("has_hourly").select("date", *TEMPERATURE)
+
+
+def conditions_of(days: DataFrame) -> DataFrame:
+    """The days of :func:`weather_days` with a summary, and their conditions."""
+    return days.filter("has_summary").drop(*TEMPERATURE, "has_hourly", "has_summary")
+
+
+def both_of(days: DataFrame) -> DataFrame:
+    """The days of :func:`weather_days` with both."""
+    return days.filter("has_hourly AND has_summary").drop("has_hourly", "has_summary")
+
+
+def daily_weather(
+    raw: DataFrame,
+    station: str | None = V.STATION_CENTRAL_PARK,
+    codes: Mapping[str, str] = V.CONDITION_CODES,
+    match: str = "contains",
+) -> DataFrame:
+    """Temperatures and conditions of the days that have both, from one pass over the reports."""
+    return both_of(weather_days(raw, station, codes, match))
+
+
 def code_vocabulary(raw: DataFrame, station: str | None = V.STATION_CENTRAL_PARK) -> DataFrame:
     """The distinct weather codes with their descriptions."""
     codes = token_vocabulary(raw.filter(_at(station)), "daily_weather", sep=None, name="code")
@@ -141,13 +168,18 @@ def clean_hourly(raw: DataFrame, names: Mapping[str, str] = V.STATION_NAMES) ->
     )
 
 
-def day_series(clean: DataFrame, day: dt.date | str, measures=SERIES_MEASURES) -> DataFrame:
-    return station_series(clean, day, day, measures, where=_is_report(V.REPORT_HOURLY))
+def day_series(
+    clean: DataFrame, day: dt.date | str, measures=SERIES_MEASURES, ordered: bool = False
+) -> DataFrame:
+    where = _is_report(V.REPORT_HOURLY)
+    return station_series(clean, day, day, measures, where=where, ordered=ordered)
 
 
-def weekly_series(clean: DataFrame, day: dt.date | str, measures=SERIES_MEASURES) -> DataFrame:
+def weekly_series(
+    clean: DataFrame, day: dt.date | str, measures=SERIES_MEASURES, ordered: bool = False
+) -> DataFrame:
     """The Monday-to-Sunday week that holds the day."""
-    return week_series(clean, day, measures, where=_is_report(V.REPORT_HOURLY))
+    return week_series(clean, day, measures, where=_is_report(V.REPORT_HOURLY), ordered=ordered)
 
 
 def monthly_series(

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from daygrain import fixed_values as V
 from daygrain.plans import collisions, impact, ridership, weather
-from daygrain.queries.models import report_sql
-from daygrain.queries.raw_standins import RAW_SQL, crashes, reports, rides
+from daygrain.queries.models import in_train_sql, report_sql
+from daygrain.queries.raw_standins import GAPS_SQL, RAW_SQL, crashes, reports, rides
 from daygrain.queries.registry import query
 from daygrain.queries.standins import half_up
 
@@ -130,6 +130,26 @@ def weather_monthly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather.monthly_series(weather.clean_hourly(reports(spark, sf_dir)), 1)
 
 
+@query(f"""{RAW_SQL},
+days AS ({_crash_days_sql("crashes")})
+SELECT CAST(month(date) AS INTEGER) AS month, round(avg(crash), 6) AS avg_daily FROM days GROUP BY 1""")
+def collision_means_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the day table, as `run` takes it."""
+    means = collisions.mean_by_month(collisions.daily(crashes(spark, sf_dir)))
+    return means.withColumn("avg_daily", F.round("avg_daily", 6))
+
+
+@query(f"""{RAW_SQL},
+domain(weekday, ord) AS (
+  VALUES ('Monday', 1), ('Tuesday', 2), ('Wednesday', 3), ('Thursday', 4), ('Friday', 5),
+         ('Saturday', 6), ('Sunday', 7)),
+counts AS (SELECT dayname(crash_date) AS weekday, count(*) AS crash FROM crashes GROUP BY 1)
+SELECT weekday, ord, crash FROM domain LEFT JOIN counts USING (weekday)""")
+def collision_weekdays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the day table, as `run` takes it."""
+    return collisions.per_weekday(collisions.daily(crashes(spark, sf_dir)))
+
+
 @query(f"{RAW_SQL} {_crash_days_sql('crashes')}")
 def collision_day_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collisions.daily(collisions.clean(crashes(spark, sf_dir)))
@@ -137,11 +157,11 @@ def collision_day_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{RAW_SQL}
 SELECT crash_date AS date, nullif(count(*) FILTER (upper(trim(borough)) = 'BRONX'), 0) AS "BRONX",
-       nullif(count(*) FILTER (upper(trim(borough)) = 'QUEENS'), 0) AS "QUEENS"
+       nullif(count(*) FILTER (upper(trim(borough)) <> 'BRONX'), 0) AS "Others"
 FROM crashes WHERE borough IS NOT NULL GROUP BY 1""")
 def collision_boroughs_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = collisions.clean(crashes(spark, sf_dir))
-    return collisions.per_day_and_borough(cleaned, ["BRONX", "QUEENS"])
+    return collisions.per_day_and_borough(cleaned, ["BRONX"])
 
 
 @query(f"""{RAW_SQL}
@@ -169,7 +189,7 @@ counts AS (
   SELECT value, count(*) AS n
   FROM ({_UNION.join(f"SELECT vehicle_{i} AS value FROM crashes" for i in range(1, 6))})
   WHERE value IS NOT NULL GROUP BY 1),
-top AS (SELECT value, n FROM counts ORDER BY n DESC, value LIMIT 10)
+top AS (SELECT value, n FROM counts WHERE value <> 'Others' ORDER BY n DESC, value LIMIT 10)
 SELECT value, n FROM top
 UNION ALL
 SELECT 'Others', CAST(coalesce(sum(n), 0) AS BIGINT) FROM counts
@@ -228,13 +248,15 @@ def _spread_sql(condition: str, value: str, mode: str, where: str = "TRUE") -> s
     )
 
 
-@query(DAYS_SQL + _UNION.join(
+@query(DAYS_SQL.replace("FROM events", f"FROM events WHERE NOT ({GAPS_SQL})") + _UNION.join(
     part for m in V.SPREAD_MODES for part in (
         _spread_sql("rain", "rain", m),
         _spread_sql("snow", "snow", m),
         _spread_sql("neither", "TRUE", m, "NOT rain AND NOT snow"))))
 def transit_by_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conditions = weather.daily_conditions(reports(spark, sf_dir))
+    """From the one-pass day table, of which some days lack hourly reports."""
+    days = weather.weather_days(reports(spark, sf_dir, gaps=True))
+    conditions = weather.conditions_of(days)
     spread = ridership.spread_by_weather(rides(spark, sf_dir, fold=True), conditions)
     return spread.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
 
@@ -276,8 +298,7 @@ def joint_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MODEL_SQL = f"""{DAYS_SQL},
-model AS (
-  SELECT *, (date_diff('day', DATE '1970-01-01', date) * 7919) % 10 < 7 AS in_train FROM days)
+model AS (SELECT *, {in_train_sql("date")} AS in_train FROM days)
 """
 
 

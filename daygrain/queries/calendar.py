@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.fixed_values import MONTHS, NOT_SEVERE, SEVERE
-from daygrain.functions import month_of, name_at, severity
+from daygrain.fixed_values import MONTHS, NOT_SEVERE, SEVERE, WEEKDAYS
+from daygrain.functions import month_of, name_at, severity, weekday_name
 from daygrain.operators import (
     by_season,
     by_weekday,
     complete_domain,
     counts_by_hour,
     daily_counts_and_sums,
-    date_range,
     mean_daily_by_month,
     top_k,
     wide_counts,
@@ -75,14 +74,15 @@ WITH domain(weekday, ord) AS (
   VALUES ('Monday', 1), ('Tuesday', 2), ('Wednesday', 3), ('Thursday', 4), ('Friday', 5),
          ('Saturday', 6), ('Sunday', 7)),
 counts AS (
-  SELECT dayname(ts) AS weekday, count(*) AS n FROM events
-  WHERE ts >= DATE '2024-01-03' AND ts < DATE '2024-01-06' GROUP BY 1)
-SELECT weekday, ord, n FROM domain LEFT JOIN counts USING (weekday)
+  SELECT dayname(ts) AS weekday, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1)
+SELECT weekday, ord, n FROM (SELECT * FROM domain UNION ALL SELECT 'Holiday', 8)
+LEFT JOIN counts USING (weekday)
 """)
 def weekday_domain_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three days only, so that four weekdays have no rows."""
-    events = date_range(table(spark, sf_dir, "events"), "ts", "2024-01-03", "2024-01-05")
-    return by_weekday(events, "ts")
+    """The weekdays and one more value that has no rows."""
+    names = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull())
+    counts = names.groupBy(weekday_name("ts").alias("weekday")).agg(F.count(F.lit(1)).alias("n"))
+    return complete_domain(counts, "weekday", [*WEEKDAYS, "Holiday"])
 
 
 @query("""
@@ -103,6 +103,7 @@ def monthly_severity_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         "number",
         severity([F.col("l_quantity") > 45, F.col("l_discount") > 0.09]),
         {SEVERE: "dangerous", NOT_SEVERE: "non_injury"},
+        others=None,
     )
     named = counts.withColumn("month", name_at("number", MONTHS)).drop("number")
     return complete_domain(named, "month", MONTHS)

@@ -7,24 +7,10 @@ from pyspark.sql import functions as F
 
 from daygrain.functions import coerce_number, steady_round
 from daygrain.operators import count_flags, impact_by_condition, mean_std, mean_std_by_flag
+from daygrain.plans.impact import IMPACT_RATES, IMPACT_SUMS
 from daygrain.queries.registry import query
 from daygrain.queries.standins import DAY_TABLES_SQL, FLAGS, features, half_up, table
 
-IMPACT_SUMS = {
-    "crash": "tt_crash",
-    "ppl_i": "ppl_injured",
-    "ppl_k": "ppl_killed",
-    "sub": "sub_total",
-    "bus": "bus_total",
-}
-IMPACT_RATES = {
-    "ppl_injured_per_day": ("ppl_injured", 3),
-    "ppl_killed_per_day": ("ppl_killed", 3),
-    "crashes_per_day": ("tt_crash", 0),
-    "sub_per_day": ("sub_total", 0),
-    "bus_per_day": ("bus_total", 0),
-}
-
 
 def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)

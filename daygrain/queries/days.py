@@ -10,6 +10,7 @@ from daygrain.operators import (
     counts_join_sums,
     daily_counts_and_sums,
     daily_min_max_avg,
+    daily_sums_by_group,
     wide_counts,
 )
 from daygrain.queries.registry import query
@@ -95,8 +96,8 @@ def daily_sums_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT CAST(l_shipdate AS DATE) AS date,
        nullif(count(*) FILTER (l_returnflag = 'A'), 0) AS a,
-       nullif(count(*) FILTER (l_returnflag = 'N'), 0) AS n,
-       nullif(count(*) FILTER (l_returnflag = 'R'), 0) AS r
+       nullif(count(*) FILTER (l_returnflag = 'R'), 0) AS r,
+       nullif(count(*) FILTER (l_returnflag NOT IN ('A', 'R')), 0) AS "Others"
 FROM lineitem WHERE l_shipdate IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY 1
 """)
 def daily_by_group_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +106,46 @@ def daily_by_group_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate"),
         "date",
         "l_returnflag",
-        {"A": "a", "N": "n", "R": "r"},
-    ).orderBy("date")
+        {"A": "a", "R": "r"},
+    )
+
+
+@query("""
+SELECT CAST(o_orderdate AS DATE) AS date,
+       round(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END), 2) AS urgent,
+       round(sum(CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice END), 2) AS low,
+       round(sum(CASE WHEN o_orderpriority IS NULL OR o_orderpriority NOT IN ('1-URGENT', '5-LOW')
+                 THEN o_totalprice END), 2) AS "Others"
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1
+""")
+def daily_sums_by_group_and_others(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = daily_sums_by_group(
+        table(spark, sf_dir, "orders"),
+        "o_orderdate",
+        "o_orderpriority",
+        "o_totalprice",
+        {"1-URGENT": "urgent", "5-LOW": "low"},
+    )
+    return _rounded(sums, ["urgent", "low", "Others"])
+
+
+@query("""
+WITH texts AS (
+  SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'no date' WHEN o_orderkey % 11 = 0 THEN NULL
+              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)
+SELECT CAST(day AS DATE) AS date, count(*) AS n FROM texts
+WHERE day IS NOT NULL AND day <> 'no date' GROUP BY 1
+""")
+def daily_counts_of_iso_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days given as text, some of it no date: such rows have no day."""
+    key = F.col("o_orderkey")
+    day = (
+        F.when(key % 7 == 0, "no date")
+        .when(key % 11 == 0, F.lit(None))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    )
+    texts = table(spark, sf_dir, "orders").select(day.alias("day"))
+    return daily_counts_and_sums(texts, "day", []).filter(F.col("date").isNotNull())
 
 
 _GRID_CODES = ["5-LOW", "1-URGENT", "SPECIFIED", "2-HIGH", "NEVER"]

@@ -53,7 +53,7 @@ def csv_roundtrip_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS date FROM orders")
 def csv_roundtrip_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many files in two targets; the second is read as text and typed by name."""
-    targets = [scratch_folder(spark, "csv-parts"), scratch_folder(spark, "csv-parts")]
+    targets = [scratch_folder(spark, "csv-parts") for _ in range(2)]
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("DATE")
     )
@@ -71,6 +71,31 @@ def csv_roundtrip_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT o_orderkey, target, CASE o_orderkey % 4
+  WHEN 0 THEN o_orderstatus || chr(10) || o_orderpriority
+  WHEN 1 THEN 'said "' || o_orderstatus || '", twice'
+  WHEN 2 THEN '  ' || o_orderstatus || ' ' ELSE o_orderstatus END AS text
+FROM orders, (VALUES (1), (2)) AS t(target)
+""")
+def csv_equal_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes and outer blanks in two targets, both read back."""
+    status, number = F.col("o_orderstatus"), F.col("o_orderkey") % 4
+    text = (
+        F.when(number == 0, F.concat_ws("\n", status, "o_orderpriority"))
+        .when(number == 1, F.concat(F.lit('said "'), status, F.lit('", twice')))
+        .when(number == 2, F.concat(F.lit("  "), status, F.lit(" ")))
+        .otherwise(status)
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    targets = write_to_all(orders, [scratch_folder(spark, "csv-equal") for _ in range(2)])
+    one, two = (
+        read_csv(spark, path, orders.schema, multiline=True).withColumn("target", F.lit(i))
+        for i, path in enumerate(targets, 1)
+    )
+    return one.unionByName(two)
+
+
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders")
 def csv_date_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A date column in another notation, typed by the reader."""

@@ -43,13 +43,18 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corr_matrix(corr, YS)
 
 
+def in_train_sql(day: str, seed: int = 0) -> str:
+    """SQL for ``in_training``."""
+    digest = f"md5(CAST({day} AS VARCHAR) || '|{seed}')"
+    return f"CAST('0x' || substr({digest}, 1, 8) AS BIGINT) % 10 < 7"
+
+
 # Prices in units of 100,000, so that coefficients are neither huge nor tiny.
 SCALE = 100000
 _MODEL_SQL = f"""{DAY_TABLES_SQL},
 model AS (
   SELECT date, min_t / {SCALE} AS min_t, max_t / {SCALE} AS max_t, sub / {SCALE} AS sub,
-         bus / {SCALE} AS bus, crash, ppl_i, ppl_k,
-         (date_diff('day', DATE '1970-01-01', date) * 7919) % 10 < 7 AS in_train
+         bus / {SCALE} AS bus, crash, ppl_i, ppl_k, {in_train_sql("date")} AS in_train
   FROM features)
 """
 FEATURES = ["min_t", "max_t", "sub", "bus"]
@@ -72,13 +77,23 @@ def key_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(_MODEL_SQL + "SELECT count(*) AS days, CAST(sum(crash) AS BIGINT) AS crash FROM model")
+@query(_MODEL_SQL + """
+SELECT count(*) AS days, CAST(sum(crash) AS BIGINT) AS crash, CAST(0 AS BIGINT) AS in_both,
+       TRUE AS about_seven_to_three
+FROM model""")
 def random_split_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both random parts together are the whole table."""
+    """Both random parts together are the whole table, they share no day, and none is empty or all."""
     days = written(_model_table(spark, sf_dir).select("date", "crash"), "split-days")
     first, second = random_split(days, seed=17)
-    return first.unionByName(second).agg(
-        F.count(F.lit(1)).alias("days"), F.sum("crash").alias("crash")
+    parts = first.withColumn("train", F.lit(1)).unionByName(second.withColumn("train", F.lit(0)))
+    by_day = parts.groupBy("date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("crash").alias("crash"), F.avg("train").alias("train")
+    )
+    return by_day.agg(
+        F.sum("n").alias("days"),
+        F.sum("crash").alias("crash"),
+        F.count_if(F.col("n") > 1).alias("in_both"),
+        F.avg("train").between(0.6, 0.8).alias("about_seven_to_three"),
     )
 
 

@@ -81,7 +81,12 @@ def collision_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_sums_by_group(
-        table(spark, sf_dir, "orders"), "o_orderdate", "o_orderstatus", "o_totalprice", STATUS_MODES
+        table(spark, sf_dir, "orders"),
+        "o_orderdate",
+        "o_orderstatus",
+        "o_totalprice",
+        STATUS_MODES,
+        others=None,  # these are all the statuses
     )
 
 

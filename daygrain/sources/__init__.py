@@ -7,9 +7,9 @@ from daygrain.sources.raw import (
     read_weather,
 )
 from daygrain.sources.readers import conform, read_csv, read_csv_text, read_table
-from daygrain.sources.sinks import write_table, write_to_all, written
+from daygrain.sources.sinks import scratch_copy, write_table, write_to_all, written
 
 __all__ = [
     "conform", "read_collisions", "read_correlations", "read_csv", "read_csv_text",
-    "read_ridership", "read_table", "read_weather", "write_table", "write_to_all", "written",
+    "read_ridership", "read_table", "read_weather", "scratch_copy", "write_table", "write_to_all", "written",
 ]

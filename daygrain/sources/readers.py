@@ -14,11 +14,17 @@ from pyspark.sql.types import StructType
 from daygrain.functions.calendar import parse_date, parse_timestamp
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with every column as text; names come from the header line."""
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Header CSV with every column as text; names come from the header line.
+
+    ``multiline`` is for files with line breaks inside quotes, such as
+    :func:`daygrain.sources.write_table` leaves for texts that hold some; a file is
+    then read by one task.
+    """
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
+        .option("multiLine", multiline)
         .csv(path)
     )
 
@@ -30,14 +36,16 @@ def read_csv(
     date_pattern: str | None = None,
     header: bool = True,
     sep: str = ",",
+    multiline: bool = False,
 ) -> DataFrame:
     """Typed CSV; a field that does not fit its type is null.
 
     Give the schema for anything large: without one Spark reads the files once
     more to infer it. With a header, the names in every file must agree with the
-    schema, rather than being matched by position.
+    schema, rather than being matched by position. ``multiline`` as in
+    :func:`read_csv_text`.
     """
-    reader = spark.read.option("header", header).option("sep", sep)
+    reader = spark.read.option("header", header).option("sep", sep).option("multiLine", multiline)
     if date_pattern:
         reader = reader.option("dateFormat", date_pattern)
     if schema is None:

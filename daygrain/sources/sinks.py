@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.session import scratch_folder
-from daygrain.sources.readers import read_csv, read_csv_text, read_table
+from daygrain.sources.readers import read_table
 
 
 def write_table(
@@ -40,7 +41,10 @@ def write_table(
         df = df.sortWithinPartitions(*order)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # blanks around a value belong to it
+        writer = writer.options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -57,21 +61,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return read_table(spark, write_table(df, scratch_folder(spark, name)))
 
 
+@contextmanager
+def scratch_copy(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As :func:`written`, and removed when the block ends: nothing lazy may need it after that."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
+    try:
+        yield read_table(spark, write_table(df, path))
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_to_all(df: DataFrame, paths: Sequence[str], fmt: str = "csv", **options) -> list[str]:
-    """Write one frame to several targets.
+    """Write one frame to several targets, each with the same rows.
 
-    The plan runs once: later targets are filled from the files of the first, so
-    nothing has to fit in memory and a lost executor costs no recomputation.
+    The plan runs once, into a scratch copy that keeps types and texts as they are;
+    every target is filled from it, so nothing has to fit in memory and a lost
+    executor costs no recomputation.
     """
-    first, *others = paths
-    write_table(df, first, fmt, **options)
-    spark = df.sparkSession
-    if fmt != "csv":
-        copy = read_table(spark, first, fmt)
-    elif options.get("order_by"):
-        copy = read_csv(spark, first, df.schema)
-    else:
-        copy = read_csv_text(spark, first)
-    for path in others:
-        write_table(copy, path, fmt, **options)
+    with scratch_copy(df, "targets") as copy:
+        for path in paths:
+            write_table(copy, path, fmt, **options)
     return list(paths)

@@ -1,11 +1,16 @@
 import datetime as dt
+import hashlib
 import math
+import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from daygrain import operators as op
+from daygrain.functions import rate
+from daygrain.operators import regression
 
 D = dt.date
 
@@ -91,14 +96,17 @@ def test_top_k_with_others_counts_every_value(spark):
     assert rows(op.top_k_with_others(df, ["a", "b", "c"], 2)) == [("x", 4), ("y", 3), ("Others", 3)]
     # fewer values than k: the rest is there and empty
     assert rows(op.top_k_with_others(df, ["c"], 5)) == [("w", 1), ("Others", 0)]
-    # a value that is called like the rest stays apart from it
-    named = spark.createDataFrame([("Others",), ("Others",), ("a",)], "v string")
-    assert rows(op.top_k_with_others(named, ["v"], 1)) == [("Others", 2), ("Others", 1)]
+    # a value that is called like the rest is part of it
+    named = spark.createDataFrame([("Others",), ("Others",), ("a",), ("b",), ("b",)], "v string")
+    assert rows(op.top_k_with_others(named, ["v"], 1)) == [("b", 2), ("Others", 3)]
 
 
 def test_wide_counts_uses_null_for_none(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None), (None, "a")], "k int, v string")
-    got = rows(op.wide_counts(df, "k", "k", "v", ["a", "b"]).orderBy("k"))
+    got = rows(op.wide_counts(df, "k", "k", "v", ["a", "b"], others=None).orderBy("k"))
+    assert rows(op.wide_counts(df, "k", "k", "v", ["b"]).orderBy("k")) == [(1, None, 2), (2, 1, None)]
+    with pytest.raises(ValueError, match="Others"):
+        op.wide_counts(df, "k", "k", "v", ["Others"])
     assert got == [(1, 2, None), (2, None, 1)]
     whole = rows(op.wide_counts(df, "k", "k", "v", ["a"], others="rest").orderBy("k"))
     assert whole == [(1, 2, None), (2, None, 1)]
@@ -150,7 +158,7 @@ def test_monthly_means_skip_empty_values(spark):
         [(D(2022, 1, 1), 2), (D(2022, 1, 9), 4), (D(2022, 1, 10), None), (D(2022, 2, 1), 10)], "d date, v int"
     )
     monthly = op.monthly_means(df, "d", ["v"])
-    assert rows(monthly) == [("2022-01", 3.0), ("2022-02", 10.0)]
+    assert sorted(rows(monthly)) == [("2022-01", 3.0), ("2022-02", 10.0)]
     assert rows(op.mean_of_groups(monthly, ["v"], "name", "mean")) == [("v", 6.5)]
 
 
@@ -168,9 +176,9 @@ def test_series_are_sorted_and_selected(spark):
         ],
         "station string, ts timestamp_ntz, m double",
     )
-    assert [r.m for r in op.station_series(df, "2022-01-03", "2022-01-03", ["m"]).collect()] == [2.0, 1.0]
-    assert [r.m for r in op.week_series(df, "2022-01-05", ["m"]).collect()] == [2.0, 1.0, 3.0]
-    assert [r.m for r in op.month_series(df, 1, ["m"], stations=["a"]).collect()] == [5.0, 1.0, 3.0, 4.0]
+    assert [r.m for r in op.station_series(df, "2022-01-03", "2022-01-03", ["m"], ordered=True).collect()] == [2.0, 1.0]
+    assert [r.m for r in op.week_series(df, "2022-01-05", ["m"], ordered=True).collect()] == [2.0, 1.0, 3.0]
+    assert [r.m for r in op.month_series(df, 1, ["m"], stations=["a"], ordered=True).collect()] == [5.0, 1.0, 3.0, 4.0]
     assert [r.m for r in op.month_series(df, 1, ["m"], year=2022, stations=["b"]).collect()] == [2.0]
     assert rows(op.measure_bounds(df, "m")) == [(1.0, 5.0)]
 
@@ -258,8 +266,7 @@ def test_ols_report_against_numpy(spark, sample):
     day, x, y = sample
     report = {(r.label, r.term): r for r in op.ols_report(df, list("abcd"), ["y", "z"]).collect()}
     assert len(report) == 10
-    number = np.array([(d - D(1970, 1, 1)).days for d in day])
-    train = number * 7919 % 10 < 7
+    train = np.array([int(hashlib.md5(f"{d}|0".encode()).hexdigest()[:8], 16) % 10 < 7 for d in day])
     design = np.column_stack([x, np.ones(len(y))])
     for label, target in (("y", y), ("z", y * 2 + 1)):
         a, b = design[train], target[train]
@@ -307,6 +314,65 @@ def test_split_by_day_covers_every_row_once(spark, sample):
     assert again.select("date").exceptAll(train.select("date")).count() == 0
 
 
+def test_split_by_day_scatters_the_days(spark):
+    df = spark.range(3000).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    side = [r[0] for r in df.orderBy("date").select(op.in_training("date")).collect()]
+    assert 0.66 < sum(side) / len(side) < 0.74
+    changes = sum(a != b for a, b in zip(side, side[1:]))
+    assert 0.38 < changes / len(side) < 0.46  # 2 * 0.7 * 0.3 of neighbours fall apart
+    other = [r[0] for r in df.orderBy("date").select(op.in_training("date", seed=1)).collect()]
+    assert other != side
+
+
+def test_ols_report_without_held_out_days_and_without_a_copy_left(spark, sample):
+    df = _table(spark, sample)
+    train, _ = op.split_by_day(df)
+    report = op.ols_report(train, ["a"], ["y"]).collect()
+    assert all(r.holdout_r2 is None and r.holdout_rmse is None and r.r2 is not None for r in report)
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "daygrain"
+    before = set(folder.glob("model-days-*"))
+    op.ols_report(df, ["a"], ["y"], split="random", seed=5)
+    assert set(folder.glob("model-days-*")) == before
+
+
+def test_only_missing_t_values_become_null():
+    class Lost:
+        @property
+        def tValues(self):  # noqa: N802
+            raise RuntimeError("an executor was lost")
+
+    class Model:
+        summary = Lost()
+
+    with pytest.raises(RuntimeError, match="lost"):
+        regression._t_values(Model(), 2)
+
+
+def test_rates_of_whole_numbers_are_exact(spark):
+    df = spark.createDataFrame([(4999999999, 10**10), (5 * 10**9, 10**10), (7, 2), (-7, 2), (1, 0)], "t long, d long")
+    got = [r[0] for r in df.select(rate("t", "d", 0, whole=True)).collect()]
+    assert got == [0.0, 1.0, 4.0, -4.0, None]
+    assert df.select(rate("t", "d", 3, whole=True)).first()[0] == 0.5
+
+
+def test_months_open_their_folders_only(spark, tmp_path):
+    path = str(tmp_path / "months")
+    df = spark.range(1200).select(
+        F.lit("s").alias("station"), F.col("id").cast("double").alias("m"),
+        (F.lit("2021-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int"))).alias("ts"),
+    )
+    df.withColumns({"year": F.year("ts"), "month": F.month("ts")}).write.partitionBy("year", "month").parquet(path)
+    table = spark.read.parquet(path)
+    for series, n in (
+        (op.month_series(table, 2, ["m"]), 28 * 3 + 29),
+        (op.month_series(table, 2, ["m"], year=2022), 28),
+        (op.station_series(table, "2021-12-30", "2022-01-02", ["m"]), 4),
+    ):
+        plan = series._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*month", plan), plan
+        assert series.count() == n
+
+
 def test_random_split_is_repeatable(spark, sample):
     df = _table(spark, sample)
     a, b = op.random_split(df, seed=3)

@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from daygrain.queries import oracle_sql, queries
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = queries()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from daygrain.queries import queries
 from daygrain.operators import date_range, join_on
 
-QUERIES = entry.queries()
+QUERIES = queries()
 
 
 def planned(df):

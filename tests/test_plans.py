@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from daygrain import fixed_values as V
-from daygrain.plans import collisions, impact, ridership, run, weather
+from daygrain.plans import Scope, collisions, impact, ridership, run, weather
 from daygrain.sources import read_collisions, read_csv, read_ridership, read_table, read_weather
 
 D = dt.date
@@ -104,7 +104,7 @@ J1, J2, J3, J4 = (D(2022, 1, d) for d in range(1, 5))
 
 
 def test_daily_temperature(reports):
-    assert rows(weather.daily_temperature(reports)) == [
+    assert sorted(rows(weather.daily_temperature(reports))) == [
         (J1, 9.0, 100.0, pytest.approx(119 / 3)), (J2, 30.0, 30.0, 30.0), (J3, 20.0, 20.0, 20.0),
         (J4, 25.0, 25.0, 25.0),
     ]
@@ -114,12 +114,12 @@ def test_daily_temperature(reports):
 def test_daily_conditions(reports):
     got = weather.daily_conditions(reports)
     assert got.columns == ["date", "sunrise", "sunset", "rain", "snow", "mist", "haze", "fog"]
-    assert rows(got) == [
+    assert sorted(rows(got)) == [
         (J1, 720, 1639, True, False, False, False, True),
         (J2, 720, 1640, True, True, False, False, False),
         (J3, 720, 1641, False, False, False, False, False),
     ]
-    exact = rows(weather.daily_conditions(reports, match="token"))
+    exact = sorted(rows(weather.daily_conditions(reports, match="token")))
     assert exact[1] == (J2, 720, 1640, False, False, False, False, False)
 
 
@@ -149,12 +149,12 @@ def test_report_counts(reports):
 
 def test_clean_hourly_and_series(reports):
     clean = weather.clean_hourly(reports)
-    first = rows(weather.day_series(clean, "2022-01-01"))
+    first = rows(weather.day_series(clean, "2022-01-01", ordered=True))
     assert [(r[0], r[2], r[4]) for r in first] == [
         ("Central Park", 9.0, 0.0), ("LGA", -99.0, 0.0), ("Central Park", 10.0, 0.1),
         ("Central Park", 100.0, None), ("Central Park", None, None),
     ]
-    week = rows(weather.weekly_series(clean, "2022-01-05"))
+    week = rows(weather.weekly_series(clean, "2022-01-05", ordered=True))
     assert [r[2] for r in week] == [20.0, 25.0]
     assert [r[0] for r in rows(weather.monthly_series(clean, 2))] == ["EWR"]
     assert rows(weather.monthly_series(clean, 2, stations=["LGA"])) == []
@@ -180,21 +180,24 @@ def test_collision_cleaning_and_day_table(crashes):
 
 
 def test_collision_profiles(crashes):
-    assert rows(collisions.worst_days(crashes, 2)) == [(J1, 2), (J2, 1)]
-    assert rows(collisions.mean_by_month(crashes)) == [(1, pytest.approx(4 / 3)), (7, 1.0)]
-    weekday = {r[0]: r[2] for r in rows(collisions.per_weekday(crashes))}
+    days = collisions.daily(crashes)
+    assert rows(collisions.worst_days(days, 2)) == [(J1, 2), (J2, 1)]
+    assert rows(collisions.mean_by_month(days)) == [(1, pytest.approx(4 / 3)), (7, 1.0)]
+    weekday = {r[0]: r[2] for r in rows(collisions.per_weekday(days))}
     assert weekday == {"Saturday": 2, "Sunday": 1, "Monday": 2, "Tuesday": None, "Wednesday": None,
                        "Thursday": None, "Friday": None}
-    assert [r[2] for r in rows(collisions.per_season(crashes))] == [4, None, 1, None]
+    assert [r[2] for r in rows(collisions.per_season(days))] == [4, None, 1, None]
     assert rows(collisions.per_hour(crashes)) == [(0, 2), (7, 3), (23, 1)]
     months = rows(collisions.severity_by_month(crashes))
     assert len(months) == 12
     assert months[0] == ("January", 1, 2, 2) and months[1] == ("February", 2, None, None)
     assert months[6] == ("July", 7, 1, None)
     boroughs = collisions.per_day_and_borough(crashes)
-    assert [tuple(r) for r in boroughs.select("date", "BRONX", "QUEENS").collect()] == [
-        (J1, 1, 1), (J3, 1, None), (D(2022, 7, 4), 1, None),
+    assert [tuple(r) for r in boroughs.select("date", "BRONX", "QUEENS", "Others").orderBy("date").collect()] == [
+        (J1, 1, 1, None), (J3, 1, None, None), (D(2022, 7, 4), 1, None, None),
     ]
+    unlisted = collisions.per_day_and_borough(crashes, ["QUEENS"]).orderBy("date")
+    assert rows(unlisted) == [(J1, 1, 1), (J3, None, 1), (D(2022, 7, 4), None, 1)]
 
 
 def test_vehicles_and_parties(crashes):
@@ -253,32 +256,51 @@ def test_run_writes_every_product(spark, raw, tmp_path):
 
     draw = random.Random(1)
     folder = {k: tmp_path / k for k in raw}
-    days = [D(2022, 3, 1) + dt.timedelta(days=i) for i in range(40)]
+    days = [D(2023, 3, 1) + dt.timedelta(days=i) for i in range(40)]
+    crashed, ridden, half = {}, {}, 0
     reports, crashes, rides = [WEATHER.splitlines()[0]], [COLLISIONS.splitlines()[0]], [RIDERSHIP.splitlines()[0]]
     for i, d in enumerate(days):
-        for hour in (6, 14):
+        for hour in (6, 14) if i % 4 else ():
             reports.append(f"{PARK},{d}T{hour:02d}:51:00,FM-15,7,,{draw.randint(20, 90)},50,0.00,,")
         reports.append(f"{PARK},{d}T23:59:00,SOD  ,6,{'RA' if i % 3 else 'SN BR'},,,,06{i:02d},18{i:02d}")
-        for j in range(draw.randint(1, 6)):
-            crashes.append(_collision(crash_date=d, crash_time=f"{j}:15", borough="QUEENS", ppl_i=j % 2,
+        crashed[d] = draw.randint(1, 6)
+        for j in range(crashed[d]):
+            half += j % 2
+            crashes.append(_collision(crash_date=d, crash_time=f"{j}:15", borough="QUEENS" if j % 2 else "ELSEWHERE", ppl_i=j % 2,
                                       ppl_k=draw.randint(0, 1), vehicle_1=f"Type {j}", collision_id=i * 10 + j))
-        rides.append(",".join([d.strftime("%m/%d/%Y")] + [str(draw.randint(100, 900)) for _ in range(9)]))
+        counts = [draw.randint(100, 900) for _ in range(9)]
+        ridden[d] = counts[0]
+        rides.append(",".join([d.strftime("%m/%d/%Y"), *map(str, counts)]))
     for name, lines in (("weather", reports), ("collisions", crashes), ("ridership", rides)):
         folder[name].mkdir()
-        half = len(lines) // 2
-        (folder[name] / "a.csv").write_text("\n".join(lines[:half]) + "\n")
-        (folder[name] / "b.csv").write_text("\n".join([lines[0], *lines[half:]]) + "\n")
-    out = str(tmp_path / "out")
+        middle = len(lines) // 2
+        (folder[name] / "a.csv").write_text("\n".join(lines[:middle]) + "\n")
+        (folder[name] / "b.csv").write_text("\n".join([lines[0], *lines[middle:]]) + "\n")
+    out, year = str(tmp_path / "out"), Scope("2023-01-01", "2023-12-31")
     names = run(spark, str(folder["weather"]), str(folder["collisions"]), str(folder["ridership"]), out,
-                events_by_month=True)
-    assert len(names) == 26
-    assert read_table(spark, f"{out}/results/daily_features").count() == 40
+                events_by_month=True, scope=year)
+    assert len(names) == 31
+    assert read_table(spark, f"{out}/tables/daily_features").count() == 30
+    # days without hourly reports count where conditions alone are asked for
+    assert read_table(spark, f"{out}/results/weather_cond").count() == 40
+    assert read_table(spark, f"{out}/results/weather_agg").count() == 30
+    spread = {(r.condition, r.value): r for r in read_table(spark, f"{out}/results/transit_by_weather").filter("measure = 'sub'").collect()}
+    wet = [ridden[d] for i, d in enumerate(days) if i % 3]
+    assert spread["rain", True]["mean"] == pytest.approx(sum(wet) / len(wet))
+    crashes_of = {r[0]: r[1] for r in read_table(spark, f"{out}/results/worst_days").collect()}
+    assert crashes_of == {d: n for d, n in sorted(crashed.items(), key=lambda x: (-x[1], x[0]))[:20]}
+    weekdays = {r.weekday: r.crash for r in read_table(spark, f"{out}/results/collisions_by_weekday").collect()}
+    assert sum(weekdays.values()) == sum(crashed.values())
+    boroughs = read_table(spark, f"{out}/results/collisions_by_borough")
+    assert boroughs.selectExpr("sum(QUEENS)", "sum(Others)").first() == (half, sum(crashed.values()) - half)
+    predicted = read_table(spark, f"{out}/results/predictions_crash")
+    assert 0 < predicted.count() < 30
     terms = read_table(spark, f"{out}/results/regression").collect()
     assert {(r.label, r.term) for r in terms} == {
         (label, term) for label in V.MODEL_LABELS for term in [*V.MODEL_FEATURES, "intercept"]
     }
     assert read_table(spark, f"{out}/tables/collisions").filter("month = 4").count() > 0
     again = run(spark, str(folder["weather"]), str(folder["collisions"]), str(folder["ridership"]), out,
-                fmt="csv", mode="overwrite")
+                fmt="csv", mode="overwrite", scope=year)
     assert again == names
-    assert read_csv(spark, f"{out}/results/correlations").count() == 80
+    assert read_table(spark, f"{out}/tables/correlations").count() == 80

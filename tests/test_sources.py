@@ -122,7 +122,8 @@ def test_scratch_folder_is_never_local_to_a_machine_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_folder(Session("yarn"), "x")
     local = Session("local[2]")
-    assert scratch_folder(local, "x").startswith(local.conf["spark.checkpoint.dir"])
+    assert scratch_folder(local, "x") != scratch_folder(local, "x")
+    assert list(local.conf) == ["spark.master"]  # the caller's settings stay as they are
 
 
 def test_scratch_folder_lies_in_the_checkpoint_folder(spark):
