@@ -40,7 +40,10 @@ class Codec:
 
     def _segment(self, chunk: str) -> tuple[int, str, str]:
         """Number of ids, ids as text, and decoded text of a chunk, which starts with a mark."""
-        ids = self.library.encode(chunk[1:].replace(MARK, " "))
+        if chunk == MARK:  # a space at the end of a text; without it the library sees no text
+            ids = [self.library.piece_to_id(MARK)]
+        else:
+            ids = self.library.encode(chunk[1:].replace(MARK, " "))
         # the library leaves out the space in front, which stands for the mark it adds
         return len(ids), ",".join(map(str, ids)), " " + self.library.decode(ids)
 
