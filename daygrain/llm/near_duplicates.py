@@ -27,8 +27,8 @@ from daygrain.llm.tables import written
 #: Bands and bins of each: a pair of similarity 0.8 shares no band with a chance of 3 in a million.
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
-#: Documents of a bucket that one task compares at once.
-BLOCK = 1000
+#: Documents of a cluster that one task compares with as many at once, and bytes of their sets.
+BLOCK, BLOCK_BYTES = 128, 4 << 20
 #: Pairs whose sketches agree in less than this share are not similar: at similarity 0.8 the chance of
 #: falling below is under 1e-9.
 LEAST_AGREEMENT = 0.5
@@ -152,29 +152,61 @@ def _fits(a: Column, b: Column, threshold: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * threshold
 
 
+def _common(one: list[np.ndarray], two: list[np.ndarray]):
+    """Function of i: sizes of the intersections of ``one[i]`` with each of ``two``.
+
+    Shingles that two sets share get a bit each, and bits are counted.
+    """
+    sets = one + two
+    every, number = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    shared = np.bincount(number, minlength=len(every)) > 1
+    bit = np.cumsum(shared) - 1
+    keep = shared[number]
+    at, row = bit[number[keep]], owner[keep]
+    bits = np.zeros((len(sets), int(shared.sum()) // 64 + 1), U64)
+    np.bitwise_or.at(bits, (row, at // 64), U64(1) << (at % 64).astype(U64))
+    left, right = bits[: len(one)], bits[len(one) :]
+    return lambda i: np.bitwise_count(left[i] & right).sum(axis=1, dtype=np.int64)
+
+
 def _across(threshold: int):
-    """Pairs of different components in two blocks of a bucket whose sketches and sizes allow a link."""
+    """Links between different components in two blocks of a cluster, as few as connect them.
+
+    All pairs are tested by sizes and sketches, and what those allow by full sets.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        first = int(group["first"].iloc[0])
-        second = int(group["second"].iloc[0])
+        first, second = int(group["first"].iloc[0]), int(group["second"].iloc[0])
         one, two = group[group["block"] == first], group[group["block"] == second]
-        x = np.stack([np.frombuffer(s, "<u4") for s in one["sketch"]]) if len(one) else None
-        y = np.stack([np.frombuffer(s, "<u4") for s in two["sketch"]]) if len(two) else None
-        found = []
-        for i in range(len(one)):
-            if y is None:
-                break
-            n, m = one["n"].iloc[i], two["n"].to_numpy()
-            ok = (
-                ((x[i] == y).mean(axis=1) >= LEAST_AGREEMENT)
-                & (two["component"].to_numpy() != one["component"].iloc[i])
-                & (np.minimum(n, m) * 100 >= np.maximum(n, m) * threshold)
-            )
-            a, b = one["node"].iloc[i], two["node"].to_numpy()[ok]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(np.unique(pairs, axis=0), columns=["a", "b"]).astype("int64")
+        found: list[tuple[int, int]] = []
+        if len(one) and len(two):
+            y = np.stack([np.frombuffer(s, "<u4") for s in two["sketch"]])
+            x = np.stack([np.frombuffer(s, "<u4") for s in one["sketch"]])
+            sets = [[np.frombuffer(s, U64) for s in part["shingles"]] for part in (one, two)]
+            common = _common(*sets)
+            n, m = one["n"].to_numpy(), two["n"].to_numpy()
+            kin, other = one["component"].to_numpy(), two["component"].to_numpy()
+            root = {int(c): int(c) for c in np.r_[kin, other]}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    c = root[c]
+                return c
+
+            for i in range(len(one)):
+                ok = (other != kin[i]) & (np.minimum(n[i], m) * 100 >= np.maximum(n[i], m) * threshold)
+                ok &= (x[i] == y).mean(axis=1) >= LEAST_AGREEMENT
+                if not ok.any():
+                    continue
+                both = common(i)
+                ok &= (both > 0) & (100 * both >= threshold * (n[i] + m - both))
+                for j in np.flatnonzero(ok):
+                    p, q = find(int(kin[i])), find(int(other[j]))
+                    if p != q:
+                        root[p] = q
+                        found.append((int(one["node"].iloc[i]), int(two["node"].iloc[j])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return run
 
@@ -190,10 +222,11 @@ def near_duplicates(
     what links reach; ``component_id`` is its smallest id.
 
     Equal sets are one node. In each bucket of a band all nodes are compared with the smallest one,
-    so a group of copies costs one pair for each member. What that links is contracted. In buckets
-    that still hold several components all pairs between different components are compared, in
-    blocks of ``BLOCK`` x ``BLOCK`` nodes, by sketch first and then by their full sets. No bucket is
-    capped and no link between components of a bucket is left untested.
+    so a group of copies costs one pair for each member. Buckets that still hold several components
+    after that are joined to clusters by their nodes, and in a cluster all pairs between different
+    components are compared, in blocks of ``BLOCK`` x ``BLOCK`` nodes, by sketch first and then by
+    their full sets. Blocks give links that connect components, not pairs. No bucket is capped and
+    no link between components of a bucket is left untested.
 
     A row with a null or empty text, or without words, has set size 0 and is alone; so is a row
     without id, which has a null component and is kept. Rows with the same id count as one document
@@ -233,20 +266,33 @@ def near_duplicates(
     labelled = written(labelled, "labelled")
     mixed = (
         labelled.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.min("node").alias("pivot"))
         .filter("low <> high and members > 2")
-        .select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        .select("band", "pivot")
+    )
+    inside = written(
+        labelled.join(written(mixed, "mixed"), "band").select("pivot", "node", "component").distinct(), "mixed"
     )
-    apart = (
-        labelled.join(written(mixed, "mixed"), "band")
+    clusters = components(inside.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    members = written(
+        clusters.select("node", F.col("component_id").alias("cluster"))
+        .join(inside.groupBy("node").agg(F.min("component").alias("component")), "node")
         .join(nodes.select("node", "n", "sketch"), "node")
+        .join(sets, "node"),
+        "members",
+    )
+    cuts = members.groupBy("cluster").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("shingles")) / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
+    apart = (
+        members.join(written(cuts, "cuts"), "cluster")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("first", F.least("block", "other"))
-        .withColumn("second", F.greatest("block", "other"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("first", F.least("block", "with"))
+        .withColumn("second", F.greatest("block", "with"))
+        .drop("blocks", "with")
     )
-    pairs = apart.groupBy("band", "first", "second").applyInPandas(_across(threshold), "a long, b long").distinct()
-    more = _similar(pairs, sets, threshold)
+    more = apart.groupBy("cluster", "first", "second").applyInPandas(_across(threshold), "a long, b long")
     final = components(written(links.unionByName(more), "links"))
 
     # documents of a set stand under its node; sets of one id stand together
@@ -261,3 +307,10 @@ def near_duplicates(
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def first_of_each(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that ``near_duplicates`` keeps: one id of each component."""
+    gone = near_duplicates(docs, size, threshold).filter("not kept").select("doc_id").distinct()
+    gone = written(gone, "gone").withColumnRenamed("doc_id", "gone_id")
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("gone_id"), "left_anti")
