@@ -13,6 +13,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import pandas as pd
@@ -71,7 +72,8 @@ class WordIds:
         numbers, ids = self.numbers, self.ids
         ended = []
         for word in numbers.new:  # grows while it is read: bare words may be new too
-            if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+            # some letters are more than letters when composed anew or in lower case
+            if word[-1:] in (".", ",") and normalize("NFC", word[-2:-1]).lower().isalpha():
                 ended.append((numbers[word], numbers[word[:-1]], numbers[word[-1]]))
         ids.extend([b""] * (len(numbers) - len(ids)))
         whole = {n for n, _, _ in ended}
