@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daygrain.llm import language_id, near_duplicates, packing, suffix_dedup, toxicity
 from daygrain.llm.queries import tokenizer
-from daygrain.llm.tables import table, written
+from daygrain.llm.tables import ship, table, written
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,21 +22,25 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a network learned from their ``lang`` gives a language."""
+    ship(spark)
     return language_id.in_languages(docs, language_id.train(language_id.training_sample(docs)))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: shingles of five words, similarity 0.8."""
+    ship(spark)
     return near_duplicates.first_of_each(docs, size=5, threshold=80)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 100 bytes and more that also start earlier."""
+    ship(spark)
     return suffix_dedup.without_repeats(docs, length=100)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 4096 token ids."""
+    ship(spark)
     return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), size=4096)
 
 

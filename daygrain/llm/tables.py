@@ -2,16 +2,47 @@
 
 from __future__ import annotations
 
+import os
+import site
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import daygrain
 from daygrain.sources import sinks
 
 #: Bytes of text that one task is dealt where an operator chooses the number of its partitions.
 TEXT_PER_TASK = 8 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package known to the Python workers, once for each application.
+
+    Nothing is done where they find it by themselves: installed, named in PYTHONPATH, in the working
+    folder, or given with ``--py-files``.
+    """
+    root = Path(daygrain.__file__).resolve().parents[1]
+    found = ["", *os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
+    if not root.is_dir() or str(root) in map(os.path.realpath, found):
+        return
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        archive = Path(tempfile.mkdtemp(prefix="daygrain-")) / "daygrain.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted((root / "daygrain").rglob("*.py")):
+                out.write(file, file.relative_to(root))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,4 +70,4 @@ def tasks_for(size: int, per_task: int = TEXT_PER_TASK, least: int = 12) -> int:
     return max(least, -(-size // per_task))
 
 
-__all__ = ["TEXT_PER_TASK", "table", "tasks_for", "text_bytes", "written"]
+__all__ = ["TEXT_PER_TASK", "ship", "table", "tasks_for", "text_bytes", "written"]

@@ -197,3 +197,38 @@ def test_ties_go_to_the_longest_last_piece():
     assert unigram.best("aba") == (2, -3.0)
     assert unigram.best("") == (0, 0.0)
     assert unigram.best("é")[0] == 2  # the bytes of a character without a piece
+
+
+ALPHABET = " \n\t abéÉ🙂.,1'ſtsİΣσ\u0301\u00a0\u3000-中d<|ªº²ⅷßŉǰΐ\u212bﬁ\u0958▁0x>\u0000"
+
+
+def _random_texts(n):
+    import random
+
+    draw = random.Random(11)
+    return ["".join(draw.choice(ALPHABET) for _ in range(draw.randint(0, 14))) for _ in range(n)]
+
+
+def test_word_ids_of_random_texts_equal_the_library():
+    words = packing.WordIds(WORDS)
+    texts = [*_random_texts(3000), "a<|endoftext|>b.", "<|startoftext|>, x"]
+    coded = words.library.encode_batch(texts, add_special_tokens=False)
+    for text, one, ids in zip(texts, coded, words(texts), strict=True):
+        assert np.array(one.ids, "<u4").tobytes() == ids, repr(text)
+
+
+def test_codes_of_random_texts_equal_the_library():
+    codec = sentencepiece_codec.Codec(PIECES)
+    for text in _random_texts(3000):
+        ids = codec.library.encode(text)
+        assert codec(text) == (len(ids), ",".join(map(str, ids)), codec.library.decode(ids)), repr(text)
+
+
+def test_full_tables_start_anew(monkeypatch):
+    words = packing.WordIds(WORDS)
+    monkeypatch.setattr(packing, "WORDS", 5)
+    texts = ["one two three four five six seven", "one two"] * 300
+    assert len({ids for ids in words(texts)}) == 2
+    codec = sentencepiece_codec.Codec(PIECES)
+    codec.table.entries = 2
+    assert codec("a b c d a b c d")[2] == "a b c d a b c d" and len(codec.table) <= 2
