@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-#: Bytes of text handled at once; a longer text is handled alone.
-AT_ONCE = 1 << 20
+#: Bytes of text handled at once, so that a dozen arrays of numbers stay small; a longer text is handled alone.
+AT_ONCE = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -151,7 +151,7 @@ def pooled(network: Network, data: np.ndarray, bounds: np.ndarray, span: int = S
     lengths = np.minimum(span, sizes[row] - nth * span)
     total = np.zeros((len(sizes), len(network.languages)))
     order = np.argsort(-lengths, kind="stable")
-    at_once = max(1, (1 << 19) // span)
+    at_once = max(1, (1 << 18) // span)
     for first in range(0, len(order), at_once):
         at = order[first : first + at_once]
         found, valid = positions(network, data, starts[at], lengths[at])

@@ -13,6 +13,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 from unicodedata import normalize
 
 import numpy as np
@@ -25,10 +26,12 @@ from daygrain.llm.tables import written
 
 #: Open windows of a partition.
 OPEN = 16
+#: Rows of pieces that a task hands over together.
+ROWS = 1024
 #: Partitions whose leftover windows are merged together, so a merge sees OPEN * MERGED windows at most.
 MERGED = 16
-#: Distinct words a worker remembers, and texts after which it looks whether they are too many.
-WORDS, TEXTS = 1_200_000, 256
+#: Distinct words a task remembers, those that stay for the next one, and texts after which it looks.
+WORDS, KEPT, TEXTS = 600_000, 250_000, 256
 
 
 class _Numbers(dict):
@@ -49,8 +52,8 @@ class WordIds:
 
     For tokenizers that drop white space and whose tokens never cross it, the ids of a text are those
     of its words in order. Such a tokenizer also parts letters from the full stop or comma behind
-    them, so a word with one is put together from the two. A full table starts anew, so memory is
-    bounded.
+    them, so a word with one is put together from the two. A full table is cut back to the words met
+    first, so memory is bounded.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -97,7 +100,14 @@ class WordIds:
             for row in rows:
                 yield b"".join([ids[n] for n in row])
             if len(ids) > WORDS:
-                self.numbers, self.ids = _Numbers(), []
+                self.trim()
+
+    def trim(self) -> None:
+        """Forget all but the words met first, among which the frequent ones are."""
+        if len(self.ids) > KEPT:
+            first = _Numbers()
+            first.update(islice(self.numbers.items(), KEPT))
+            self.numbers, self.ids = first, self.ids[:KEPT]
 
 
 @lru_cache(maxsize=2)
@@ -166,15 +176,18 @@ def _pieces(batches: Iterator[pa.RecordBatch], ids_of, end_id: int, size: int, m
     windows, id_type = Windows(size, most_open, emit), pa.int64()
     for batch in batches:
         id_type = batch.column(0).type
-        docs = batch.column(0).to_pylist()
-        for doc, ids in zip(docs, ids_of(batch.column(1).to_pylist()), strict=True):
-            ids += end
-            total = len(ids) // 4
-            for start in range(0, total, size):
-                piece = ids[4 * start : 4 * (start + size)]
-                windows.place(len(piece) // 4, (doc, start, total, piece))
-        yield flushed(id_type)
+        for first in range(0, batch.num_rows, TEXTS):
+            docs, texts = (batch.column(k).slice(first, TEXTS).to_pylist() for k in (0, 1))
+            for doc, ids in zip(docs, ids_of(texts), strict=True):
+                ids += end
+                total = len(ids) // 4
+                for start in range(0, total, size):
+                    piece = ids[4 * start : 4 * (start + size)]
+                    windows.place(len(piece) // 4, (doc, start, total, piece))
+            if len(rows) >= ROWS:
+                yield flushed(id_type)
     windows.finish()
+    ids_of.trim()
     yield flushed(id_type)
 
 

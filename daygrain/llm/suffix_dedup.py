@@ -378,7 +378,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, anchor: int = ANCHOR, cro
     )
     crowd = opened.filter("crowded and not settled").select("doc", "place")
     plain = found.join(crowd, ["doc", "place"], "left_anti")
-    calm = plain.repartition(buckets, "key").mapInArrow(_sorted_suffixes(length), _SPAN)
+    calm = plain.repartition(2 * buckets, "key").mapInArrow(_sorted_suffixes(length), _SPAN)
     many = written(
         found.join(crowd, ["doc", "place"], "left_semi")
         .select("doc", "place", "n", "bytes")

@@ -235,11 +235,13 @@ def _scorer(lexicon: Lexicon):
     automaton, beta = lexicon.automaton(), np.array(lexicon.logistic)
 
     def score_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        texts = [t or "" for t in column.to_pylist()]
-        weights = np.array([weight_of(automaton, fold(t)) for t in texts], float)
+        weights, x = np.zeros(len(column)), np.zeros((len(column), 2))
+        for i, value in enumerate(column):
+            text = value.as_py() or ""
+            weights[i] = weight_of(automaton, fold(text))
+            x[i] = features(weights[i], text)
         if math.isinf(beta[0]):
-            return np.zeros(len(texts)), weights
-        x = np.array([features(w, t) for w, t in zip(weights, texts, strict=True)]).reshape(-1, 2)
+            return np.zeros(len(column)), weights
         return 1 / (1 + np.exp(-np.clip(beta[0] + x @ beta[1:], -30, 30))), weights
 
     return score_of

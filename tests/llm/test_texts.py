@@ -227,6 +227,7 @@ def test_codes_of_random_texts_equal_the_library():
 def test_full_tables_start_anew(monkeypatch):
     words = packing.WordIds(WORDS)
     monkeypatch.setattr(packing, "WORDS", 5)
+    monkeypatch.setattr(packing, "KEPT", 3)
     texts = ["one two three four five six seven", "one two"] * 300
     assert len({ids for ids in words(texts)}) == 2
     codec = sentencepiece_codec.Codec(PIECES)
