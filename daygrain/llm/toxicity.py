@@ -14,6 +14,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -102,13 +103,20 @@ def features(weight: float, text: str) -> tuple[float, float]:
     return math.log1p(weight), math.log1p(100 * weight / (len(text) + 100))
 
 
-def _novel(words: list[str], seen: set[int]) -> bool:
-    """Whether a text shares no rare run of three words with one that was taken before."""
-    runs = [zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))]
-    least = {min((r for r in runs if r % 4 == k), default=k) for k in range(4)}
-    new = not (least & seen)
-    seen.update(least)
-    return new
+def _novel(words: list[str], seen: set) -> bool:
+    """Whether a text is no copy of one that was taken before.
+
+    A copy agrees in three of its four minima, those of the hashed runs of three words in each residue
+    class, with one earlier text. Texts with too few runs for four minima are copies if all words agree.
+    """
+    runs = {zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(len(words) - 2)}
+    least = [min(found) for k in range(4) if (found := [r for r in runs if r % 4 == k])]
+    # the residue tells the class of a minimum, so three of them are the same for the same text only
+    keys = set(combinations(least, 3)) if len(least) == 4 else {" ".join(words)}
+    if not keys.isdisjoint(seen):
+        return False
+    seen.update(keys)
+    return True
 
 
 def _entries(words: set[str]) -> set[str]:
@@ -125,7 +133,7 @@ def learn(rows: list[tuple[str, int]]) -> Lexicon:
     in toxic texts exceeds what chance gives among so many words, and its
     weight is at least ``LEAST_WEIGHT``.
     """
-    seen: set[int] = set()
+    seen: set = set()
     taken = []
     for text, label in rows:
         folded = fold(text)

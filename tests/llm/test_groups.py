@@ -139,6 +139,36 @@ def test_a_lexicon_learns_words_stems_and_excuses():
     assert toxicity.learn([]).weights == {} and toxicity.learn([("a", 1)]).weights == {}
 
 
+def test_only_copies_are_left_out_of_learning():
+    import random
+
+    draw = random.Random(7)
+    words = [f"{a}{b}{c}{d}" for a in "bdfgk" for b in "aeo" for c in "lmnr" for d in ("im", "ut", "op", "as", "el")]
+    for size in (1, 2, 3, 5, 8, 12, 40):
+        texts = list({tuple(draw.choice(words) for _ in range(size)): None for _ in range(500)})
+        seen = set()
+        assert [list(t) for t in texts if toxicity._novel(list(t), seen)] == [list(t) for t in texts]
+        assert not any(toxicity._novel(list(t), seen) for t in texts)
+    long = [draw.choice(words) for _ in range(400)]
+    seen = set()
+    assert toxicity._novel(long, seen) and not toxicity._novel([*long, "more"], seen)
+    assert toxicity._novel(long[:200] + [draw.choice(words) for _ in range(2000)], seen)  # shares a passage only
+
+
+def test_a_lexicon_learns_from_short_texts():
+    import random
+
+    draw = random.Random(9)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeo" for c in ("lan", "rim", "sut", "nop")]
+    rows = []
+    for i in range(300):
+        text = [draw.choice(words) for _ in range(4)]
+        if i % 3 == 0:
+            text[draw.randrange(4)] = "zorkel"
+        rows.append((" ".join(text), int(i % 3 == 0)))
+    assert " zorkel " in toxicity.learn(rows).weights
+
+
 def test_excused_phrases_cancel_a_term():
     lexicon = toxicity.Lexicon({" vermin ": 5.0}, [" vermin control "], (-2.0, 1.0, 1.0))
     automaton = lexicon.automaton()
