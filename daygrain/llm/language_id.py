@@ -7,6 +7,7 @@ here in numpy by backpropagation through time on a bounded sample of labelled do
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,14 +20,12 @@ from daygrain.llm.byte_hash import text_parts
 
 #: Language of texts without a letter.
 UNDETERMINED = "und"
-#: Units of each recurrence; bytes that a recurrence runs over before it starts anew.
+#: Units of each recurrence for up to four languages; bytes that a recurrence runs over before it starts anew.
 UNITS, SPAN = 8, 128
 #: Documents of each language to learn from (on average), windows of each, and characters of a window.
 PER_LANGUAGE, WINDOWS, WINDOW = 600, 2, 96
 #: Score below which a text counts as none of the learned languages.
 LEAST_SCORE = 0.35
-#: Languages learned at most: the most frequent ones.
-LANGUAGES = 64
 
 
 @dataclass
@@ -51,6 +50,11 @@ class Network:
             np.zeros(n, np.float32),
         )
 
+    @property
+    def at_once(self) -> int:
+        """Places that fit in memory at once: some 20 MB for states and distributions."""
+        return (5 << 20) // (2 * self.states.shape[1] + len(self.languages))
+
     def weights(self) -> list[np.ndarray]:
         return [self.tables, self.states, self.head, self.bias]
 
@@ -151,7 +155,7 @@ def pooled(network: Network, data: np.ndarray, bounds: np.ndarray, span: int = S
     lengths = np.minimum(span, sizes[row] - nth * span)
     total = np.zeros((len(sizes), len(network.languages)))
     order = np.argsort(-lengths, kind="stable")
-    at_once = max(1, (1 << 18) // span)
+    at_once = max(1, network.at_once // span)
     for first in range(0, len(order), at_once):
         at = order[first : first + at_once]
         found, valid = positions(network, data, starts[at], lengths[at])
@@ -160,16 +164,26 @@ def pooled(network: Network, data: np.ndarray, bounds: np.ndarray, span: int = S
     return total / np.maximum(sizes, 1)[:, None]
 
 
+def units_for(languages: int) -> int:
+    """Units of each recurrence, growing with the square root of the languages to tell apart."""
+    return max(UNITS, math.ceil(UNITS * math.sqrt(languages / 4)))
+
+
 def train(
-    samples: list[tuple[str, bytes]], units: int = UNITS, epochs: int = 8, batch: int = 128, rate: float = 0.02, seed: int = 0
+    samples: list[tuple[str, bytes]], units: int | None = None, epochs: int = 8, batch: int = 128, rate: float = 0.02, seed: int = 0
 ) -> Network | None:
-    """A network from windows of bytes and their language; None without samples."""
+    """A network from windows of bytes and their language; None without samples.
+
+    Without ``units`` there are ``units_for`` as many as there are languages.
+    """
     samples = [(language, data) for language, data in samples if data]
     if not samples:
         return None
     languages = sorted({language for language, _ in samples})
+    units = units or units_for(len(languages))
     network = Network.start(languages, units, seed)
-    number = np.array([languages.index(language) for language, _ in samples])
+    index = {language: i for i, language in enumerate(languages)}
+    number = np.array([index[language] for language, _ in samples])
     sizes = np.array([len(data) for _, data in samples])
     joined = np.frombuffer(b"".join(data for _, data in samples), np.uint8)
     begins = np.cumsum(sizes) - sizes
@@ -211,11 +225,12 @@ def train(
 
 
 def training_sample(docs: DataFrame, parts: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """Windows of labelled documents outside the held-out part.
+    """Windows of labelled documents outside the held-out part, of every language among them.
 
     About ``per_language`` documents of each language, those whose id hashes below a bound that is set
     by the language's number of documents, and ``WINDOWS`` windows of ``WINDOW`` characters of each, at
-    places set by the hash. Only these windows reach the driver.
+    places set by the hash. Only these windows reach the driver, so what it gets and the time to learn
+    grow with the number of languages.
     """
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull()
@@ -223,12 +238,10 @@ def training_sample(docs: DataFrame, parts: int = 4, held_out: int = 2, per_lang
         & F.col("text").rlike(r"\p{L}")
         & (F.crc32(F.col("doc_id").cast("string")) % parts != held_out)
     )
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return []
-    bound = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, per_language / r["count"]))])
+    bounds = known.groupBy("lang").agg((F.lit(per_language) / F.count("*")).alias("bound"))
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / (1 << 30)
-    chosen = known.filter(place < F.coalesce(bound[F.col("lang")], F.lit(0.0)))
+    # a row for each language
+    chosen = known.join(F.broadcast(bounds), "lang").filter(place < F.col("bound"))
     windows = []
     for k in range(WINDOWS):
         room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1

@@ -251,6 +251,29 @@ def test_languages_are_told_apart_and_odd_texts_are_undetermined(spark, document
     assert language_id.train([]) is None and language_id.training_sample(odd.limit(0)) == []
 
 
+def test_every_language_is_learned(spark):
+    import random
+
+    draw = random.Random(6)
+    sounds = {
+        f"l{i:02}": ["".join(draw.choice(part) for part in ("bcdfghklmnprstvz", "aeiou", "bdgklmnrst")) for _ in range(6)]
+        for i in range(70)
+    }
+    make = lambda la: " ".join("".join(draw.choice(sounds[la]) for _ in range(2)) for _ in range(30))
+    often = lambda la: 20 if la < "l64" else 12
+    rows = [(f"{la}-{k}", make(la), la) for la in sounds for k in range(often(la))]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    sample = language_id.training_sample(docs)
+    assert {la for la, _ in sample} == set(sounds)
+    assert all(len(part) <= language_id.WINDOW for _, part in sample)
+    assert language_id.units_for(4) == language_id.UNITS < language_id.units_for(70)
+    network = language_id.train(sample, epochs=12)
+    fresh = [(str(i), make(la)) for i, la in enumerate(sounds)]
+    got = language_id.languages(spark.createDataFrame(fresh, "doc_id string, text string"), network).collect()
+    right = {la for r in got if r.lang_pred == (la := list(sounds)[int(r.doc_id)])}
+    assert len(right) >= 63 and len([la for la in right if la >= "l64"]) >= 5
+
+
 def test_pipeline_stages_do_what_they_say(spark, sf_dir):
     import corpus_pipeline
     from daygrain.llm.tables import table, written
