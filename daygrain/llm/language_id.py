@@ -24,8 +24,8 @@ UNDETERMINED = "und"
 UNITS, SPAN = 8, 128
 #: Documents of each language to learn from (on average), windows of each, and characters of a window.
 PER_LANGUAGE, WINDOWS, WINDOW = 600, 2, 96
-#: Score below which a text counts as none of the learned languages.
-LEAST_SCORE = 0.35
+#: How far from chance to certainty a score is at least for a text to count as one of the learned languages.
+LEAST_SCORE = 2 / 15
 
 
 @dataclass
@@ -290,12 +290,18 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
     )
 
 
-def in_languages(docs: DataFrame, network: Network | None, least: float = LEAST_SCORE) -> DataFrame:
+def least_score(languages: int, above_chance: float = LEAST_SCORE) -> float:
+    """Bound on the score of the best of so many languages: 0.35 for four, never at or below chance."""
+    return 1 / languages + above_chance * (1 - 1 / languages)
+
+
+def in_languages(docs: DataFrame, network: Network | None, least: float | None = None) -> DataFrame:
     """The rows, all columns as they are, whose text has a language with a score of at least ``least``.
 
-    See ``languages``: texts that are null or without a letter go, and those that no learned language
-    explains better than chance. The decision is taken where the row is read. If nothing was learned
-    every row stays.
+    Without ``least`` it is ``least_score`` of the number of learned languages. See ``languages``: texts
+    that are null or without a letter go, and those that no learned language explains better than
+    chance. A network of one language gives every text with a letter score 1, so it rejects none of
+    them. The decision is taken where the row is read. If nothing was learned every row stays.
     """
     at, columns = docs.columns.index("text"), docs.columns
 
@@ -307,5 +313,6 @@ def in_languages(docs: DataFrame, network: Network | None, least: float = LEAST_
 
     if network is None:
         return docs
+    least = least_score(len(network.languages)) if least is None else least
     # the added column is taken by its place, so no name can clash with it
     return docs.select("*", _lettered()).mapInArrow(kept, docs.schema)

@@ -251,6 +251,17 @@ def test_languages_are_told_apart_and_odd_texts_are_undetermined(spark, document
     assert language_id.train([]) is None and language_id.training_sample(odd.limit(0)) == []
 
 
+def test_least_score_follows_the_number_of_languages(spark):
+    assert language_id.least_score(4) == pytest.approx(0.35)
+    assert all(1 / k < language_id.least_score(k) < 1 for k in range(2, 500))
+    unsure = language_id.Network.start(["a", "b"])
+    unsure.head[:] = 0  # every text has score 0.5, which is chance
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    assert language_id.in_languages(docs, unsure).count() == 0
+    unsure.bias[0] = 1
+    assert language_id.in_languages(docs, unsure).count() == 1
+
+
 def test_every_language_is_learned(spark):
     import random
 
