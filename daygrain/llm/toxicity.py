@@ -207,28 +207,33 @@ def sample_of(
     """At most so many labelled texts of each class, those with the smallest hash of their id.
 
     Learns from the given label rows only; rows without id or with a label other than 0 and 1 are
-    left out. The driver gets ids and texts of the sample, nothing of the other rows.
+    left out, and so are ids that have no text of at most ``LONGEST`` bytes. An id counts once, with the
+    least hash of its texts. The driver gets ids and texts of the sample, nothing of the other rows.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1))
         .groupBy("doc_id")
         .agg(F.max(label_col).cast("int").alias("label"))
     )
+    fitting = docs.select("doc_id", "text").filter(F.octet_length("text") <= LONGEST)
+    digest = F.xxhash64("text")
+    # partial minima where the rows are read, so an id of many rows is one row for each task
+    known = known.join(fitting.groupBy("doc_id").agg(F.min(digest).alias("digest")), "doc_id")
     order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
     chosen = [
-        (r.doc_id, value)
+        (r.doc_id, value, r.digest)
         for value, most in ((1, toxic), (0, clean))
         for r in known.filter(F.col("label") == value).orderBy(*order).limit(most).collect()
     ]
     if not chosen:
         return []
     kind = dict(labels.dtypes)["doc_id"]
-    ids = docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, label int")
+    ids = docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, label int, digest long")
     texts = (
-        docs.select("doc_id", "text")
-        .filter(F.octet_length("text") <= LONGEST)
-        .join(F.broadcast(ids), "doc_id")  # TOXIC_DOCS + CLEAN_DOCS rows at most
-        .select("doc_id", "text", "label")
+        fitting.withColumn("digest", digest)
+        .join(F.broadcast(ids), ["doc_id", "digest"])  # TOXIC_DOCS + CLEAN_DOCS rows at most
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.min("label").alias("label"))
     )
     return [(text, label) for _, text, label in sorted(map(tuple, texts.collect()))]
 

@@ -203,6 +203,17 @@ def test_toxicity_sample_takes_label_rows_only(spark, documents):
     assert toxicity.sample_of(docs, labels.limit(0)) == []
 
 
+def test_toxicity_sample_is_full_and_has_an_id_once(spark):
+    long = "long " * toxicity.LONGEST
+    rows = [(i, long if i < 40 else f"text {i}") for i in range(60)] + [(50, "text 50")] * 30 + [(51, "other")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    got = toxicity.sample_of(docs, labels, toxic=10, clean=10)
+    assert len(got) == 20 and sum(label for _, label in got) == 10
+    want = [f"text {i}" for i in range(40, 60) if i != 51]
+    assert sorted(t for t, _ in got if t not in ("text 51", "other")) == sorted(want)
+
+
 def test_gradients_of_the_network():
     network = language_id.Network.start(["a", "b"], units=3, seed=2)
     data = np.frombuffer(b"hello wide world", np.uint8)
