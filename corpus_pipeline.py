@@ -52,7 +52,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Learned models, sketches and tokenizers are not for SQL; tests compare each stage with brute force.
+#: Learned models, sketches and tokenizers are not for SQL; tests compare each stage with plain code:
+#: scores by the same model for the first two, brute force for the next two, rebuilt ids for the last.
 ORACLE_SQL = None
 
 

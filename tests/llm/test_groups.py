@@ -320,3 +320,54 @@ def test_pipeline_stages_do_what_they_say(spark, sf_dir):
             want = brute.near_groups({i: r.text for i, r in before.items()}, 5, 80)
             assert set(after) == {c for _, c in want.values()}
         before = after
+
+
+def test_first_stages_and_packing_equal_plain_scoring(spark, sf_dir):
+    import math
+    from collections import defaultdict
+
+    import corpus_pipeline
+    from daygrain.llm.queries import tokenizer
+    from daygrain.llm.tables import table
+    from tokenizers import Tokenizer
+
+    larger = sf_dir.replace("sf0.001", "sf0.01")  # the smallest table with texts to reject
+    docs = table(spark, larger, "documents")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    lexicon = toxicity.learn(toxicity.sample_of(docs, toxicity.training_labels(table(spark, larger, "labels"))))
+    automaton, (base, of_sum, of_share) = lexicon.automaton(), lexicon.logistic
+
+    def toxic(text):
+        one, two = toxicity.features(toxicity.weight_of(automaton, toxicity.fold(text)), text)
+        return 1 / (1 + math.exp(-(base + of_sum * one + of_share * two))) >= 0.7
+
+    kept = corpus_pipeline.without_toxic(spark, docs, larger).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for i, t in texts.items() if not toxic(t))
+    assert 0 < len(kept) < len(texts)
+
+    docs = table(spark, sf_dir, "documents")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    odd = [(-1, ""), (-2, "42 !!"), (-3, None)]
+    more = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string"), allowMissingColumns=True)
+    network = language_id.train(language_id.training_sample(more))
+    least = language_id.least_score(len(network.languages))
+
+    def explained(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        score = language_id.pooled(network, data, np.array([0, len(data)])).max()
+        return any(c.isalpha() for c in text or "") and score >= least
+
+    kept = corpus_pipeline.in_a_language(spark, more, sf_dir).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for i, t in [*texts.items(), *odd] if explained(t))
+    assert not {-1, -2, -3} & {r.doc_id for r in kept}
+
+    whole, pieces = Tokenizer.from_file(tokenizer("word_bpe_49k.json")), defaultdict(list)
+    for r in corpus_pipeline.packed(spark, docs, sf_dir).collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids))
+    assert set(pieces) == set(texts)
+    for i, found in pieces.items():
+        ids = []
+        for start, length, part in sorted(found):
+            assert start == len(ids) and length == len(part)
+            ids += part
+        assert ids == [*whole.encode(texts[i], add_special_tokens=False).ids, 2]
