@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daygrain.llm import (
     embedding_duplicates,
     fingerprints,
+    html_extraction,
     language_id,
     near_duplicates,
     packing,
@@ -152,3 +153,9 @@ FROM ranked WHERE part = 'pair' OR rank <= 10
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extraction.extract_main_text(pages, html_extraction.learn_weights(pages))

@@ -26,9 +26,9 @@ TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 #: Shares are counted in parts of this.
 WHOLE = 1_000_000_000
 #: Counted terms a task holds before it hands them over, and bytes of a text it looks at together.
-HELD, AT_ONCE = 300_000, 1 << 20
+HELD, AT_ONCE = 500_000, 1 << 20
 #: Terms of a block on average, and groups whose arrays a task compares with as many.
-BLOCK, TILE = 32_768, 16
+BLOCK, TILE = 8_192, 16
 #: Documents of a language that a term must occur in, and terms of a group that are told.
 LEAST_DOCS, TOLD = 10, 10
 
@@ -237,6 +237,8 @@ def source_divergence(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     parts = taken.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    # tasks have added up their own already: another sum before the shuffle would find little to add
+    parts = parts.repartition("lang", "source", "term")
     counted = written(parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counted")
     frequent = counted.filter("term is not null").groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
     frequent = written(frequent.filter(F.col("docs") >= least_docs).select("lang", "term", "total"), "frequent")
