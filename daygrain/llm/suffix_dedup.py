@@ -1,42 +1,46 @@
-"""Removal of repeated passages with a partitioned suffix array over anchored suffixes.
-
-A passage is repeated if its ``length`` bytes also start earlier. Sorting the suffix of every byte
-would multiply the input, so suffixes are first grouped by an anchor: the least hash among the
-``anchor``-byte strings inside the first ``length`` bytes. Equal passages have equal anchors, and
-neighbouring suffixes mostly share theirs, so consecutive ones form a run and travel as one row.
-
-1. Runs are dealt to buckets by sampled splitters over (anchor, content, place), sorted there by
-   multikey quicksort and compared with their neighbours in order. A run equal to an earlier one is
-   settled, a run whose anchor occurs nowhere else is unique. What lies at a bucket's border is
-   left open, since its neighbour is in another bucket.
-2. The suffixes of open runs are sorted by their bytes, again by multikey quicksort, in buckets that
-   hold whole anchors, and a suffix that equals the one before it in order is repeated. Anchors of
-   very many different runs, and those at borders, are instead compared by joins over all buckets.
-3. Repeated bytes are cut out of each document.
+"""Removal of repeated passages with a partitioned suffix array.
+
+A passage is repeated if its ``length`` bytes also start earlier. A row of ``length`` bytes for every
+suffix would multiply the input, so the array is built in levels, and only what a level leaves open
+reaches the next one:
+
+1. Every suffix has an anchor: the least by hash of the strings of some bytes inside its first ``length``
+   ones. Neighbouring suffixes mostly share theirs, so consecutive ones form a run and travel as one row.
+   Equal suffixes have equal anchors. A run whose anchor occurs with no other content is unique, a run
+   with the content of an earlier one is repeated as a whole; other runs are open, and fall into shorter
+   runs at the next level, whose anchors are longer.
+2. At the last level a suffix is a row with all its bytes.
+
+Each level is the same sort: sampled splitters range-partition the rows by their leading bytes (the first
+eight of the anchor at the upper levels, all of them at the last one) and then by what follows, down to
+document and place, so that a string of any share is spread over buckets. A bucket sorts by multikey
+quicksort and compares neighbours. What lies at the border of a bucket stays open at the upper levels; at
+the last one the first string of a bucket is compared with the last of the bucket before.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.byte_hash import _BASE, _INVERSE, BYTES, U64, mix, powers, text_parts
-from daygrain.llm.tables import TEXT_PER_TASK, tasks_for, text_bytes, written
+from daygrain.llm.byte_hash import _BASE, _INVERSE, AT_ONCE, BYTES, U64, mix, powers, text_parts
+from daygrain.llm.tables import tasks_for, text_bytes, written
 
-#: Bytes of an anchor.
-ANCHOR = 24
-#: Different runs of one anchor that a task compares by their bytes; more are compared by joins.
-CROWD = 2000
-#: One document in so many, and so many runs for each bucket, are sampled for the splitters.
-SAMPLED_DOCS, SAMPLED_RUNS = 64, 64
+#: Bytes of the anchors of the levels before the last one.
+ANCHORS = (48, 88)
+#: Buckets at most: Spark's sample for the splitters is some rows for each.
+MOST_BUCKETS = 32_768
+#: Bytes of rows that a bucket of the levels after the first one is dealt.
+ROWS_PER_BUCKET = 16 << 20
 
 _PLACE = (1 << 32) - 1
+_SIGN = U64(1 << 63)
 
 
 def multikey_order(words: list[np.ndarray]) -> np.ndarray:
@@ -84,11 +88,21 @@ class _Hashed:
         return mix((self.sums[size:] - self.sums[:-size]) * self.inverse[: self.n + 1 - size])
 
 
+def _lead(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on as numbers that order like the bytes; behind the end lie zeros."""
+    found = np.zeros(len(places), U64)
+    last = len(data) - 1
+    for k in range(8):
+        at = places + k
+        found = (found << U64(8)) | np.where(at <= last, data[np.minimum(at, last)], 0).astype(U64)
+    return (found ^ _SIGN).view(np.int64)
+
+
 def runs_of(data: np.ndarray, bounds: np.ndarray, length: int, anchor: int):
-    """Anchor hash, content hash, start and number of suffixes of each run in some texts."""
+    """Leading bytes and hash of the anchor, content hash, start and number of suffixes of each run in some texts."""
     empty = np.zeros(0, np.int64)
     if len(data) < length:
-        return empty, empty, empty, empty
+        return (empty,) * 5
     hashed = _Hashed(data)
     every = hashed.every(anchor)
     # the place below the hash, so that the least also tells its first place
@@ -104,7 +118,7 @@ def runs_of(data: np.ndarray, bounds: np.ndarray, length: int, anchor: int):
     np.add.at(change, bounds[1:][long] - length + 1, -1)
     starts = np.flatnonzero(np.cumsum(change[:-1]))  # of suffixes with ``length`` bytes
     if not len(starts):
-        return empty, empty, empty, empty
+        return (empty,) * 5
     # a run has one place as its anchor, so its suffixes differ from one another
     place = (least[starts] & U64(_PLACE)).astype(np.int64)
     new = np.ones(len(starts), bool)
@@ -112,10 +126,7 @@ def runs_of(data: np.ndarray, bounds: np.ndarray, length: int, anchor: int):
     at = np.flatnonzero(new)
     start, count = starts[at], np.diff(np.r_[at, len(starts)])
     content = hashed.of(start, start + count - 1 + length)
-    return every[place[at]].view(np.int64), content.view(np.int64), start, count
-
-
-_RUN = "key long, content long, doc long, place long, n int"
+    return _lead(data, place[at]), every[place[at]].view(np.int64), content.view(np.int64), start, count
 
 
 def _place(text):
@@ -123,99 +134,110 @@ def _place(text):
     return F.crc32(F.coalesce(text, F.lit(""))).bitwiseAND((1 << 31) - 1)
 
 
-def _run_batches(batches, length: int, anchor: int):
-    """Arrays (key, content, doc, place, n) for parts of batches of (doc, check, text)."""
-    for batch in batches:
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
-        checks = batch.column(1).to_numpy(zero_copy_only=False)
-        for first, _, data, bounds in text_parts(batch.column(2)):
-            key, content, start, count = runs_of(data, bounds, length, anchor)
-            row = np.searchsorted(bounds, start, "right") - 1
-            place = (checks[first + row] << 32) | (start - bounds[row])
-            yield key, content, docs[first + row], place, count
-
-
 def _record(names: str, arrays) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
     fields = [f.split() for f in names.split(", ")]
     return pa.RecordBatch.from_arrays(
-        [pa.array(a, kinds[k]) for a, (_, k) in zip(arrays, fields, strict=True)], [n for n, _ in fields]
+        [a if isinstance(a, pa.Array) else pa.array(a, kinds[k]) for a, (_, k) in zip(arrays, fields, strict=True)],
+        [n for n, _ in fields],
     )
 
 
-def _splitters(docs: DataFrame, buckets: int, size: int, length: int, anchor: int) -> list[tuple]:
-    """``buckets - 1`` runs that part the sampled runs evenly: at most ``SAMPLED_RUNS`` a bucket are seen."""
-    runs = max(1, size * 2 // (length - anchor + 1))
-    one_in = max(1, int(runs / SAMPLED_DOCS / (SAMPLED_RUNS * buckets)))
+def _strings(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Substrings of some bytes."""
+    ends = np.cumsum(sizes)
+    at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    offsets = np.r_[0, ends].astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])])
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for arrays in _run_batches(batches, length, anchor):
-            chosen = mix(arrays[3].astype(U64) ^ arrays[2].astype(U64)) % U64(one_in) == 0
-            yield _record(_RUN, [a[chosen] for a in arrays])
 
-    part = F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(SAMPLED_DOCS)) == 0
-    seen = docs.filter(part).mapInArrow(sample, _RUN).select("key", "content", "doc", "place")
-    seen = sorted(map(tuple, seen.collect()))
-    return [seen[len(seen) * i // buckets] for i in range(1, buckets)] if seen else []
+def _sliced(data: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Some texts as they are; one very long text in slices that start each suffix once."""
+    if len(data) <= 2 * AT_ONCE or len(bounds) > 2:
+        yield 0, data, bounds
+        return
+    for first in range(0, len(data), AT_ONCE):
+        part = data[first : first + AT_ONCE + length - 1]
+        yield first, part, np.array([0, len(part)])
+
+
+_RUN = "lead long, key long, content long, doc long, place long, n int"
+_ORDER = ["lead", "key", "content", "doc", "place"]
 
 
-def _dealt(splitters: list[tuple], length: int, anchor: int):
-    """Runs with the bucket that holds them among the splitters."""
-    keys = np.array([s[0] for s in splitters], np.int64)
+def _first_runs(length: int, anchor: int):
+    """Runs of whole texts, from (doc, check, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs = batch.column(0).to_numpy(zero_copy_only=False)
+            checks = batch.column(1).to_numpy(zero_copy_only=False)
+            for first, _, data, bounds in text_parts(batch.column(2)):
+                for offset, part, ends in _sliced(data, bounds, length):
+                    lead, key, content, start, count = runs_of(part, ends, length, anchor)
+                    row = np.searchsorted(ends, start, "right") - 1
+                    place = (checks[first + row] << 32) | (offset + start - ends[row])
+                    yield _record(_RUN, [lead, key, content, docs[first + row], place, count])
+
+    return run
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, content, doc, place, count in _run_batches(batches, length, anchor):
-            bucket = np.searchsorted(keys, key, "right")
-            # a run that has a splitter's anchor is placed by all of its columns
-            for i in np.flatnonzero(bucket != np.searchsorted(keys, key, "left")):
-                bucket[i] = bisect_right(splitters, (int(key[i]), int(content[i]), int(doc[i]), int(place[i])))
-            yield _record(f"bucket int, {_RUN}", [bucket, key, content, doc, place, count])
 
-    return deal
+def _inner_runs(length: int, anchor: int):
+    """The runs of the next level inside open runs, with their bytes, from (doc, place, bytes)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, places = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for first, _, data, bounds in text_parts(batch.column(2)):
+                lead, key, content, start, count = runs_of(data, bounds, length, anchor)
+                row = np.searchsorted(bounds, start, "right") - 1
+                place = places[first + row] + start - bounds[row]
+                found = _strings(data, start, count + length - 1)
+                yield _record(f"{_RUN}, bytes binary", [lead, key, content, docs[first + row], place, count, found])
 
-_OPEN = "key long, doc long, place long, n int, settled boolean, crowded boolean"
+    return run
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     held = [b for b in batches if b.num_rows]
-    return pa.Table.from_batches(held) if held else None
+    return pa.Table.from_batches(held).combine_chunks() if held else None
+
+
+def _first_of(doc: np.ndarray, place: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Rows at the very place of the first row of their group."""
+    heads = np.flatnonzero(~same)
+    head = heads[np.cumsum(~same) - 1]
+    return (doc == doc[head]) & (place == place[head])
 
 
-def _neighbours(crowd: int):
-    """Step 1 for one bucket."""
-    return lambda batches: _settle(_whole(batches), crowd)
+_OPEN = "doc long, place long, n int, settled boolean"
 
 
-def _settle(held: pa.Table | None, crowd: int) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bucket of an upper level: runs that are repeated as a whole, and those that stay open."""
+    held = _whole(batches)
     if held is None:
         return
-    key, content, doc, place, n = (held.column(c).to_numpy() for c in ("key", "content", "doc", "place", "n"))
-    order = multikey_order([key, content, doc, place])
-    key, content, doc, place, n = (a[order] for a in (key, content, doc, place, n))
-    same_key = np.r_[False, key[1:] == key[:-1]]
+    lead, key, content, doc, place, n = (held.column(c).to_numpy() for c in [*_ORDER, "n"])
+    order = multikey_order([lead, key, content, doc, place])
+    lead, key, content, doc, place, n = (a[order] for a in (lead, key, content, doc, place, n))
+    same_key = np.r_[False, (lead[1:] == lead[:-1]) & (key[1:] == key[:-1])]
     same_run = same_key & np.r_[False, content[1:] == content[:-1]]
-    again = same_run & np.r_[False, (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])]
     keys = np.cumsum(~same_key) - 1  # number of the anchor
     firsts = ~same_run
-    different = np.bincount(keys, firsts)[keys]
     border = (keys == 0) | (keys == keys[-1])
-    left = firsts & ((different > 1) | border)
+    left = firsts & ((np.bincount(keys, firsts)[keys] > 1) | border)
     # of rows that the table holds twice the first stands for both
+    again = np.r_[False, (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])]
     settled = same_run & ~again & ~_first_of(doc, place, same_run)
-    crowded = border | (different > crowd)
-    chosen = left | settled
-    yield _record(_OPEN, [a[chosen] for a in (key, doc, place, n, settled, crowded)])
-
-
-def _first_of(doc: np.ndarray, place: np.ndarray, same_run: np.ndarray) -> np.ndarray:
-    """Rows at the very place of the first row of their run."""
-    heads = np.flatnonzero(~same_run)
-    head = heads[np.cumsum(~same_run) - 1]
-    return (doc == doc[head]) & (place == place[head])
-
-
-_FOUND = "key long, doc long, place long, n int, bytes binary"
+    chosen = np.flatnonzero(left | settled)
+    arrays = [doc[chosen], place[chosen], n[chosen], settled[chosen]]
+    if "bytes" not in held.column_names:
+        yield _record(_OPEN, arrays)
+        return
+    texts = held.column("bytes").combine_chunks().take(pa.array(order[chosen]))
+    kept = pc.if_else(pa.array(settled[chosen]), pa.scalar(None, pa.binary()), texts)
+    yield _record(f"{_OPEN}, bytes binary", [*arrays, kept])
 
 
 def _contents(length: int):
@@ -223,97 +245,78 @@ def _contents(length: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            docs, checks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, check, text, runs in zip(docs, checks, batch.column(2), batch.column(3), strict=True):
-                data = text.as_buffer().to_pybytes()
-                for run in runs.as_py():
-                    start, n = run["start"], run["n"]
-                    rows.append((run["key"], doc, (check << 32) | start, n, data[start : start + n - 1 + length]))
-            yield _record(_FOUND, list(zip(*rows, strict=True)) if rows else [[]] * 5)
+            docs, checks = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            spans = batch.column(3)
+            for row in range(batch.num_rows):
+                data = np.frombuffer(batch.column(2)[row].as_buffer(), np.uint8)
+                start, n = (spans[row].values.field(k).to_numpy() for k in (0, 1))
+                for first in range(0, len(start), 4096):
+                    at, size = start[first : first + 4096].astype(np.int64), n[first : first + 4096].astype(np.int64)
+                    yield _record(
+                        "doc long, place long, bytes binary",
+                        [np.full(len(at), docs[row]), (checks[row] << 32) | at, _strings(data, at, size + length - 1)],
+                    )
 
     return cut
 
 
-def _suffix_words(data: np.ndarray, starts: np.ndarray, length: int) -> list[np.ndarray]:
-    """The first ``length`` bytes of each suffix as big-endian 8-byte words."""
-    padded = np.r_[data, np.zeros(8, np.uint8)]
-    at_byte = np.zeros(len(data) + 1, U64)
-    for k in range(8):
-        at_byte |= padded[k : k + len(data) + 1].astype(U64) << U64(8 * (7 - k))
-    found = []
-    for offset in range(0, length, 8):
-        word = at_byte[starts + offset]
-        rest = length - offset
-        if rest < 8:
-            word = word >> U64(8 * (8 - rest))
-        found.append(word)
-    return found
+def _suffixes(length: int):
+    """Each suffix of open runs with its bytes, from (doc, place, bytes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, places = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for first, last, data, bounds in text_parts(batch.column(2), AT_ONCE // 8):
+                n = np.diff(bounds) - length + 1
+                which = np.repeat(np.arange(last - first), n)
+                nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+                found = _strings(data, bounds[which] + nth, np.full(len(which), length))
+                yield _record("bytes binary, doc long, place long", [found, docs[first + which], places[first + which] + nth])
+
+    return run
+
+
+#: Where a suffix of the last level lies in its bucket: inside, and repeated; first; last.
+_INSIDE, _HEAD, _TAIL = range(3)
 
 
-_SPAN = "doc long, place long, n int"
+def _words(rows: np.ndarray) -> list[np.ndarray]:
+    """Strings of one length, a row each, as numbers of eight bytes that order like them."""
+    size = -(-rows.shape[1] // 8) * 8
+    padded = np.zeros((len(rows), size), np.uint8)
+    padded[:, : rows.shape[1]] = rows
+    return [padded[:, k : k + 8].copy().view(">u8")[:, 0].astype(U64) for k in range(0, size, 8)]
 
 
-def _sorted_suffixes(length: int):
-    """Step 2 for one bucket: repeated suffixes of its runs, as spans."""
+def _last_level(length: int):
+    """One bucket of whole suffixes: those that equal the one before in order, and both borders."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _whole(batches)
         if held is None:
             return
-        key, doc, place, n = (held.column(c).to_numpy() for c in ("key", "doc", "place", "n"))
-        texts = held.column("bytes").combine_chunks()
-        texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)
-        bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
-        bounds = bounds[:-1] - bounds[0]
-        which = np.repeat(np.arange(len(n)), n)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        words = [key[which].view(U64), *_suffix_words(data, bounds[which] + nth, length)]
-        docs, places = doc[which], place[which] + nth
-        order = multikey_order([*words, docs, places])
+        doc, place = (held.column(c).to_numpy() for c in ("doc", "place"))
+        rows = np.concatenate(
+            [np.frombuffer(c.buffers()[2], np.uint8)[c.offset * length : (c.offset + len(c)) * length] for c in held.column("bytes").chunks]
+        ).reshape(-1, length)
+        words = _words(rows)
+        order = multikey_order([*words, doc, place])
         same = np.ones(len(order), bool)
         same[:1] = False
         for word in words:
-            value = word[order]
-            same[1:] &= value[1:] == value[:-1]
+            same[1:] &= word[order[1:]] == word[order[:-1]]
+        doc, place = doc[order], place[order]
         # of rows that the table holds twice the first stands for both
-        again = np.zeros(len(order), np.int64)
-        repeated = order[same & ~_first_of(docs[order], places[order], same)]
-        again[repeated] = 1
-        yield _spans(docs, places, again, which)
+        again = np.r_[False, (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])]
+        repeated = np.flatnonzero(same & ~again & ~_first_of(doc, place, same))
+        at = np.r_[repeated, 0, len(order) - 1]
+        edge = np.r_[np.full(len(repeated), _INSIDE), _HEAD, _TAIL]
+        border = [None] * len(repeated) + [rows[order[0]].tobytes(), rows[order[-1]].tobytes()]
+        yield _record("doc long, place long, edge int, bytes binary", [doc[at], place[at], edge, border])
 
     return compare
 
 
-def _spans(docs, places, repeated, which) -> pa.RecordBatch:
-    """Consecutive repeated suffixes of one run as one span."""
-    at = np.flatnonzero(repeated)
-    new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (which[at[1:]] != which[at[:-1]])
-    first = at[new]
-    n = np.diff(np.r_[np.flatnonzero(new), len(at)])
-    return _record(_SPAN, [docs[first], places[first], n])
-
-
-def _hashed_suffixes(length: int):
-    """Every suffix of crowded runs by two hashes of its bytes."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last, data, bounds in text_parts(batch.column(3)):
-                n = batch.column(2).slice(first, last - first).to_numpy()
-                which = np.repeat(np.arange(len(n)), n)
-                nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                starts = bounds[which] + nth
-                lead = _suffix_words(data, starts, 8)[0].view(np.int64) if len(data) else np.zeros(0, np.int64)
-                hashed = _Hashed(data).of(starts, starts + length).view(np.int64)
-                docs, places = (batch.column(k).slice(first, last - first).to_numpy()[which] for k in (0, 1))
-                yield _record("lead long, hash long, doc long, place long", [lead, hashed, docs, places + nth])
-
-    return spread
-
-
 def _removed(length: int, with_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,66 +352,71 @@ def _removed(length: int, with_text: bool):
     return cut
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, anchor: int = ANCHOR, crowd: int = CROWD) -> DataFrame:
+def _buckets(size: int, per_bucket: int) -> int:
+    return min(MOST_BUCKETS, tasks_for(size, per_bucket))
+
+
+def _open_suffixes(level: DataFrame) -> int:
+    return level.filter("not settled").agg(F.sum("n")).first()[0] or 0
+
+
+def repeated_spans(
+    docs: DataFrame, length: int = 100, anchors: Sequence[int] = ANCHORS, per_bucket: int | None = None
+) -> DataFrame:
     """``doc, place, n``: n consecutive repeated suffixes that start at a place (see ``_place``).
 
-    ``docs`` has the columns doc, check and text.
+    ``docs`` has the columns doc, check and text. ``per_bucket`` sets the bytes of text or rows of a bucket.
     """
-    size = text_bytes(docs)
-    buckets = tasks_for(size, TEXT_PER_TASK)
-    splitters = _splitters(docs, buckets, size, length, anchor)
-    opened = written(
-        docs.mapInArrow(_dealt(splitters, length, anchor), f"bucket int, {_RUN}")
-        .repartitionById(buckets, F.col("bucket"))
-        .mapInArrow(_neighbours(crowd), _OPEN),
-        "runs",
-    )
-    of_text = [F.shiftright("place", 32).alias("check"), F.col("place").bitwiseAND(_PLACE).cast("int").alias("start")]
+    anchors = [min(a, length - 1) for a in anchors]
+    buckets = _buckets(text_bytes(docs), per_bucket or ROWS_PER_BUCKET // 2)
+    runs = docs.mapInArrow(_first_runs(length, anchors[0]), _RUN)
+    level = written(runs.repartitionByRange(buckets, *_ORDER).mapInArrow(_compared, _OPEN), "runs")
+    spans = [level.filter("settled").select("doc", "place", "n")]
     wanted = (
-        opened.filter("not settled")
-        .select("doc", "key", "n", "crowded", *of_text)
+        level.filter("not settled")
+        .select("doc", F.shiftright("place", 32).alias("check"), F.col("place").bitwiseAND(_PLACE).cast("int").alias("start"), "n")
         .groupBy("doc", "check")
-        .agg(F.collect_list(F.struct("key", "start", "n", "crowded")).alias("runs"))
-    )
-    met = docs.join(wanted.hint("shuffle_hash"), ["doc", "check"])
-    found = written(
-        met.select("doc", "check", "text", F.col("runs"))
-        .mapInArrow(_contents(length), _FOUND),
-        "open",
-    )
-    crowd = opened.filter("crowded and not settled").select("doc", "place")
-    plain = found.join(crowd, ["doc", "place"], "left_anti")
-    calm = plain.repartition(2 * buckets, "key").mapInArrow(_sorted_suffixes(length), _SPAN)
-    many = written(
-        found.join(crowd, ["doc", "place"], "left_semi")
-        .select("doc", "place", "n", "bytes")
-        .mapInArrow(_hashed_suffixes(length), "lead long, hash long, doc long, place long"),
-        "crowd",
-    )
-    firsts = written(
-        many.groupBy("lead", "hash")
-        .agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("times"))
-        .filter("times > 1")
-        .select("lead", "hash", "first"),
-        "firsts",
-    )
-    late = many.join(firsts, ["lead", "hash"]).filter(F.struct("doc", "place") > F.col("first"))
-    return (
-        opened.filter("settled").select("doc", "place", "n")
-        .unionByName(calm)
-        .unionByName(late.select("doc", "place", F.lit(1).alias("n")))
+        .agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     )
+    met = docs.join(wanted.hint("shuffle_hash"), ["doc", "check"]).select("doc", "check", "text", "runs")
+    opened = met.mapInArrow(_contents(length), "doc long, place long, bytes binary")
+    for anchor in anchors[1:]:
+        rows = _open_suffixes(level) // max(1, (length - anchor + 1) // 2) + 1
+        buckets = _buckets(rows * 2 * length, per_bucket or ROWS_PER_BUCKET)
+        runs = opened.mapInArrow(_inner_runs(length, anchor), f"{_RUN}, bytes binary")
+        level = written(
+            runs.repartitionByRange(buckets, *_ORDER).mapInArrow(_compared, f"{_OPEN}, bytes binary"), "inner-runs"
+        )
+        spans.append(level.filter("settled").select("doc", "place", "n"))
+        opened = level.filter("not settled").select("doc", "place", "bytes")
+    suffixes = opened.mapInArrow(_suffixes(length), "bytes binary, doc long, place long")
+    buckets = _buckets(_open_suffixes(level) * (length + 36), per_bucket or ROWS_PER_BUCKET)
+    last = written(
+        suffixes.repartitionByRange(buckets, "bytes", "doc", "place").mapInArrow(
+            _last_level(length), "doc long, place long, edge int, bytes binary"
+        ),
+        "suffixes",
+    )
+    place = F.struct("doc", "place")
+    before = last.filter(F.col("edge") == _TAIL).groupBy("bytes").agg(F.min(place).alias("first"))
+    heads = last.filter(F.col("edge") == _HEAD).join(before, "bytes").filter(F.col("first") < place)
+    for found in (last.filter(F.col("edge") == _INSIDE), heads):
+        spans.append(found.select("doc", "place", F.lit(1).alias("n")))
+    out = spans[0]
+    for more in spans[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def remove_repeated(
     docs: DataFrame,
     length: int = 100,
-    anchor: int = ANCHOR,
-    crowd: int = CROWD,
+    anchors: Sequence[int] = ANCHORS,
     with_text: bool = False,
     carry: Sequence[str] = (),
     id_col: str = "doc_id",
     text_col: str = "text",
+    per_bucket: int | None = None,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (or ``kept_text``) of each row.
 
@@ -417,12 +425,16 @@ def remove_repeated(
     never across documents, and may overlap. ``n_spans`` counts the maximal removed runs;
     ``kept_text`` leaves out bytes of characters that a cut has split.
 
-    The runs of all documents cross the network once, about one row for 40 bytes; the texts twice, to
-    meet their open runs and their spans. An anchor, passage or copied text of any share is spread by
-    the splitters, and by joins where it has many neighbours; a task holds one bucket or one batch.
+    The runs of all documents cross the network once, a row for about 27 bytes, and the texts twice, to
+    meet their open runs and their spans; rows of the next levels are for open runs and suffixes alone.
+    Splitters cut between equal strings too, so an anchor, passage or copied text of any share is spread.
+    A task holds one bucket. Buckets grow with the input once there are ``MOST_BUCKETS`` of them.
+
+    At the upper levels runs are equal if the first eight bytes and a 64-bit hash of their anchors and a
+    64-bit hash of their bytes are; at the last level suffixes are compared by all their bytes.
 
     A null text counts as empty (``kept_text`` stays null); texts shorter than ``length`` keep
-    everything; a null id is smaller than all others; rows with one id are ordered by a checksum of
+    everything; a very long text is read in slices; a null id is smaller than all others; rows with one id are ordered by a checksum of
     their text, and repeats of the same row are one document and get the same result. An empty table
     gives no rows. Other columns are ignored.
     """
@@ -436,7 +448,7 @@ def remove_repeated(
     )
     plain = rows.select("doc", "check", F.coalesce("text", F.lit("")).alias("text"))
     spans = (
-        repeated_spans(plain, length, anchor, crowd)
+        repeated_spans(plain, length, anchors, per_bucket)
         .select("doc", F.shiftright("place", 32).alias("check"), F.col("place").bitwiseAND(_PLACE).cast("int").alias("start"), "n")
         .groupBy("doc", "check")
         .agg(F.collect_list(F.struct("start", "n")).alias("spans"))

@@ -89,7 +89,7 @@ def test_work_is_linear_in_hard_pages():
         assert time.perf_counter() - start < 5, page[:20]
 
 
-ROWS = "page_id long, url string, html string, text string, n_chars long, hash string, word string, name string, inside string, n string"
+ROWS = "page_id long, url string, html string, text string, n_chars string, hash string, word string, name string, inside string, n string"
 
 
 def test_weights_are_counted_on_labelled_pages_only(spark):

@@ -46,15 +46,46 @@ def empty(spark):
     return brute.frame(spark, [])
 
 
-@pytest.mark.parametrize("crowd", [2000, 0])
-def test_suffix_dedup_equals_brute_force(docs, texts, crowd):
-    got = {r.doc_id: r for r in suffix_dedup.remove_repeated(docs, crowd=crowd).collect()}
-    want = brute.repeats(texts, 100)
-    assert {i: tuple(r)[1:4] for i, r in got.items()} == {i: w[:3] for i, w in want.items()}
-    assert {i: r.kept_sha256 for i, r in got.items()} == {i: brute.sha256(w[3]) for i, w in want.items()}
+def removed(frame, **options):
+    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeated(frame, **options).collect()}
+
+
+def plain_removed(texts):
+    return {i: (*w[:3], brute.sha256(w[3])) for i, w in brute.repeats(texts, 100).items()}
+
+
+@pytest.mark.parametrize("anchors", [(48, 88), (24,), (100, 100, 100)])
+@pytest.mark.parametrize("per_bucket", [None, 500])
+def test_suffix_dedup_equals_brute_force(docs, texts, anchors, per_bucket):
+    want = plain_removed(texts)
+    assert removed(docs, anchors=anchors, per_bucket=per_bucket) == want
     assert sum(w[1] for w in want.values()) > 0
 
 
+def test_suffix_dedup_of_an_anchor_with_thousands_of_contexts(spark):
+    """One passage between different words, copies of one text, and a string that fills whole buckets."""
+    draw = np.random.default_rng(6)
+    word = lambda: "".join(draw.choice(list("abcdefgh "), 30))
+    passage, copy = "the same sixty bytes stand here in every one of the documents.", " ".join(word() for _ in range(20))
+    texts = {i: f"{word()} {passage} {word()}" for i in range(5000)}
+    texts |= {10_000 + i: copy for i in range(300)} | {20_000 + i: "=" * 150 for i in range(200)}
+    frame = brute.frame(spark, [(i, t, *brute.odd_documents()[0][2:]) for i, t in texts.items()], 4)
+    assert removed(frame, per_bucket=60_000) == plain_removed(texts)
+
+
+def test_suffix_dedup_of_few_long_documents(spark):
+    """Texts beyond what is handled at once, with shared passages across the cuts."""
+    draw = np.random.default_rng(8)
+    words = ["".join(draw.choice(list("abcdefgh"), draw.integers(2, 9))) for _ in range(3000)]
+    long = [" ".join(draw.choice(words, 18_000)) for _ in range(18)]
+    long += [long[0][5000:] + long[1], " ".join(draw.choice(words, 150_000))]
+    long[3] = long[3][:60_000] + long[19][400_000:500_000] + long[3][60_000:]
+    assert len(long[19]) > 3 * (1 << 18)
+    texts = dict(enumerate(long))
+    frame = brute.frame(spark, [(i, t, *brute.odd_documents()[0][2:]) for i, t in texts.items()], 4)
+    assert removed(frame) == plain_removed(texts)
+
+
 def test_suffix_dedup_keeps_columns_and_takes_odd_rows(docs, odd, empty, texts):
     cut = suffix_dedup.without_repeats(docs)
     assert cut.columns == docs.columns and cut.dtypes == docs.dtypes
