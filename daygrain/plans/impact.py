@@ -14,6 +14,9 @@ from daygrain.operators import (
     holdout_predictions,
     impact_by_condition,
     join_on,
+    moment_state,
+    ols_from_moments,
+    ols_models,
     ols_report,
 )
 
@@ -79,7 +82,13 @@ def regression_report(
     split: str = "day",
     seed: int = 0,
 ) -> DataFrame:
-    """Least squares of collisions, injured and killed on temperature and transit use."""
+    """Least squares of collisions, injured and killed on temperature and transit use.
+
+    Split by day, all models and scores follow from one aggregation; the random split fits row by row.
+    """
+    if split == "day":
+        state = moment_state(features, ols_models(terms, labels))
+        return ols_from_moments(state, list(terms), list(labels), seed=seed)
     return ols_report(features, list(terms), list(labels), split=split, seed=seed)
 
 

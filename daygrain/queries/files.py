@@ -10,9 +10,13 @@ from daygrain.queries.registry import query
 from daygrain.queries.standins import DAY_TABLES_SQL, XS, YS, features, table
 from daygrain.session import scratch_folder
 from daygrain.sources import (
+    Checked,
     conform,
+    conform_checked,
+    ledger_counts,
     read_correlations,
     read_csv,
+    read_csv_by_header,
     read_csv_text,
     read_table,
     write_table,
@@ -135,3 +139,82 @@ def corr_text_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = corr.select(F.concat_ws(" | ", "x", "y", F.col("r").cast("string")).alias("value"))
     write_table(lines, path, "text")
     return read_correlations(spark, path).withColumn("r", F.round("r", 6))
+
+
+_FAULTY = {
+    "o_orderkey": ("bigint", "CAST(o_orderkey AS VARCHAR)"),
+    "o_orderdate": ("date yyyy-MM-dd", "CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' "
+                    "ELSE strftime(o_orderdate, '%Y-%m-%d') END"),
+    "o_totalprice": ("double", "CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus || '?' "
+                     "WHEN o_orderkey % 3 <> 0 THEN CAST(o_totalprice AS VARCHAR) END"),
+}
+_BAD = {"o_orderkey": "FALSE", "o_orderdate": "o_orderkey % 7 = 0", "o_totalprice": "o_orderkey % 5 = 0"}
+
+
+def _faulty(spark: SparkSession, sf_dir: str) -> Checked:
+    """Orders as CSV text, some of whose fields are no dates or no prices, read with a check."""
+    path = scratch_folder(spark, "faulty")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 == 0, "n/a").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.concat("o_orderstatus", F.lit("?")))
+        .when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice").cast("string"))
+        .alias("o_totalprice"),
+    )
+    write_table(orders, path, "csv")
+    return conform_checked(
+        read_csv_by_header(spark, path, checked=True),
+        {c: c for c in _FAULTY},
+        types={"o_orderkey": "bigint", "o_totalprice": "double"},
+        date_patterns={"o_orderdate": "yyyy-MM-dd"},
+    )
+
+
+@query("SELECT CAST(NULL AS VARCHAR) AS column, count(*) AS given, count(*) AS typed, CAST(0 AS BIGINT) AS rejected "
+       "FROM orders\nUNION ALL\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}', count({text}), count({text}) FILTER (NOT ({_BAD[c]})), count({text}) FILTER ({_BAD[c]}) FROM orders"
+    for c, (_, text) in _FAULTY.items()))
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields given, typed and rejected by column: the first is the sum of the others."""
+    return _faulty(spark, sf_dir).counts
+
+
+@query("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, {text} AS raw, '{kind}' AS expected, count(*) AS n FROM orders "
+    f"WHERE {_BAD[c]} AND {text} IS NOT NULL GROUP BY 2" for c, (kind, text) in _FAULTY.items()))
+def quarantined_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text that could not be read, and how often."""
+    ledger = _faulty(spark, sf_dir).ledger
+    return ledger.groupBy("column", "raw", "expected").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, '{kind}' AS expected, count(*) AS n, min({text}) AS example FROM orders "
+    f"WHERE {_BAD[c]} AND {text} IS NOT NULL HAVING count(*) > 0" for c, (kind, text) in _FAULTY.items()))
+def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger by column, over all files."""
+    by_file = ledger_counts(_faulty(spark, sf_dir).ledger)
+    return by_file.groupBy("column", "expected").agg(F.sum("n").alias("n"), F.min("example").alias("example"))
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+       CASE WHEN o_orderkey % 3 <> 1 THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def csv_differing_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three folders of files: columns moved, one missing, names in capitals."""
+    path = scratch_folder(spark, "csv-headers")
+    orders = table(spark, sf_dir, "orders")
+    key, status, priority = (F.col(c) for c in ("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    layouts = (
+        [key, status, priority],
+        [status, key],
+        [priority.alias("O_ORDERPRIORITY"), key.alias("O_OrderKey"), status],
+    )
+    for k, layout in enumerate(layouts):
+        write_table(orders.filter(key % 3 == k).select(*layout), f"{path}/{k}", "csv")
+    return conform(
+        read_csv_by_header(spark, path, required=["o_orderkey"]),
+        {c: c for c in ("o_orderkey", "o_orderstatus", "o_orderpriority")},
+    )

@@ -6,16 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.operators import (
+    corr_from_moments,
     corr_long,
     corr_matrix,
     holdout_predictions,
     in_training,
+    merge_moments,
+    moment_state,
+    ols_from_moments,
+    ols_models,
     ols_report,
+    pair_models,
     random_split,
+    spread_from_moments,
 )
 from daygrain.queries.registry import query
-from daygrain.queries.standins import DAY_TABLES_SQL, XS, YS, features
-from daygrain.sources import written
+from daygrain.queries.standins import DAY_TABLES_SQL, XS, YS, features, table
+from daygrain.session import scratch_folder
+from daygrain.sources import read_table, write_table, written
 
 _UNION = "\nUNION ALL\n"
 
@@ -222,3 +230,52 @@ def predictions_on_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = holdout_predictions(_model_table(spark, sf_dir), FEATURES, "crash")
     return predictions.withColumn("prediction", F.round("prediction", 6))
 
+
+
+_CORR_SQL = DAY_TABLES_SQL + _UNION.join(
+    f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 6) AS r FROM features" for x in XS for y in YS)
+
+
+@query(_CORR_SQL, name="corr_from_moments")
+def correlations_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs from states by day, added up."""
+    pairs = pair_models(XS, YS)
+    state = moment_state(features(spark, sf_dir), pairs)
+    return corr_from_moments(state, pairs).withColumn("r", F.round("r", 6))
+
+
+def _rounded(report: DataFrame) -> DataFrame:
+    return report.withColumns({c: F.round(c, 6) for c in ("coef", "t_value", "r2", "holdout_r2", "holdout_rmse")})
+
+
+@query(report_sql(_MODEL_SQL, FEATURES, LABELS), name="ols_from_moments")
+def report_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three models, their training and their held-out scores from one aggregation."""
+    state = moment_state(_model_table(spark, sf_dir), ols_models(FEATURES, LABELS))
+    return _rounded(ols_from_moments(state, FEATURES, LABELS))
+
+
+@query(report_sql(_MODEL_SQL, FEATURES, LABELS))
+def ols_from_stored_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stored state that two loads have written, of odd and of even months."""
+    path, models = scratch_folder(spark, "moments"), ols_models(FEATURES, LABELS)
+    days = _model_table(spark, sf_dir)
+    odd = F.month("date") % 2 == 1
+    for mode, load in (("errorifexists", days.filter(odd)), ("append", days.filter(~odd))):
+        write_table(moment_state(load, models), path, mode=mode)
+    return _rounded(ols_from_moments(read_table(spark, path), FEATURES, LABELS))
+
+
+@query("""
+SELECT o_orderstatus AS status, count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS mean,
+       round(stddev_samp(o_totalprice), 4) AS stddev
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1""")
+def spread_from_daily_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and spread of a fact column by group, from a state by day and group."""
+    orders = table(spark, sf_dir, "orders").filter("o_orderdate IS NOT NULL")
+    by = [F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("status")]
+    origin = {"o_totalprice": 150_000.0}
+    state = moment_state(orders, {"price": ["o_totalprice"]}, by, origin)
+    spread = spread_from_moments(merge_moments(state, ["status"]))
+    mean = F.round(F.col("mean") + origin["o_totalprice"], 4)
+    return spread.select("status", "n", mean.alias("mean"), F.round("stddev", 4).alias("stddev"))

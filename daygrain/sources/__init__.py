@@ -1,6 +1,12 @@
 """Readers for the raw files and the tables between steps, and writers."""
 
+from daygrain.sources.files import input_files, read_csv_by_header
+from daygrain.sources.quarantine import Checked, conform_checked, ledger_counts, observed_counts
 from daygrain.sources.raw import (
+    COLLISIONS,
+    RIDERSHIP,
+    WEATHER,
+    check_raw,
     read_collisions,
     read_correlations,
     read_ridership,
@@ -10,6 +16,7 @@ from daygrain.sources.readers import conform, read_csv, read_csv_text, read_tabl
 from daygrain.sources.sinks import scratch_copy, write_table, write_to_all, written
 
 __all__ = [
-    "conform", "read_collisions", "read_correlations", "read_csv", "read_csv_text",
+    "COLLISIONS", "Checked", "RIDERSHIP", "WEATHER", "check_raw", "conform", "conform_checked", "input_files",
+    "ledger_counts", "observed_counts", "read_collisions", "read_correlations", "read_csv", "read_csv_by_header", "read_csv_text",
     "read_ridership", "read_table", "read_weather", "scratch_copy", "write_table", "write_to_all", "written",
 ]

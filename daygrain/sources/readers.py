@@ -71,6 +71,19 @@ def conform(
     null, unless its new name is required; a value that does not fit its type
     becomes null.
     """
+    pairs = typed_columns(df, names, types, date_patterns, timestamp_patterns, required)
+    return df.select(*[typed.alias(name) for name, (_, typed, _) in pairs.items()])
+
+
+def typed_columns(
+    df: DataFrame,
+    names: Mapping[str, str],
+    types: Mapping[str, str] | None = None,
+    date_patterns: Mapping[str, str] | None = None,
+    timestamp_patterns: Mapping[str, str] | None = None,
+    required: Collection[str] = (),
+) -> dict[str, tuple[Column, Column, str]]:
+    """New name -> raw text, typed value and what the text should be, as :func:`conform` picks them."""
     types = types or {}
     date_patterns = date_patterns or {}
     timestamp_patterns = timestamp_patterns or {}
@@ -79,13 +92,15 @@ def conform(
     if missing:
         raise ValueError(f"the file has no column {', '.join(map(repr, missing))}")
 
-    def typed(raw: str, name: str) -> Column:
+    def both(raw: str, name: str) -> tuple[Column, Column, str]:
         found = present.get(raw.lower())
         value = F.col("`" + found.replace("`", "``") + "`") if found else F.lit(None).cast("string")
         if name in date_patterns:
-            return parse_date(value, date_patterns[name]).alias(name)
+            return value, parse_date(value, date_patterns[name]), f"date {date_patterns[name]}"
         if name in timestamp_patterns:
-            return parse_timestamp(value, timestamp_patterns[name]).alias(name)
-        return value.try_cast(types.get(name, "string")).alias(name)
+            pattern = timestamp_patterns[name]
+            return value, parse_timestamp(value, pattern), f"timestamp {pattern}"
+        kind = types.get(name, "string")
+        return value, value.try_cast(kind), kind
 
-    return df.select(*[typed(raw, name) for raw, name in names.items()])
+    return {name: both(raw, name) for raw, name in names.items()}
