@@ -23,13 +23,14 @@ def main() -> None:
     parser.add_argument("--split", default=Scope.split, choices=["day", "random"])
     parser.add_argument("--seed", type=int, default=Scope.seed, help="seed of the split")
     parser.add_argument("--events-by-month", action="store_true", help="a folder per month for the events")
+    parser.add_argument("--resume", action="store_true", help="go on after a run that was stopped")
     args = parser.parse_args()
     station = None if args.station == "all" else args.station
     scope = Scope(args.first, args.last, station, args.split, args.seed)
     spark = SparkSession.builder.appName("daygrain").getOrCreate()
     names = run(
         spark, args.weather, args.collisions, args.ridership, args.out, args.format, args.mode,
-        args.events_by_month, scope,
+        args.events_by_month, scope, args.resume,
     )
     for name in names:
         print(name)

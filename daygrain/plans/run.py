@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import astuple, dataclass
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain import fixed_values as V
 from daygrain.operators import corr_matrix
 from daygrain.plans import collisions, impact, ridership, weather
 from daygrain.sources import (
+    COLLISIONS,
+    RIDERSHIP,
+    WEATHER,
+    check_raw,
+    observed_counts,
     read_collisions,
-    read_ridership,
     read_table,
     read_weather,
     write_table,
 )
+from daygrain.sources.steps import Steps, files_key, key_of
 
 
 CENTRAL_PARK = V.STATION_NAMES[V.STATION_CENTRAL_PARK]
@@ -107,6 +114,11 @@ def products(tables: dict[str, DataFrame], scope: Scope = Scope()) -> dict[str,
     }
 
 
+#: Results of the joined day table besides the correlations, as :func:`joint_results` names them.
+JOINT = ["condition_impact", "regression", *(f"predictions_{c}" for c in V.MODEL_LABELS)]
+COUNTS_SCHEMA = "source string, column string, given bigint, typed bigint, rejected bigint"
+
+
 def run(
     spark: SparkSession,
     weather_path: str,
@@ -117,6 +129,7 @@ def run(
     mode: str = "errorifexists",
     events_by_month: bool = False,
     scope: Scope = Scope(),
+    resume: bool = False,
 ) -> list[str]:
     """Write event tables, day tables and results, each from the files of the one before.
 
@@ -126,29 +139,79 @@ def run(
     event tables keep, so a date range reads few row groups without any shuffle;
     ``events_by_month`` spends a shuffle on a folder per month instead. ``scope`` sets
     period, station and split. Gives the names of the tables and results.
-    """
 
-    def keep(tables: dict[str, DataFrame], by_month: dict[str, str]) -> dict[str, DataFrame]:
-        kept = {}
-        for name, df in tables.items():
-            path = f"{out}/tables/{name}"
-            if name in by_month:
-                day = by_month[name]
-                monthly = df.withColumns({"year": F.year(day), "month": F.month(day)})
-                folders = ["year", "month"]
-                write_table(monthly, path, mode=mode, order_by=[day], partition_by=folders)
-            else:
-                write_table(df, path, mode=mode)
-            kept[name] = read_table(spark, path)
-        return kept
+    Fields and records that cannot be read are counted while the tables are written. If there
+    are any, ``read_counts`` has the counts by source and column, and ``rejected_fields`` the texts, for
+    which the files are read once more.
 
+    Every finished table is noted in a log with a key of the raw files' names, lengths and times and of the
+    parameters. ``resume`` goes on from there: tables with the same key are read, not made, and if
+    the event tables are among them no raw file is opened.
+    """
+    paths = {"reports": weather_path, "collisions": collisions_path, "daily_ridership": ridership_path}
+    kinds = {"reports": WEATHER, "collisions": COLLISIONS, "daily_ridership": RIDERSHIP}
+    steps = Steps(spark, f"{out}/_steps", resume)
+    raw_keys = {name: key_of(files_key(spark, path), events_by_month) for name, path in paths.items()}
+    raw_keys["daily_ridership"] = key_of(raw_keys["daily_ridership"], scope.first, scope.last)
+    key = key_of(sorted(raw_keys.items()), astuple(scope))
     by_month = {"reports": "ts", "collisions": "crash_date"} if events_by_month else {}
-    events = keep(event_tables(spark, weather_path, collisions_path), by_month)
-    days = keep(day_tables(events, read_ridership(spark, ridership_path), scope), {})
-    joined = keep(joined_tables(days), {})
-    joint = joint_results(joined["daily_features"], scope)
-    correlations = keep({"correlations": joint.pop("correlations")}, {})
-    results = {**joint, **products({**events, **days, **correlations}, scope)}
-    for name, df in results.items():
-        write_table(df, f"{out}/results/{name}", fmt, mode=mode)
-    return [*events, *days, *joined, *correlations, *results]
+
+    def written_to(name: str, df: DataFrame, how: str) -> None:
+        path = f"{out}/tables/{name}"
+        if name in by_month:
+            day = by_month[name]
+            monthly = df.withColumns({"year": F.year(day), "month": F.month(day)})
+            write_table(monthly, path, mode=how, order_by=[day], partition_by=["year", "month"])
+        else:
+            write_table(df, path, mode=how)
+
+    def keep(name: str, key: str, make: Callable[[], DataFrame]) -> bool:
+        return steps.keep(name, key, make, partial(written_to, name), mode)
+
+    def kept(*names: str) -> dict[str, DataFrame]:
+        return {name: read_table(spark, f"{out}/tables/{name}") for name in names}
+
+    cleaned = {
+        "reports": weather.clean_hourly,
+        "collisions": collisions.clean,
+        "daily_ridership": lambda rides: ridership.clean(rides, scope.first, scope.last),
+    }
+    counts, ledgers = [], []
+    for name, clean in cleaned.items():
+        seen = Observation(f"read {name}")
+
+        def typed(name=name, clean=clean, seen=seen) -> DataFrame:
+            return clean(check_raw(spark, paths[name], kinds[name], seen).rows)
+
+        if keep(name, raw_keys[name], typed):
+            found = observed_counts(seen, kinds[name]["names"])
+            counts += [(name, *c) for c in found]
+            if any(c[-1] for c in found):
+                ledger = check_raw(spark, paths[name], kinds[name]).ledger
+                ledgers.append(ledger.select(F.lit(name).alias("source"), "*"))
+    events = kept("reports", "collisions")
+    faults = ["read_counts", "rejected_fields"] if ledgers else []
+    if ledgers:
+        how = "overwrite" if resume else mode
+        write_table(spark.createDataFrame(counts, COUNTS_SCHEMA), f"{out}/results/read_counts", fmt, how)
+        write_table(reduce(DataFrame.unionByName, ledgers), f"{out}/results/rejected_fields", fmt, how)
+    keep("daily_weather", key, lambda: weather.weather_days(events["reports"], station=scope.station))
+    keep("daily_collisions", key, lambda: collisions.daily(events["collisions"]))
+    days = kept("daily_weather", "daily_collisions", "daily_ridership")
+    keep("daily_features", key, lambda: joined_tables(days)["daily_features"])
+    joined = kept("daily_features")
+    keep("correlations", key, lambda: impact.correlations(joined["daily_features"]))
+    correlations = kept("correlations")
+    result_key = key_of(key, fmt)
+    joint = {}
+    if not steps.all_finished(JOINT, result_key):  # making these fits the models
+        joint = joint_results(joined["daily_features"], scope)
+    results = products({**events, **days, **correlations}, scope)
+    for name, df in {**{n: joint[n] for n in JOINT if n in joint}, **results}.items():
+        write = partial(_result, f"{out}/results/{name}", fmt)
+        steps.keep(name, result_key, lambda df=df: df, write, mode)
+    return [*events, *days, *joined, *correlations, *JOINT, *results, *faults]
+
+
+def _result(path: str, fmt: str, df: DataFrame, how: str) -> None:
+    write_table(df, path, fmt, mode=how)

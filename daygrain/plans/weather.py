@@ -99,6 +99,19 @@ def weather_days(
     them, these are the rows of :func:`daily_temperature` and
     :func:`daily_conditions`, without reading and shuffling the reports twice.
     """
+    return with_mean(partial_days(raw, station, codes, match))
+
+
+def partial_days(
+    raw: DataFrame,
+    station: str | None = V.STATION_CENTRAL_PARK,
+    codes: Mapping[str, str] = V.CONDITION_CODES,
+    match: str = "contains",
+) -> DataFrame:
+    """:func:`weather_days` with sum and number of the temperatures instead of their mean.
+
+    Rows of one day from different files combine: sums and numbers add up, flags and bounds do as well.
+    """
     hourly, summary = _is_report(V.REPORT_HOURLY), _is_report(V.REPORT_SUMMARY_OF_DAY)
     temperature = F.when(hourly, coerce_number("dry_bulb_temperature"))
     flags = [
@@ -111,7 +124,8 @@ def weather_days(
         .agg(
             F.min(temperature).alias("min_t"),
             F.max(temperature).alias("max_t"),
-            F.avg(temperature).alias("avg_t"),
+            F.sum(temperature).alias("sum_t"),
+            F.count(temperature).alias("n_t"),
             F.min(F.when(summary, F.col("sunrise"))).alias("sunrise"),
             F.max(F.when(summary, F.col("sunset"))).alias("sunset"),
             *flags,
@@ -121,6 +135,14 @@ def weather_days(
     )
 
 
+def with_mean(partial: DataFrame) -> DataFrame:
+    """The mean in place of sum and number."""
+    mean = F.try_divide(F.col("sum_t"), F.col("n_t")).alias("avg_t")
+    kept = [c for c in partial.columns if c not in ("sum_t", "n_t")]
+    at = kept.index("max_t") + 1
+    return partial.select(*kept[:at], mean, *kept[at:])
+
+
 def temperature_of(days: DataFrame) -> DataFrame:
     """The days of :func:`weather_days` with hourly reports, and their temperatures."""
     return days.filter("has_hourly").select("date", *TEMPERATURE)

@@ -6,18 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.operators import corr_long, daily_counts_and_sums
+from daygrain.plans.incremental import counted_days, load, read_days
 from daygrain.queries.registry import query
 from daygrain.queries.standins import DAY_TABLES_SQL, XS, YS, features, table
 from daygrain.session import scratch_folder
 from daygrain.sources import (
     Checked,
+    CommitLog,
     conform,
     conform_checked,
     ledger_counts,
+    publish,
     read_correlations,
     read_csv,
     read_csv_by_header,
     read_csv_text,
+    read_published,
     read_table,
     write_table,
     write_to_all,
@@ -218,3 +222,42 @@ def csv_differing_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_csv_by_header(spark, path, required=["o_orderkey"]),
         {c: c for c in ("o_orderkey", "o_orderstatus", "o_orderpriority")},
     )
+
+
+@query(_DAILY_SQL)
+def incremental_day_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day table from two loads of files, in both of which a day may have rows."""
+    base = scratch_folder(spark, "incremental")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_quantity")
+    first = F.col("l_orderkey") % 2 == 0
+    days = counted_days(
+        lambda spark, files: spark.read.schema(lines.schema).parquet(*files), "l_shipdate", {"l_quantity": "ppl_i"}, "crash"
+    )
+    for name, part in (("first", lines.filter(first)), ("second", lines.filter(~first))):
+        write_table(part, f"{base}/files/{name}")
+        load(spark, f"{base}/files", f"{base}/state", days)
+    return read_days(spark, f"{base}/state")
+
+
+@query("""
+SELECT 'orders' AS target, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
+UNION ALL SELECT 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM lineitem
+""")
+def published_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two targets published twice, each read as the second publication left it."""
+    base = scratch_folder(spark, "published")
+    log = CommitLog(spark, f"{base}/log")
+    keys = {"orders": "o_orderkey", "lines": "l_orderkey"}
+    frames = {
+        name: table(spark, sf_dir, source).select(key)
+        for (name, key), source in zip(keys.items(), ("orders", "lineitem"), strict=True)
+    }
+    publish({f"{base}/{name}": df.limit(0) for name, df in frames.items()}, log)
+    publish({f"{base}/{name}": df for name, df in frames.items()}, log)
+    one, two = (
+        read_published(log, f"{base}/{name}").agg(
+            F.lit(name).alias("target"), F.count(F.lit(1)).alias("n"), F.sum(key).alias("keys")
+        )
+        for name, key in keys.items()
+    )
+    return one.unionByName(two)
