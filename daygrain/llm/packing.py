@@ -9,16 +9,17 @@ its neighbours.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
-from unicodedata import normalize
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,30 +31,20 @@ OPEN = 16
 ROWS = 1024
 #: Partitions whose leftover windows are merged together, so a merge sees OPEN * MERGED windows at most.
 MERGED = 16
-#: Distinct words a task remembers, those that stay for the next one, and texts after which it looks.
-WORDS, KEPT, TEXTS = 600_000, 250_000, 256
-
-
-class _Numbers(dict):
-    """word -> number, given when first asked for; ``new`` lists the words that got one."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
+#: Distinct words a worker remembers, those of a generation, and texts looked at together.
+WORDS, KEPT, TEXTS = 700_000, 350_000, 1024
+#: Letters that neither composing nor lower case makes more than one letter of, and signs behind them.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 class WordIds:
     """Token ids of texts as little-endian 32-bit numbers, tokenizing each distinct word once.
 
     For tokenizers that drop white space and whose tokens never cross it, the ids of a text are those
-    of its words in order. Such a tokenizer also parts letters from the full stop or comma behind
-    them, so a word with one is put together from the two. A full table is cut back to the words met
-    first, so memory is bounded.
+    of its words in order. Such a tokenizer also parts letters from the signs behind them and puts them in
+    lower case, so a word is put together from bare letters and signs, and letters are tokenized many at a
+    time, since their last token tells where a word ends. Words are kept in two generations: the older is
+    forgotten when the recent one is full, so memory is bounded and what is in use stays.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -61,53 +52,95 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_file)
-        for whole, parts in ((" a \n b ", ["a", "b"]), ("ab.", ["ab", "."]), ("ab,", ["ab", ","])):
+        for whole, parts in ((" a \n b ", ["a", "b"]), ("Ab.", ["ab", "."]), ("ab,(", ["ab", ",("])):
             if self._ids([whole])[0] != b"".join(self._ids(parts)):
                 raise ValueError("this tokenizer does not part words as the table does")
-        self.numbers, self.ids = _Numbers(), []
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
-    def _learn(self) -> None:
-        """Find the ids of all numbered words that have none yet."""
-        numbers, ids = self.numbers, self.ids
-        ended = []
-        for word in numbers.new:  # grows while it is read: bare words may be new too
-            # some letters are more than letters when composed anew or in lower case
-            if word[-1:] in (".", ",") and normalize("NFC", word[-2:-1]).lower().isalpha():
-                ended.append((numbers[word], numbers[word[:-1]], numbers[word[-1]]))
-        ids.extend([b""] * (len(numbers) - len(ids)))
-        whole = {n for n, _, _ in ended}
-        plain = [w for w in numbers.new if numbers[w] not in whole]
-        for word, found in zip(plain, self._ids(plain), strict=True):
-            ids[numbers[word]] = found
-        for number, bare, sign in ended:
-            ids[number] = ids[bare] + ids[sign]
-        numbers.new.clear()
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        for first in range(0, len(texts), TEXTS):
-            numbers = self.numbers
-            rows = [
-                [numbers[w] for w in (t or "").replace("\n", " ").split(" ")]
-                for t in texts[first : first + TEXTS]
-            ]
-            if numbers.new:
-                self._learn()
-            ids = self.ids
-            for row in rows:
-                yield b"".join([ids[n] for n in row])
-            if len(ids) > WORDS:
-                self.trim()
-
-    def trim(self) -> None:
-        """Forget all but the words met first, among which the frequent ones are."""
-        if len(self.ids) > KEPT:
-            first = _Numbers()
-            first.update(islice(self.numbers.items(), KEPT))
-            self.numbers, self.ids = first, self.ids[:KEPT]
+    def _letters(self, words: list[str], together: int = 256) -> Iterator[bytes]:
+        """Ids of words of letters."""
+        groups = [words[i : i + together] for i in range(0, len(words), together)]
+        for group, data in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
+            cuts = 4 * (np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1)
+            if len(cuts) != len(group):
+                yield from self._ids(group)
+                continue
+            first = 0
+            for cut in cuts.tolist():
+                yield data[first:cut]
+                first = cut
+
+    def _learn(self, words: list[str]) -> None:
+        """Find the ids of words that are in neither generation."""
+        table, older = self.recent, self.older
+        bare: dict[str, None] = {}
+        whole: dict[str, None] = {}
+        built = []
+        for word in words:
+            plain = _PLAIN.fullmatch(word)
+            if plain is None:
+                whole[word] = None
+                continue
+            letters, signs = plain.groups()
+            letters = letters.lower()
+            built.append((word, letters, signs))
+            if letters not in table and letters not in older:
+                bare[letters] = None
+            if signs and signs not in table and signs not in older:
+                whole[signs] = None
+        table.update(zip(whole, self._ids(list(whole)), strict=True))
+        table.update(zip(bare, self._letters(list(bare)), strict=True))
+        for word, letters, signs in built:
+            ids = table.get(letters) or older[letters]
+            table[word] = ids + (table.get(signs) or older[signs]) if signs else ids
+
+    def _of(self, words: list[str]) -> list[bytes]:
+        table, older = self.recent, self.older
+        found = list(map(table.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i in missing:
+            word = words[i]
+            if word in older:
+                found[i] = table[word] = older[word]
+        missing = [i for i in missing if found[i] is None]
+        self._learn([words[i] for i in missing])
+        for i in missing:
+            found[i] = table[words[i]]
+        if len(table) > KEPT:
+            self.older, self.recent = table, {}
+        elif len(table) + len(older) > WORDS:
+            self.older = {}
+        return found
+
+    def __call__(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
+        column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string())
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        for first in range(0, len(column), TEXTS):
+            rows = pc.split_pattern(pc.replace_substring(column.slice(first, TEXTS), "\n", " "), " ")
+            words = rows.flatten().dictionary_encode()
+            ids = self._of(words.dictionary.to_pylist())
+            # a batch has fewer than 2**31 tokens
+            size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+            data, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size, dtype=np.int32) - size
+            which = words.indices.to_numpy()
+            sizes = size[which]
+            ends = np.zeros(len(which) + 1, np.int32)
+            np.cumsum(sizes, out=ends[1:])
+            at = np.repeat(start[which] - ends[:-1], sizes)
+            at += np.arange(len(at), dtype=np.int32)
+            flat = data[at].tobytes()
+            bounds = rows.offsets.to_numpy() - rows.offsets[0].as_py()
+            bounds = (4 * ends[bounds].astype(np.int64)).tolist()
+            for low, high in pairwise(bounds):
+                yield flat[low:high]
 
 
 @lru_cache(maxsize=2)
@@ -177,8 +210,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], ids_of, end_id: int, size: int, m
     for batch in batches:
         id_type = batch.column(0).type
         for first in range(0, batch.num_rows, TEXTS):
-            docs, texts = (batch.column(k).slice(first, TEXTS).to_pylist() for k in (0, 1))
-            for doc, ids in zip(docs, ids_of(texts), strict=True):
+            docs = batch.column(0).slice(first, TEXTS).to_pylist()
+            for doc, ids in zip(docs, ids_of(batch.column(1).slice(first, TEXTS)), strict=True):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, size):
@@ -187,7 +220,6 @@ def _pieces(batches: Iterator[pa.RecordBatch], ids_of, end_id: int, size: int, m
             if len(rows) >= ROWS:
                 yield flushed(id_type)
     windows.finish()
-    ids_of.trim()
     yield flushed(id_type)
 
 
