@@ -29,9 +29,6 @@ BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
 #: Documents of a cluster that one task compares with as many at once, and bytes of their sets.
 BLOCK, BLOCK_BYTES = 128, 4 << 20
-#: Pairs whose sketches agree in less than this share are not similar: at similarity 0.8 the chance of
-#: falling below is under 1e-9.
-LEAST_AGREEMENT = 0.5
 
 _VALUE = U64((1 << 56) - 1)
 
@@ -173,7 +170,7 @@ def _common(one: list[np.ndarray], two: list[np.ndarray]):
 def _across(threshold: int):
     """Links between different components in two blocks of a cluster, as few as connect them.
 
-    All pairs are tested by sizes and sketches, and what those allow by full sets.
+    All pairs of different components are tested by sizes, and what those allow by full sets.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -181,8 +178,6 @@ def _across(threshold: int):
         one, two = group[group["block"] == first], group[group["block"] == second]
         found: list[tuple[int, int]] = []
         if len(one) and len(two):
-            y = np.stack([np.frombuffer(s, "<u4") for s in two["sketch"]])
-            x = np.stack([np.frombuffer(s, "<u4") for s in one["sketch"]])
             sets = [[np.frombuffer(s, U64) for s in part["shingles"]] for part in (one, two)]
             common = _common(*sets)
             n, m = one["n"].to_numpy(), two["n"].to_numpy()
@@ -196,7 +191,6 @@ def _across(threshold: int):
 
             for i in range(len(one)):
                 ok = (other != kin[i]) & (np.minimum(n[i], m) * 100 >= np.maximum(n[i], m) * threshold)
-                ok &= (x[i] == y).mean(axis=1) >= LEAST_AGREEMENT
                 if not ok.any():
                     continue
                 both = common(i)
@@ -224,10 +218,13 @@ def near_duplicates(
     Equal sets are one node. In each bucket of a band all nodes are compared with the smallest one,
     so a group of copies costs one pair for each member. Buckets that still hold several components
     after that are joined to clusters by their nodes, and in a cluster all pairs between different
-    components are compared, in blocks of ``BLOCK`` x ``BLOCK`` nodes, by sketch first and then by
+    components are compared, in blocks of ``BLOCK`` x ``BLOCK`` nodes, by size first and then by
     their full sets. Blocks give links that connect components, not pairs. No bucket is capped and
     no link between components of a bucket is left untested.
 
+    A very long text is read whole, in memory of some 23 bytes for each of its bytes. Equal ids and equal
+    sets are ties without consequence: the smallest id names a component.
+
     A row with a null or empty text, or without words, has set size 0 and is alone; so is a row
     without id, which has a null component and is kept. Rows with the same id count as one document
     that is linked to whatever any of them is; each gets its own row. An empty table gives no rows.
@@ -277,7 +274,7 @@ def near_duplicates(
     members = written(
         clusters.select("node", F.col("component_id").alias("cluster"))
         .join(inside.groupBy("node").agg(F.min("component").alias("component")), "node")
-        .join(nodes.select("node", "n", "sketch"), "node")
+        .join(nodes.select("node", "n"), "node")
         .join(sets, "node"),
         "members",
     )
@@ -311,6 +308,9 @@ def near_duplicates(
 
 def first_of_each(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that ``near_duplicates`` keeps: one id of each component."""
-    gone = near_duplicates(docs, size, threshold).filter("not kept").select("doc_id").distinct()
-    gone = written(gone, "gone").withColumnRenamed("doc_id", "gone_id")
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    name = "gone_id"
+    while name in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    gone = near_duplicates(docs, size, threshold).filter("not kept").select(F.col("doc_id").alias(name)).distinct()
+    gone = written(gone, "gone")
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone[name], "left_anti")

@@ -65,7 +65,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
-    lexicon = toxicity.learn(toxicity.sample_of(docs, toxicity.training_labels(labels)))
+    lexicon = toxicity.learn_from(toxicity.chosen_texts(docs, toxicity.training_labels(labels)))
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     return toxicity.toxicity_scores(docs, lexicon).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", "weight"

@@ -203,13 +203,46 @@ def test_toxicity_sample_takes_label_rows_only(spark, documents):
     assert toxicity.sample_of(docs, labels.limit(0)) == []
 
 
+def test_learning_on_executors_equals_learning_on_the_driver(spark):
+    rows = _labelled(600)
+    rows[5] = (rows[5][0] + " plain words" * 40_000, rows[5][1])  # learned from as a whole
+    rows += rows[:50]
+    sample = spark.createDataFrame([(i, t, label) for i, (t, label) in enumerate(rows)], "doc_id long, text string, label int")
+    one, two = toxicity.learn(rows), toxicity.learn_from(sample.repartition(4))
+    assert one.weights == two.weights and one.excused == two.excused and one.weights
+    assert one.logistic == pytest.approx(two.logistic, rel=1e-6)
+    assert toxicity.learn_from(sample.limit(0)) == toxicity.Lexicon() == toxicity.learn_from(sample.filter("label = 1"))
+
+
+def test_a_text_of_many_terms_and_phrases_is_weighed_in_linear_time():
+    import random
+    import time
+
+    draw = random.Random(2)
+    lexicon = toxicity.Lexicon({" vermin ": 5.0, " zork": 4.0}, [" vermin control ", " control vermin ", " nice zorkel "], (-2.0, 1.0, 1.0))
+    automaton = lexicon.automaton()
+    words = [draw.choice(["vermin", "control", "zorkel", "nice", "balan"]) for _ in range(1500)]
+    for size in (0, 1, 2, 50, 1500):
+        folded = toxicity.fold(" ".join(words[:size]))
+        best, spans = toxicity.hits(automaton, folded)
+        plain = sum(w for at, w in best.items() if not any(a <= at < b for a, b in spans))
+        assert toxicity.weight_of(automaton, folded) == plain
+    start = time.perf_counter()
+    toxicity.weight_of(automaton, toxicity.fold(" ".join(words * 500)))  # 5 MB
+    assert time.perf_counter() - start < 10
+
+
 def test_toxicity_sample_is_full_and_has_an_id_once(spark):
-    long = "long " * toxicity.LONGEST
+    long = "long " * 20_000
     rows = [(i, long if i < 40 else f"text {i}") for i in range(60)] + [(50, "text 50")] * 30 + [(51, "other")] * 30
+    rows += [(i, None) for i in range(60, 90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
-    got = toxicity.sample_of(docs, labels, toxic=10, clean=10)
-    assert len(got) == 20 and sum(label for _, label in got) == 10
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, toxic int")
+    few = toxicity.sample_of(docs, labels, toxic=10, clean=10)
+    assert len(few) == 20 and sum(label for _, label in few) == 10
+    got = toxicity.sample_of(docs, labels)
+    assert sum(t == long for t, _ in got) == 40 and len(got) == 60  # long texts, too, and none without a text
+    got = [(t, label) for t, label in got if t != long]
     want = [f"text {i}" for i in range(40, 60) if i != 51]
     assert sorted(t for t, _ in got if t not in ("text 51", "other")) == sorted(want)
 
@@ -334,7 +367,7 @@ def test_first_stages_and_packing_equal_plain_scoring(spark, sf_dir):
     larger = sf_dir.replace("sf0.001", "sf0.01")  # the smallest table with texts to reject
     docs = table(spark, larger, "documents")
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    lexicon = toxicity.learn(toxicity.sample_of(docs, toxicity.training_labels(table(spark, larger, "labels"))))
+    lexicon = toxicity.learn_from(toxicity.chosen_texts(docs, toxicity.training_labels(table(spark, larger, "labels"))))
     automaton, (base, of_sum, of_share) = lexicon.automaton(), lexicon.logistic
 
     def toxic(text):
