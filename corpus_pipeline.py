@@ -17,7 +17,7 @@ from daygrain.llm.tables import ship, table, written
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a lexicon learned from ``labels`` does not reject."""
     labels = toxicity.training_labels(table(spark, sf_dir, "labels"))
-    return toxicity.harmless(docs, toxicity.learn(toxicity.sample_of(docs, labels)))
+    return toxicity.harmless(docs, toxicity.learn_from(toxicity.chosen_texts(docs, labels)))
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
