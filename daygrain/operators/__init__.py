@@ -12,6 +12,7 @@ from daygrain.operators.days import (
     join_on,
 )
 from daygrain.operators.domains import code_day_grid, complete_domain, day_spine, literal_domain
+from daygrain.operators.grains import counts_by_grains, grain_of
 from daygrain.operators.groups import (
     mean_of_groups,
     monthly_means,
@@ -53,9 +54,9 @@ from daygrain.operators.selections import (
 
 __all__ = [
     "assemble", "by_season", "by_weekday", "code_day_grid", "complete_domain", "corr_long",
-    "corr_from_moments", "corr_matrix", "count_flags", "counts_by_hour", "counts_join_sums", "daily_counts_and_sums",
+    "corr_from_moments", "corr_matrix", "count_flags", "counts_by_grains", "counts_by_hour", "counts_join_sums", "daily_counts_and_sums",
     "daily_flags", "daily_min_max_avg", "daily_sums_by_group", "date_range", "day_spine",
-    "fit_ols", "holdout_predictions", "impact_by_condition", "in_training", "join_on", "labelled_parts", "literal_domain",
+    "fit_ols", "grain_of", "holdout_predictions", "impact_by_condition", "in_training", "join_on", "labelled_parts", "literal_domain",
     "mean_daily_by_month", "mean_of_groups", "mean_std", "mean_std_by_flag", "measure_bounds", "merge_moments", "moment_state",
     "month_series", "monthly_means", "ols_from_moments", "ols_models", "ols_report", "pair_models", "random_split", "split_by_day",
     "split_by_value", "spread_from_moments", "stack_columns", "station_series", "token_vocabulary", "top_k",

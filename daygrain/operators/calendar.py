@@ -54,13 +54,18 @@ def by_season(df: DataFrame, ts: str, count: str = "n", counted: str | None = No
     return complete_domain(named, "season", list(SEASON_MONTHS))
 
 
-def counts_by_hour(df: DataFrame, time_text: str, count: str = "n") -> DataFrame:
+def counts_by_hour(
+    df: DataFrame, time_text: str, count: str = "n", counted: str | None = None
+) -> DataFrame:
     """Rows per hour of a time of day given as text.
 
+    ``counted`` names a column with the number of rows that each row stands for.
+
     Equal texts are counted first, so that only the distinct ones, at most one
     per minute of the day, are parsed. Rows without a valid time are left out.
     """
-    by_text = df.groupBy(time_text).agg(F.count(F.lit(1)).alias("__n"))
+    rows = F.sum(counted) if counted else F.count(F.lit(1))
+    by_text = df.groupBy(time_text).agg(rows.alias("__n"))
     # Tied to the count, or the test for valid times would move below it and parse every row.
     hour = F.when(F.col("__n") > 0, hour_of_text(time_text))
     return (

@@ -74,15 +74,24 @@ def count_flags(
     none: str,
     name: str = "party",
     count: str = "n",
+    counted: str | None = None,
 ) -> DataFrame:
     """Rows for which each flag holds, and rows for which none does.
 
     A flag holds if one of its conditions does; a row may count under several.
+    ``counted`` names a column with the number of rows that each row stands for.
     """
     hits = {flag: any_of(conditions) for flag, conditions in flags.items()}
-    one_row = df.select(*[c.alias(flag) for flag, c in hits.items()]).agg(
-        *[F.count_if(flag).alias(flag) for flag in hits],
-        F.count_if(~any_of([F.col(flag) for flag in hits])).alias(none),
+
+    def total(where: Column) -> Column:
+        if not counted:
+            return F.count_if(where)
+        return F.coalesce(F.sum(F.when(where, F.col("__rows"))), F.lit(0).cast("bigint"))
+
+    rows = [F.col(counted).cast("bigint").alias("__rows")] if counted else []
+    one_row = df.select(*[c.alias(flag) for flag, c in hits.items()], *rows).agg(
+        *[total(F.col(flag)).alias(flag) for flag in hits],
+        total(~any_of([F.col(flag) for flag in hits])).alias(none),
     )
     return one_row.unpivot([], [*hits, none], name, count)
 

@@ -62,13 +62,15 @@ def wide_counts(
     column: str | Column,
     values: Sequence | Mapping,
     others: str | None = OTHERS,
+    counted: str | None = None,
 ) -> DataFrame:
     """One row per key, one column per value with its count; null where there is none.
 
     Rows without key or value are left out; ``others`` names a column for the
     values that are not listed, so that no row is lost. ``others=None`` is for
     lists that are known to be complete. Counts under a condition need one
-    shuffle, where a pivot needs two.
+    shuffle, where a pivot needs two. ``counted`` names a column with the number of
+    rows that each row stands for.
     """
     names = dict(values) if isinstance(values, Mapping) else {v: str(v) for v in values}
     if others in names.values():
@@ -76,14 +78,15 @@ def wide_counts(
     rows = df.select(
         (F.col(key) if isinstance(key, str) else key).alias("__key"),
         (F.col(column) if isinstance(column, str) else column).alias("__value"),
+        (F.col(counted) if counted else F.lit(1)).cast("bigint").alias("__rows"),
     ).filter(F.col("__key").isNotNull() & F.col("__value").isNotNull())
-    counts = [
-        F.nullif(F.count_if(F.col("__value") == v), F.lit(0)).alias(label)
-        for v, label in names.items()
-    ]
+    def total(where: Column) -> Column:
+        rows = F.sum(F.when(where, F.col("__rows"))) if counted else F.count_if(where)
+        return F.nullif(rows, F.lit(0))
+
+    counts = [total(F.col("__value") == v).alias(label) for v, label in names.items()]
     if others is not None:
-        unlisted = F.count_if(~F.col("__value").isin(list(names)))
-        counts.append(F.nullif(unlisted, F.lit(0)).alias(others))
+        counts.append(total(~F.col("__value").isin(list(names))).alias(others))
     return rows.groupBy(F.col("__key").alias(name)).agg(*counts)
 
 

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain import fixed_values as V
-from daygrain.functions import month_of, name_at, normalise_text, severity
+from daygrain.functions import any_of, month_of, name_at, normalise_text, severity
 from daygrain.operators import (
     by_season,
     by_weekday,
     complete_domain,
     count_flags,
+    counts_by_grains,
     counts_by_hour,
     daily_counts_and_sums,
+    grain_of,
     mean_daily_by_month,
     top_k,
     top_k_with_others,
@@ -57,19 +59,55 @@ def per_season(days: DataFrame) -> DataFrame:
     return by_season(days, "date", "crash", counted="crash")
 
 
+def profile(cleaned: DataFrame) -> DataFrame:
+    """Collisions by time of day, by month and severity, by day and borough, and by who was hurt, from one scan.
+
+    The functions below take it instead of the collisions; it has a row for each combination that occurs.
+    """
+    return counts_by_grains(
+        cleaned,
+        {
+            "time": {"crash_time": F.col("crash_time")},
+            "severity": {"month": month_of("crash_date"), "severity": _severity()},
+            "borough": {"crash_date": F.col("crash_date"), "borough": F.col("borough")},
+            "party": {flag: any_of(hurt) for flag, hurt in _parties().items()},
+        },
+    )
+
+
+def _severity() -> Column:
+    return severity([F.col("ppl_i") > 0, F.col("ppl_k") > 0])
+
+
+def _parties() -> dict[str, list[Column]]:
+    names = {"Pedestrian": "ped", "Cyclist": "cyc", "Motorist": "mot"}
+    return {name: [F.col(f"{p}_i") > 0, F.col(f"{p}_k") > 0] for name, p in names.items()}
+
+
+def _grain(cleaned: DataFrame, grain: str) -> tuple[DataFrame, str | None]:
+    """A grain of a profile and its count column, or the collisions themselves."""
+    if "grain" in cleaned.columns:
+        return grain_of(cleaned, grain), "n"
+    return cleaned, None
+
+
 def per_hour(cleaned: DataFrame) -> DataFrame:
-    return counts_by_hour(cleaned, "crash_time", "crash")
+    """Collisions by hour, from the collisions or their :func:`profile`."""
+    rows, counted = _grain(cleaned, "time")
+    return counts_by_hour(rows, "crash_time", "crash", counted)
 
 
 def severity_by_month(cleaned: DataFrame) -> DataFrame:
-    """One row per month of the year, a column per severity class."""
+    """One row per month of the year, a column per severity class; from the collisions or their :func:`profile`."""
+    rows, counted = _grain(cleaned, "severity")
     counts = wide_counts(
-        cleaned,
-        month_of("crash_date"),
+        rows,
+        F.col("month") if counted else month_of("crash_date"),
         "number",
-        severity([F.col("ppl_i") > 0, F.col("ppl_k") > 0]),
+        F.col("severity") if counted else _severity(),
         [V.SEVERE, V.NOT_SEVERE],
         others=None,  # a collision is one or the other
+        counted=counted,
     )
     named = counts.withColumn("month", name_at("number", V.MONTHS)).drop("number")
     return complete_domain(named, "month", V.MONTHS)
@@ -82,9 +120,10 @@ def per_day_and_borough(
 ) -> DataFrame:
     """One row per day, a column per borough; collisions without a borough are left out.
 
-    ``others`` names a column for boroughs that are not listed.
+    ``others`` names a column for boroughs that are not listed. From the collisions or their :func:`profile`.
     """
-    return wide_counts(cleaned, "crash_date", "date", "borough", list(boroughs), others)
+    rows, counted = _grain(cleaned, "borough")
+    return wide_counts(rows, "crash_date", "date", "borough", list(boroughs), others, counted)
 
 
 def vehicle_types(cleaned: DataFrame, k: int = 10) -> DataFrame:
@@ -93,9 +132,10 @@ def vehicle_types(cleaned: DataFrame, k: int = 10) -> DataFrame:
 
 
 def involved_parties(cleaned: DataFrame) -> DataFrame:
-    """Collisions that hurt pedestrians, cyclists or motorists, and those that hurt nobody."""
-    def hurt(party: str) -> list:
-        return [F.col(f"{party}_i") > 0, F.col(f"{party}_k") > 0]
+    """Collisions that hurt pedestrians, cyclists or motorists, and those that hurt nobody.
 
-    parties = {"Pedestrian": hurt("ped"), "Cyclist": hurt("cyc"), "Motorist": hurt("mot")}
-    return count_flags(cleaned, parties, none=V.NO_PARTY)
+    From the collisions or their :func:`profile`.
+    """
+    rows, counted = _grain(cleaned, "party")
+    parties = {name: [F.col(name)] for name in _parties()} if counted else _parties()
+    return count_flags(rows, parties, none=V.NO_PARTY, counted=counted)

@@ -85,8 +85,12 @@ def joint_results(features: DataFrame, scope: Scope = Scope()) -> dict[str, Data
 
 
 def products(tables: dict[str, DataFrame], scope: Scope = Scope()) -> dict[str, DataFrame]:
-    """Result tables by name, from the event and day tables."""
+    """Result tables by name, from the event and day tables.
+
+    With the table ``collision_profile`` four of them need no pass over the collisions.
+    """
     crashes, reports = tables["collisions"], tables["reports"]
+    profile = tables.get("collision_profile", crashes)
     crash_days, rides = tables["daily_collisions"], tables["daily_ridership"]
     conditions = weather.conditions_of(tables["daily_weather"])
     return {
@@ -103,11 +107,11 @@ def products(tables: dict[str, DataFrame], scope: Scope = Scope()) -> dict[str,
         "collisions_by_month": collisions.mean_by_month(crash_days),
         "collisions_by_weekday": collisions.per_weekday(crash_days),
         "collisions_by_season": collisions.per_season(crash_days),
-        "collisions_by_hour": collisions.per_hour(crashes),
-        "severity_by_month": collisions.severity_by_month(crashes),
-        "collisions_by_borough": collisions.per_day_and_borough(crashes),
+        "collisions_by_hour": collisions.per_hour(profile),
+        "severity_by_month": collisions.severity_by_month(profile),
+        "collisions_by_borough": collisions.per_day_and_borough(profile),
         "vehicle_types": collisions.vehicle_types(crashes),
-        "involved_parties": collisions.involved_parties(crashes),
+        "involved_parties": collisions.involved_parties(profile),
         "report_counts": weather.report_counts(reports),
         "weather_codes": weather.code_vocabulary(reports, station=None),
         "code_calendar": weather.code_calendar(reports, scope.first, scope.last),
@@ -134,8 +138,8 @@ def run(
     """Write event tables, day tables and results, each from the files of the one before.
 
     The raw text is parsed once. Collisions are reduced to days once, and what the days
-    tell is taken from them; hours, severity, boroughs, vehicles and parties need a pass
-    of their own over the collisions. Raw files come roughly in time order, which the
+    tell is taken from them; hours, severity, boroughs and parties are counted in one pass over
+    the collisions, vehicles in one of their own. Raw files come roughly in time order, which the
     event tables keep, so a date range reads few row groups without any shuffle;
     ``events_by_month`` spends a shuffle on a folder per month instead. ``scope`` sets
     period, station and split. Gives the names of the tables and results.
@@ -206,7 +210,8 @@ def run(
     joint = {}
     if not steps.all_finished(JOINT, result_key):  # making these fits the models
         joint = joint_results(joined["daily_features"], scope)
-    results = products({**events, **days, **correlations}, scope)
+    keep("collision_profile", raw_keys["collisions"], lambda: collisions.profile(events["collisions"]))
+    results = products({**events, **days, **correlations, **kept("collision_profile")}, scope)
     for name, df in {**{n: joint[n] for n in JOINT if n in joint}, **results}.items():
         write = partial(_result, f"{out}/results/{name}", fmt)
         steps.keep(name, result_key, lambda df=df: df, write, mode)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from daygrain import fixed_values as V
 from daygrain.plans import collisions, impact, ridership, weather
 from daygrain.queries.models import in_train_sql, report_sql
-from daygrain.queries.raw_standins import GAPS_SQL, RAW_SQL, crashes, reports, rides
-from daygrain.queries.registry import query
+from daygrain.queries.raw_standins import RAW_SQL, WITH_GAPS_SQL, crashes, reports, rides
+from daygrain.queries.registry import oracle_sql, query
 from daygrain.queries.standins import half_up
 
 OUTCOMES = ["crash", *V.CASUALTIES, *V.TRANSIT_MODES]
@@ -248,13 +248,13 @@ def _spread_sql(condition: str, value: str, mode: str, where: str = "TRUE") -> s
     )
 
 
-@query(DAYS_SQL.replace("FROM events", f"FROM events WHERE NOT ({GAPS_SQL})") + _UNION.join(
+@query(DAYS_SQL.replace(*WITH_GAPS_SQL) + _UNION.join(
     part for m in V.SPREAD_MODES for part in (
         _spread_sql("rain", "rain", m),
         _spread_sql("snow", "snow", m),
         _spread_sql("neither", "TRUE", m, "NOT rain AND NOT snow"))))
 def transit_by_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the one-pass day table, of which some days lack hourly reports."""
+    """From the one-pass day table; all reports count, and some days lack hourly ones."""
     days = weather.weather_days(reports(spark, sf_dir, gaps=True))
     conditions = weather.conditions_of(days)
     spread = ridership.spread_by_weather(rides(spark, sf_dir, fold=True), conditions)
@@ -307,3 +307,20 @@ def joint_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = impact.regression_report(_features(spark, sf_dir))
     numbers = ["coef", "t_value", "r2", "holdout_r2", "holdout_rmse"]
     return report.withColumns({c: F.round(c, 6) for c in numbers})
+
+
+def _from_profile(name: str, of):
+    """The same product from the profile, with the SQL of the one from the collisions."""
+
+    def from_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return of(collisions.profile(collisions.clean(crashes(spark, sf_dir))))
+
+    return query(oracle_sql()[name], name=f"{name}_from_profile")(from_profile)
+
+
+collision_hours_from_profile = _from_profile("collision_hours", collisions.per_hour)
+collision_severity_from_profile = _from_profile("collision_severity_by_month", collisions.severity_by_month)
+collision_boroughs_from_profile = _from_profile(
+    "collision_boroughs_by_day", lambda profile: collisions.per_day_and_borough(profile, ["BRONX"])
+)
+collision_parties_from_profile = _from_profile("collision_involved_parties", collisions.involved_parties)

@@ -72,16 +72,21 @@ def _select(columns: dict[str, str]) -> list[str]:
     return [f"{e} AS {name}" for name, e in columns.items()]
 
 
-# Hourly reports of every fourth day, which a table with gaps lacks.
-GAPS_SQL = "event_type = 'view' AND date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) % 4 = 0"
+# On every fourth day hourly reports are special ones, so that these days lack temperatures.
+WITH_GAPS_SQL = (
+    "WHEN 'view' THEN 'FM-15'",
+    "WHEN 'view' THEN CASE WHEN date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) % 4 = 0 "
+    "THEN 'FM-16' ELSE 'FM-15' END",
+)
 
 
 def reports(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    if gaps:
-        number = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
-        events = events.filter(~((F.col("event_type") == "view") & (number % 4 == 0)))
-    return events.selectExpr(*_select(_REPORTS))
+    found = table(spark, sf_dir, "events").selectExpr(*_select(_REPORTS))
+    if not gaps:
+        return found
+    number = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+    special = (F.col("report_type") == "FM-15") & (number % 4 == 0)
+    return found.withColumn("report_type", F.when(special, "FM-16").otherwise(F.col("report_type")))
 
 
 def crashes(spark: SparkSession, sf_dir: str, fold: bool = False) -> DataFrame:

@@ -385,3 +385,35 @@ def test_holdout_predictions(spark, sample):
     got = op.holdout_predictions(df, list("abcd"), "y")
     assert got.columns == ["date", "y", "prediction"]
     assert got.count() == op.split_by_day(df)[1].count()
+
+
+def test_counts_at_several_grains_from_one_scan(spark):
+    from daygrain.operators import counts_by_grains, grain_of
+
+    rows = [(1, "a", None), (1, "b", 2), (None, "a", 2), (1, "a", None)]
+    df = spark.createDataFrame(rows, "x int, y string, z int").repartition(3)
+    grains = {"xy": {"x": F.col("x"), "y": F.upper("y")}, "z": {"z": F.col("z")}, "all": {"known": F.col("x").isNotNull()}}
+    counts = counts_by_grains(df, grains)
+    got = {g: sorted((tuple(r) for r in grain_of(counts, g).collect()), key=repr) for g in grains}
+    assert got == {
+        "xy": sorted([(1, "A", 2), (1, "B", 1), (None, "A", 1)], key=repr),
+        "z": sorted([(None, 2), (2, 2)], key=repr),
+        "all": sorted([(True, 3), (False, 1)], key=repr),
+    }
+    assert counts_by_grains(df.limit(0), grains).count() == 0
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_four_products_of_a_profile_equal_those_of_the_collisions(spark, sf_dir):
+    from daygrain.plans import collisions
+    from daygrain.queries.raw_standins import crashes
+
+    events = collisions.clean(crashes(spark, sf_dir))
+    profile = collisions.profile(events)
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    for product in (collisions.per_hour, collisions.severity_by_month, collisions.per_day_and_borough, collisions.involved_parties):
+        one, two = product(events), product(profile)
+        assert one.dtypes == two.dtypes
+        assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
