@@ -6,22 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.operators import (
+    bitmap_calendar,
+    co_occurring_days,
     code_day_grid,
     counts_join_sums,
     daily_counts_and_sums,
     daily_min_max_avg,
     daily_sums_by_group,
+    day_bitmaps,
+    days_of,
+    days_with_all,
+    days_with_any,
+    join_on,
+    merge_bitmaps,
     wide_counts,
 )
 from daygrain.queries.registry import query
 from daygrain.queries.standins import (
     DAY_TABLES_SQL,
+    collision_daily,
     STATUS_MODES,
     four_way,
     ridership,
     table,
+    weather_agg,
     weather_cond,
 )
+from daygrain.session import scratch_folder
+from daygrain.sources import read_table, values_of, write_bucketed, write_for_lookup, write_table
 
 LINE_SUMS = ["l_quantity", "l_linenumber", "l_discount", "l_tax"]
 
@@ -172,3 +184,82 @@ def code_day_grid_of_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
         "1996-01-01",
         "1996-12-31",
     )
+
+
+_HITS_SQL = """
+WITH hits AS (
+  SELECT DISTINCT t.code, CAST(o_orderdate AS DATE) AS date
+  FROM orders, unnest(string_split(o_orderpriority, ' ')) AS t(code)
+  WHERE o_orderdate IS NOT NULL AND t.code <> '')"""
+
+
+def _priority_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of two loads, kept and put together."""
+    path, orders = scratch_folder(spark, "bitmaps"), table(spark, sf_dir, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    for mode, load in (("errorifexists", orders.filter(odd)), ("append", orders.filter(~odd))):
+        write_table(day_bitmaps(load, "o_orderdate", "o_orderpriority"), path, mode=mode)
+    return merge_bitmaps(read_table(spark, path))
+
+
+@query(_HITS_SQL + """
+SELECT code, CAST(d AS DATE) AS date, CASE WHEN h.date IS NULL THEN 0 ELSE 1 END AS present
+FROM unnest(['5-LOW', '1-URGENT', 'SPECIFIED', '2-HIGH', 'NEVER']) AS c(code)
+CROSS JOIN generate_series(DATE '1996-01-01', DATE '1996-12-31', INTERVAL 1 DAY) AS s(d)
+LEFT JOIN hits h USING (code) WHERE h.date IS NULL OR h.date = CAST(d AS DATE)
+UNION ALL
+SELECT code, CAST(d AS DATE), 0
+FROM unnest(['5-LOW', '1-URGENT', 'SPECIFIED', '2-HIGH', 'NEVER']) AS c(code),
+     generate_series(DATE '1996-01-01', DATE '1996-12-31', INTERVAL 1 DAY) AS s(d)
+WHERE code IN (SELECT code FROM hits) AND NOT EXISTS (
+  SELECT 1 FROM hits h WHERE h.code = c.code AND h.date = CAST(s.d AS DATE))
+""")
+def code_calendar_from_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmap_calendar(_priority_days(spark, sf_dir), _GRID_CODES, "1996-01-01", "1996-12-31")
+
+
+@query(_HITS_SQL + """
+SELECT a.code AS code_1, b.code AS code_2, count(*) AS days
+FROM hits a JOIN hits b ON a.date = b.date AND a.code < b.code
+WHERE a.code IN ('5-LOW', '1-URGENT', 'SPECIFIED', '2-HIGH', 'NEVER')
+  AND b.code IN ('5-LOW', '1-URGENT', 'SPECIFIED', '2-HIGH', 'NEVER')
+GROUP BY 1, 2
+""")
+def co_occurring_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co_occurring_days(_priority_days(spark, sf_dir), _GRID_CODES)
+
+
+@query(_HITS_SQL + """
+SELECT 'any' AS kind, date FROM hits WHERE code IN ('5-LOW', '1-URGENT') GROUP BY 2
+UNION ALL
+SELECT 'all', date FROM hits WHERE code IN ('5-LOW', '1-URGENT') GROUP BY 2 HAVING count(*) = 2
+""")
+def days_with_any_and_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bitmaps, pair = _priority_days(spark, sf_dir), ["5-LOW", "1-URGENT"]
+    kinds = {"any": days_with_any(bitmaps, pair), "all": days_with_all(bitmaps, pair)}
+    one, two = (
+        days_of(days, "1990-01-01", "2004-12-31").select(F.lit(kind).alias("kind"), "date")
+        for kind, days in kinds.items()
+    )
+    return one.unionByName(two)
+
+
+@query(DAY_TABLES_SQL + """
+SELECT date, avg_t, urgent, crash FROM weather_agg JOIN weather_cond USING (date) JOIN collision_daily USING (date)
+""")
+def bucketed_day_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three day tables kept in buckets of the day, joined without an exchange."""
+    base = scratch_folder(spark, "bucketed")
+    kept = [
+        write_bucketed(make(spark, sf_dir), f"t{base.rsplit('-', 1)[-1]}_{i}", f"{base}/{i}", "date", 4)
+        for i, make in enumerate((weather_agg, weather_cond, collision_daily))
+    ]
+    return join_on(kept).select("date", "avg_t", "urgent", "crash")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (7, 11)")
+def customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few customers' orders from files sorted by customer, with bloom filters."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    kept = write_for_lookup(orders, scratch_folder(spark, "lookup"), "o_custkey")
+    return values_of(kept, "o_custkey", [7, 11])

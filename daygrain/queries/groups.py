@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from daygrain.functions import share, steady_round
 from daygrain.operators import (
     date_range,
+    heavy_hitters,
     mean_of_groups,
     monthly_means,
     stack_columns,
     top_k_with_others,
 )
-from daygrain.queries.registry import query
+from daygrain.queries.registry import oracle_sql, query
 from daygrain.queries.standins import DAY_TABLES_SQL, STATUS_MODES, half_up, ridership, table
 
 MODES = list(STATUS_MODES.values())
@@ -104,3 +105,25 @@ WHERE value NOT IN (SELECT value FROM top)
 """, name="topk_with_others")
 def part_text_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_with_others(table(spark, sf_dir, "part"), ["p_brand", "p_type", "p_name"], 10)
+
+
+@query(oracle_sql()["topk_with_others"])
+def topk_by_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from candidates that are counted exactly; where they prove nothing, from all counts."""
+    return heavy_hitters(table(spark, sf_dir, "part"), ["p_brand", "p_type", "p_name"], 10)
+
+
+@query("""
+WITH counts AS (
+  SELECT value, count(*) AS n
+  FROM (SELECT o_orderpriority AS value FROM orders UNION ALL SELECT CAST(o_orderkey AS VARCHAR) FROM orders)
+  WHERE value IS NOT NULL GROUP BY 1),
+top AS (SELECT value, n FROM counts ORDER BY n DESC, value LIMIT 3)
+SELECT value, n FROM top
+UNION ALL
+SELECT 'Others', CAST(coalesce(sum(n), 0) AS BIGINT) FROM counts WHERE value NOT IN (SELECT value FROM top)
+""")
+def topk_of_many_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few frequent values among as many different ones as there are orders."""
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", F.col("o_orderkey").cast("string").alias("key"))
+    return heavy_hitters(orders, ["o_orderpriority", "key"], 3)
