@@ -13,7 +13,6 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -24,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.tables import written
+from daygrain.llm.word_table import for_worker
 
 #: Open windows of a partition.
 OPEN = 16
@@ -32,7 +32,7 @@ ROWS = 1024
 #: Partitions whose leftover windows are merged together, so a merge sees OPEN * MERGED windows at most.
 MERGED = 16
 #: Distinct words a worker remembers, those of a generation, and texts looked at together.
-WORDS, KEPT, TEXTS = 700_000, 350_000, 1024
+WORDS, KEPT, TEXTS = 500_000, 250_000, 512
 #: Letters that neither composing nor lower case makes more than one letter of, and signs behind them.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
@@ -143,10 +143,9 @@ class WordIds:
                 yield flat[low:high]
 
 
-@lru_cache(maxsize=2)
 def worker_words(tokenizer_file: str) -> WordIds:
     """One for each worker process, which keeps its table over the tasks it is given."""
-    return WordIds(tokenizer_file)
+    return for_worker(("packing", tokenizer_file), lambda: WordIds(tokenizer_file))
 
 
 class Windows:

@@ -11,13 +11,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.word_table import ChunkTable
+from daygrain.llm.word_table import ChunkTable, for_worker
 
 MARK = "▁"
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -60,10 +59,9 @@ class Codec:
         )
 
 
-@lru_cache(maxsize=2)
 def worker_codec(model_file: str) -> Codec:
     """One for each worker process, which keeps its table over the tasks it is given."""
-    return Codec(model_file)
+    return for_worker(("codes", model_file), lambda: Codec(model_file))
 
 
 def sha256(text: str) -> str:

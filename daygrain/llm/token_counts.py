@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.word_table import ChunkTable
+from daygrain.llm.word_table import ChunkTable, for_worker
 
 MARK = "▁"
 #: How much worse than the worst piece a character without a piece is, as in unigram tokenizers.
@@ -86,10 +85,9 @@ def model_pieces(model_file: str) -> list[tuple[str, float]]:
     ]
 
 
-@lru_cache(maxsize=2)
 def worker_unigram(model_file: str) -> Unigram:
     """One for each worker process, which keeps its table over the tasks it is given."""
-    return Unigram(model_pieces(model_file))
+    return for_worker(("counts", model_file), lambda: Unigram(model_pieces(model_file)))
 
 
 def unigram_token_counts(

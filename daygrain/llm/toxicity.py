@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.tables import written
+from daygrain.llm.word_table import release
 
 #: Digits and signs used in place of letters.
 DIGITS = dict(zip("01345789@", "oieastbga", strict=True))
@@ -35,7 +36,7 @@ TOXIC_DOCS, CLEAN_DOCS = 3000, 6000
 #: How much likelier in toxic texts an entry is at least, as a logarithm.
 LEAST_WEIGHT = 3.0
 #: Clean texts that excuse a term beside a word, and counted entries a task holds before it hands them over.
-LEAST_EXCUSES, HELD = 3, 500_000
+LEAST_EXCUSES, HELD = 3, 100_000
 
 
 class _Folded(dict):
@@ -223,6 +224,7 @@ def _counted(kind: str, of: Callable[[str], Iterable[str]]):
     """Texts of each class that have each of what ``of`` finds, added up in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held: dict[int, Counter] = {0: Counter(), 1: Counter()}
 
         def flushed() -> Iterator[pa.RecordBatch]:
@@ -380,6 +382,7 @@ def training_labels(labels: DataFrame, parts: int = 3, held_out: int = 1) -> Dat
 
 def _scorer(lexicon: Lexicon):
     """Function of a column of texts: scores and weights."""
+    release()
     automaton, beta = lexicon.automaton(), np.array(lexicon.logistic)
 
     def score_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

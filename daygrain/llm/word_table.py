@@ -2,7 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import gc
+from collections.abc import Callable, Hashable
+
+_HELD: dict[Hashable, object] = {}
+
+
+def for_worker(key: Hashable, make: Callable[[], object]):
+    """What ``make`` gives, kept by this worker process for its next tasks until another stage's is asked for.
+
+    A worker serves one stage after another, and the tables of finished ones would add up.
+    """
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Forget what this worker process keeps for a stage that has ended."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
 
 
 class ChunkTable(dict):
