@@ -103,6 +103,42 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_duplicates.embedding_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dimension", [16, 32, 64])
+def test_recall_of_embedding_links_against_brute_force(spark, dimension):
+    """Rows with ids divisible by 50 against all rows, for pairs just above the threshold."""
+    draw = np.random.default_rng(dimension)
+    base = draw.standard_normal((1500, dimension))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = [base]
+    for cosine in (0.9801, 0.981, 0.985):
+        side = draw.standard_normal(base.shape)
+        side -= (side * base).sum(axis=1, keepdims=True) * base
+        side /= np.linalg.norm(side, axis=1, keepdims=True)
+        rows.append(cosine * base + np.sqrt(1 - cosine**2) * side)
+    vectors = np.stack(rows, axis=1).reshape(-1, dimension)
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_duplicates.embedding_duplicates(df.repartition(4)).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    asked = np.arange(0, len(vectors), 50)
+    want = (unit[asked] @ unit.T >= 0.98).sum(axis=1) - 1
+    found = np.array([got[i] for i in asked])
+    assert (found <= want).all() and want.sum() > 60
+    assert found.sum() >= 0.99 * want.sum()
+
+
+def test_a_bucket_of_many_vectors_is_compared_in_blocks(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    monkeypatch.setattr(embedding_duplicates, "BLOCK", 40)
+    centre = draw.standard_normal(24)
+    vectors = centre + draw.standard_normal((250, 24)) * 0.12
+    schema = "vec_id long, embedding array<double>, label int, node string, bucket string, first string, code_0 string, visits string, copies string, links string"
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0, *["x"] * 7) for i, v in enumerate(vectors)], schema)
+    got = {r.vec_id: r.n_links for r in embedding_duplicates.embedding_duplicates(df.repartition(3)).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    assert sum(got.values()) >= 0.99 * want.sum() and all(got[i] <= want[i] for i in got) and want.sum() > 2000
+
+
 def test_folding_undoes_disguises():
     assert toxicity.fold("IDIOT").split() == ["idiot"]
     assert toxicity.fold("1d10t").split() == ["idiot"]
