@@ -1,7 +1,8 @@
 """Shards cut from a Hilbert curve over metadata.
 
-Each document is a point in a small grid whose axes are quantised metadata: source, language,
-size and place in the id range. The Hilbert curve visits the grid so that neighbours on the curve
+Each document is a point in a small grid whose axes are quantised metadata: source, language
+and size, all by rank, so that every axis is used evenly whatever its values: sizes by quantiles, names by the
+rows of the more frequent ones before them. The Hilbert curve visits the grid so that neighbours on the curve
 are neighbours on every axis. Sorted by curve index and cut into runs, the documents of a shard span
 a small box, so a reader that filters on any of the axes can skip most shards by their bounds.
 """
@@ -65,18 +66,30 @@ def _curve(bits: int):
     return index
 
 
-def _grid(value: Column, low: float, high: float, bits: int) -> Column:
-    """The cell of a number between two bounds; null is in the first."""
-    cells = 1 << bits
-    if high <= low:
+def _ranked(value: Column, bounds: list) -> Column:
+    """The cell of a number among ascending bounds; null is in the first."""
+    if not bounds:
         return F.lit(0)
-    cell = F.floor((value.cast("double") - F.lit(low)) * F.lit(cells / (high - low)))
-    return F.coalesce(F.greatest(F.lit(0), F.least(cell, F.lit(cells - 1))), F.lit(0))
+    listed = F.array(*[F.lit(b) for b in bounds])
+    return F.when(value.isNull(), 0).otherwise(F.size(F.filter(listed, lambda b: b <= value)))
 
 
-def _named(value: Column, bits: int) -> Column:
-    """The cell of a name: a hash, so that no list of names is needed; null has its own."""
-    return F.coalesce(F.pmod(F.crc32(value.cast("string")), F.lit((1 << bits) - 1)) + 1, F.lit(0))
+def name_cells(names: list[tuple[str | None, int]], total: int, bits: int) -> dict[str | None, int]:
+    """Cells of the most frequent names, first come first: a name starts where the rows before it end."""
+    cells, before, found = 1 << bits, 0, {}
+    for name, count in names:
+        found[name] = min(cells - 1, before * cells // max(1, total))
+        before += count
+    return found
+
+
+def _named(value: Column, cells: dict[str | None, int], bits: int) -> Column:
+    """The cell of a name; names that are not listed share the last one."""
+    out = F.lit((1 << bits) - 1)
+    for name, cell in cells.items():
+        same = value.isNull() if name is None else value == F.lit(name)
+        out = F.when(same, cell).otherwise(out)
+    return out
 
 
 def hilbert_shards(
@@ -89,6 +102,8 @@ def hilbert_shards(
 ) -> DataFrame:
     """``doc_id, size, text_crc32, curve, shard, slot``: every row in one of ``shards`` runs of the curve.
 
+    The driver learns ``2**bits`` names of each named axis and as many quantiles of the size.
+
     Law ``rows``: shard sizes in rows differ by one at most, the larger ones first. ``slot`` counts a
     shard's rows from 0 in curve order; equal indexes are ordered by text checksum, size and id, so
     that equal texts of one origin stand together, and a shard's rows do not depend on how the input
@@ -98,21 +113,26 @@ def hilbert_shards(
 
     A null text counts as empty; null metadata have their own cell; missing metadata columns leave
     their axis out; repeated rows each get a slot; an empty table gives no rows. With fewer rows than
-    shards the last shards are empty. Other columns are ignored.
+    shards the last shards are empty. A very long text counts with all its bytes, and is not copied. Names
+    beyond the most frequent ones share a cell. Other columns are ignored, whatever their names.
     """
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 16
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         size.alias("size"),
         F.crc32(F.coalesce(F.col(text_col), F.lit(""))).alias("text_crc32"),
-        *[_named(F.col(c), bits).alias(f"axis_{i}") for i, c in enumerate(named) if c in docs.columns],
+        *[F.col(c).cast("string").alias(f"axis_{i}") for i, c in enumerate(named) if c in docs.columns],
     )
-    low, high, total = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    axes = [F.col(c).cast("long") for c in rows.columns if c.startswith("axis_")]
-    axes += [
-        _grid(F.log2("size"), 4, 28, bits),
-        _grid(F.col("doc_id"), float(low or 0), float(high or 0) + 1, bits),
-    ]
+    total = rows.count()
+    axes = []
+    for c in [c for c in rows.columns if c.startswith("axis_")]:
+        # the most frequent names only: as many as there are cells
+        counts = rows.groupBy(c).count().orderBy(F.desc("count"), c).limit((1 << bits) - 1).collect()
+        axes.append(_named(F.col(c), name_cells([(r[c], r["count"]) for r in counts], total, bits), bits))
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    quantiles = rows.agg(F.percentile_approx("size", shares, 10_000)).first()[0]
+    axes.append(_ranked(F.col("size"), sorted(set(quantiles or []))))
+    axes = [a.cast("long") for a in axes]
     curved = rows.withColumn("curve", _curve(bits)(*axes)).select(
         "doc_id", "size", "text_crc32", "curve"
     )

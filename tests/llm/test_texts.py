@@ -118,6 +118,27 @@ def test_shards_differ_by_one_row_and_slots_have_no_gaps(odd, empty):
     assert sharding.hilbert_shards(empty).count() == 0
 
 
+def test_filters_touch_few_shards(spark, sf_dir):
+    """Bounds by shard: how many shards a reader opens that wants a language, a source or large texts."""
+    docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    placed = sharding.hilbert_shards(docs, shards=40).join(docs.select("doc_id", "lang", "source"), "doc_id").toPandas()
+    touched = lambda rows: rows["shard"].nunique()
+    share = placed["lang"].value_counts(normalize=True)
+    for lang, rows in placed.groupby("lang"):
+        assert touched(rows) <= (15 if share[lang] < 0.5 else 40 * share[lang] + 3)
+    assert all(touched(rows) <= 15 for _, rows in placed.groupby("source"))
+    for low, high in ((0, 0.1), (0.9, 1)):
+        between = placed["size"].between(placed["size"].quantile(low), placed["size"].quantile(high))
+        assert touched(placed[between]) <= 15
+
+
+def test_names_take_cells_by_their_rows():
+    cells = sharding.name_cells([("a", 50), (None, 30), ("b", 15), ("c", 5)], 100, 6)
+    assert cells == {"a": 0, None: 32, "b": 51, "c": 60}
+    assert max(sharding.name_cells([(str(i), 1) for i in range(63)], 10_000, 6).values()) == 0
+    assert sharding.name_cells([], 0, 6) == {}
+
+
 def test_hilbert_curve_visits_neighbours():
     side = 1 << 3
     grid = np.stack(np.meshgrid(*[np.arange(side)] * 3, indexing="ij")).reshape(3, -1)
