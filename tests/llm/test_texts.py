@@ -148,40 +148,95 @@ def test_hilbert_curve_visits_neighbours():
     assert (np.abs(np.diff(path, axis=1)).sum(axis=0) == 1).all()
 
 
-def test_fingerprints_of_edited_texts(docs, odd, empty, texts):
+def plain_sketch(text, words=fingerprints.WORDS, scale=fingerprints.SCALE):
+    """Hashes of runs of words below the threshold; a run is hashed word by word, each with the hash before as seed."""
+    import re
+
+    import xxhash
+
+    parts = [w for w in re.split("[ \t\n\x0b\f\r]+", (text or "").lower()) if w]
+    found = set()
+    for i in range(max(1, len(parts) - words + 1) if parts else 0):
+        h = 42
+        for w in parts[i : i + words]:
+            h = xxhash.xxh64(w.encode(), seed=h).intdigest()
+        h = h - (1 << 64) if h >> 63 else h
+        if h < -(1 << 63) + (1 << 64) // scale:
+            found.add(h)
+    return sorted(found)
+
+
+def plain_print(sketch):
+    import base64
+
+    return base64.b64encode(b"".join((h & 0xFFFFFFFF).to_bytes(4) for h in sketch)).decode()
+
+
+def plain_near(one, two, same):
+    union = len(set(one) | set(two))
+    return len(set(one) & set(two)) / union if union else float(same)
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_fingerprints_of_edited_texts(docs, texts, few, monkeypatch):
+    if few:  # buckets of few rows, empty ones among them, in runs of two
+        monkeypatch.setattr(fingerprints, "tasks_for", lambda size: 29)
+        monkeypatch.setattr(fingerprints, "BOUNDS", 7)
+        monkeypatch.setattr(fingerprints, "TOGETHER", 2)
     rows = {r.doc_id: r for r in fingerprints.edited_fingerprints(docs).collect()}
     ids = sorted(texts)
+    assert sorted(rows) == ids
     for i, after in zip(ids, [*ids[1:], ids[0]], strict=True):
         text, new = texts[i] or "", texts[after] or ""
         half = len(text) // 2
         edited = text[: len(text) - half] + new[:half]
-        r = rows[i]
+        r, one, two, three = rows[i], plain_sketch(text), plain_sketch(edited), plain_sketch(new)
         assert r.n_chars == len(text) and r.edited_sha256 == brute.sha256(edited)
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-        kept = {*r.fingerprint.split(",")} - {""}, {*r.edited_fingerprint.split(",")} - {""}
-        union = len(kept[0] | kept[1])
-        assert r.near_edited == pytest.approx(len(kept[0] & kept[1]) / union if union else 1.0)
-        if text == edited:
-            assert r.fingerprint == r.edited_fingerprint
-    by_text = {}
-    for i, r in rows.items():
-        assert by_text.setdefault(texts[i] or "", r.fingerprint) == r.fingerprint
+        assert (r.fingerprint, r.edited_fingerprint) == (plain_print(one), plain_print(two))
+        assert r.near_edited == pytest.approx(plain_near(one, two, text == edited))
+        assert r.near_next == pytest.approx(plain_near(one, three, text == new))
+        assert r.contained_edited == (pytest.approx(len(set(one) & set(two)) / len(one)) if one else None)
     long = max(texts, key=lambda i: len(texts[i] or ""))
-    assert 600 < len(rows[long].fingerprint.split(",")) < 900  # a quarter of 2996 shingles
-    got = fingerprints.edited_fingerprints(odd)
-    assert got.count() == odd.count()
+    assert 120 < len(plain_sketch(texts[long])) < 260  # a sixteenth of 2996 shingles
+    assert len(rows[long].fingerprint) < 0.1 * len(texts[long])
+
+
+def test_fingerprints_of_odd_rows(docs, odd, empty):
+    assert fingerprints.edited_fingerprints(odd).count() == odd.count()
     assert fingerprints.edited_fingerprints(empty).count() == 0
     alone = fingerprints.edited_fingerprints(docs.filter("doc_id = 18")).collect()
     assert len(alone) == 1 and alone[0].near_next == 1.0
+    twice = docs.filter("doc_id = 18").unionByName(docs.filter("doc_id = 18"))
+    rows = fingerprints.edited_fingerprints(twice).collect()
+    assert len(rows) == 2 and rows[0] == rows[1] and rows[0].near_next == 1.0  # repeated by value
+
+
+def test_buckets_follow_one_another_across_runs(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "TOGETHER", 3)
+    for present in ([5], [0, 1, 2, 3, 4, 5, 6], [2, 9, 10, 11, 30, 31, 90]):
+        df = spark.createDataFrame([(b,) for b in present], "bucket int").repartition(3)
+        got = {r.bucket: r.after for r in fingerprints._next_buckets(df).collect()}
+        assert got == dict(zip(present, [*present[1:], present[0]], strict=True))
 
 
-def test_sketches_merge(spark):
+def test_sketches_merge_in_any_order_and_tell_containment(spark):
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame([("a b c d e f g h", "p q r s t u v w x"), ("a", ""), ("a b", "c")], "x string, y string")
-    parts = lambda c: fingerprints.sketch(F.col(c))
-    for r in df.select(parts("x").alias("x"), parts("y").alias("y")).collect():
-        assert all(h == sorted(set(h)) for h in (r.x, r.y))
+    draw = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(3000)]
+    whole = [draw.choice(words) for _ in range(9000)]
+    short = whole[4000:5500]
+    parts = [" ".join(whole[i : i + 1004]) for i in range(0, 8996, 1000)]  # cut so that no shingle is lost
+    df = spark.createDataFrame([(0, p) for p in parts] + [(1, "")], "g int, text string").repartition(4)
+    df = df.withColumn("sketch", fingerprints.sketch(F.col("text")))
+    got = {r.g: r.sketch for r in fingerprints.merge_sketches(df, ["g"]).collect()}
+    assert got == {0: plain_sketch(" ".join(whole)), 1: []}
+    two = spark.createDataFrame([(" ".join(short), " ".join(whole), parts[0], parts[1])], "a string, b string, c string, d string")
+    a, b, c, d = (fingerprints.sketch(F.col(x)) for x in "abcd")
+    row = two.select(fingerprints.containment(a, b).alias("inside"), fingerprints.containment(b, a).alias("share"),
+                     fingerprints.merged(c, d).alias("cd"), fingerprints.merged(d, c).alias("dc"), fingerprints.likeness(a, b).alias("near")).first()
+    assert row.inside == 1.0 and row.share == pytest.approx(1 / 6, abs=0.05) and row.near == pytest.approx(1 / 6, abs=0.05)
+    assert row.cd == row.dc == sorted(set(plain_sketch(parts[0])) | set(plain_sketch(parts[1])))
 
 
 def test_sentencepiece_codes_equal_the_library(odd, empty, texts):
