@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.byte_hash import text_parts
+from daygrain.llm.word_table import tidied
 
 #: Language of texts without a letter.
 UNDETERMINED = "und"
@@ -24,6 +25,8 @@ UNDETERMINED = "und"
 UNITS, SPAN = 8, 128
 #: Documents of each language to learn from (on average), windows of each, and characters of a window.
 PER_LANGUAGE, WINDOWS, WINDOW = 600, 2, 96
+#: Passes over the samples, and steps at least: few samples are passed over more often.
+EPOCHS, LEAST_STEPS = 8, 300
 #: How far from chance to certainty a score is at least for a text to count as one of the learned languages.
 LEAST_SCORE = 2 / 15
 
@@ -170,15 +173,17 @@ def units_for(languages: int) -> int:
 
 
 def train(
-    samples: list[tuple[str, bytes]], units: int | None = None, epochs: int = 8, batch: int = 128, rate: float = 0.02, seed: int = 0
+    samples: list[tuple[str, bytes]], units: int | None = None, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.02, seed: int = 0
 ) -> Network | None:
     """A network from windows of bytes and their language; None without samples.
 
-    Without ``units`` there are ``units_for`` as many as there are languages.
+    Without ``units`` there are ``units_for`` as many as there are languages. Samples are passed over
+    ``epochs`` times, and as often as makes ``LEAST_STEPS`` steps, so that a small table is learned too.
     """
     samples = [(language, data) for language, data in samples if data]
     if not samples:
         return None
+    epochs = max(epochs, math.ceil(LEAST_STEPS / -(-len(samples) // batch)))
     languages = sorted({language for language, _ in samples})
     units = units or units_for(len(languages))
     network = Network.start(languages, units, seed)
@@ -273,7 +278,8 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
 
     ``score`` is the mean probability of the predicted language over all bytes. No shuffle; the network
     of a few thousand numbers goes to the tasks. A null text or one without a letter is ``und`` with
-    score 0, and so is every text if nothing was learned. Repeated rows are predicted each; an empty
+    score 0, and so is every text if nothing was learned. A very long text is read whole, some spans at a time; of
+    equally likely languages the first by name counts. Repeated rows are predicted each; an empty
     table gives no rows. Other columns are ignored.
     """
 
@@ -286,7 +292,7 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text", _lettered().alias("lettered")).mapInArrow(
-        predicted, f"doc_id {kind}, lang_pred string, score double"
+        tidied(predicted), f"doc_id {kind}, lang_pred string, score double"
     )
 
 
@@ -315,4 +321,4 @@ def in_languages(docs: DataFrame, network: Network | None, least: float | None =
         return docs
     least = least_score(len(network.languages)) if least is None else least
     # the added column is taken by its place, so no name can clash with it
-    return docs.select("*", _lettered()).mapInArrow(kept, docs.schema)
+    return docs.select("*", _lettered()).mapInArrow(tidied(kept), docs.schema)

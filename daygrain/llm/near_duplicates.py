@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from daygrain.llm.byte_hash import U64, lower_ascii, mix, salt, shingles, text_parts, words
 from daygrain.llm.components import components
 from daygrain.llm.tables import written
+from daygrain.llm.word_table import tidied
 
 #: Bands and bins of each: a pair of similarity 0.8 shares no band with a chance of 3 in a million.
 BANDS, ROWS = 24, 4
@@ -96,7 +97,7 @@ def sketched(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str =
                 )
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(
-        run, "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, bands array<long>"
+        tidied(run), "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, bands array<long>"
     )
 
 
@@ -115,7 +116,7 @@ def _sets(docs: DataFrame, size: int, text_col: str) -> DataFrame:
                     [batch.column(0).slice(first, rows), pa.array(sets, pa.binary())], ["node", "shingles"]
                 )
 
-    return docs.select("node", text_col).mapInArrow(run, "node long, shingles binary")
+    return docs.select("node", text_col).mapInArrow(tidied(run), "node long, shingles binary")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -140,7 +141,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
         .join(one, "a")
         .join(two, "b")
         .select("a", "b", "one", "two")
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(tidied(run), "a long, b long")
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.tables import written
-from daygrain.llm.word_table import for_worker
+from daygrain.llm.word_table import for_worker, tidied
 
 #: Open windows of a partition.
 OPEN = 16
@@ -277,7 +277,7 @@ def pack_documents(
 
     pieces = written(
         docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(
-            run,
+            tidied(run),
             f"doc_id {kind}, start long, length long, {content}, doc_tokens long, window long, offset long, open boolean",
         ),
         "pieces",

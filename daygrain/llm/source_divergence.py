@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrain.llm.tables import written
+from daygrain.llm.word_table import tidied
 
 #: A term: letters A to Z in lower case and every character beyond ASCII.
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -236,7 +237,7 @@ def source_divergence(
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"))),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    parts = taken.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    parts = taken.mapInArrow(tidied(_counted), "lang string, source string, term string, n long, docs long")
     # tasks have added up their own already: another sum before the shuffle would find little to add
     parts = parts.repartition("lang", "source", "term")
     counted = written(parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counted")

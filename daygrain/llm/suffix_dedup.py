@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from daygrain.llm.byte_hash import _BASE, _INVERSE, AT_ONCE, BYTES, U64, mix, powers, text_parts
 from daygrain.llm.tables import tasks_for, text_bytes, written
+from daygrain.llm.word_table import tidied
 
 #: Bytes of the anchors of the levels before the last one.
 ANCHORS = (48, 88)
@@ -369,8 +370,8 @@ def repeated_spans(
     """
     anchors = [min(a, length - 1) for a in anchors]
     buckets = _buckets(text_bytes(docs), per_bucket or ROWS_PER_BUCKET // 2)
-    runs = docs.mapInArrow(_first_runs(length, anchors[0]), _RUN)
-    level = written(runs.repartitionByRange(buckets, *_ORDER).mapInArrow(_compared, _OPEN), "runs")
+    runs = docs.mapInArrow(tidied(_first_runs(length, anchors[0])), _RUN)
+    level = written(runs.repartitionByRange(buckets, *_ORDER).mapInArrow(tidied(_compared), _OPEN), "runs")
     spans = [level.filter("settled").select("doc", "place", "n")]
     wanted = (
         level.filter("not settled")
@@ -379,21 +380,21 @@ def repeated_spans(
         .agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     )
     met = docs.join(wanted.hint("shuffle_hash"), ["doc", "check"]).select("doc", "check", "text", "runs")
-    opened = met.mapInArrow(_contents(length), "doc long, place long, bytes binary")
+    opened = met.mapInArrow(tidied(_contents(length)), "doc long, place long, bytes binary")
     for anchor in anchors[1:]:
         rows = _open_suffixes(level) // max(1, (length - anchor + 1) // 2) + 1
         buckets = _buckets(rows * 2 * length, per_bucket or ROWS_PER_BUCKET)
-        runs = opened.mapInArrow(_inner_runs(length, anchor), f"{_RUN}, bytes binary")
+        runs = opened.mapInArrow(tidied(_inner_runs(length, anchor)), f"{_RUN}, bytes binary")
         level = written(
-            runs.repartitionByRange(buckets, *_ORDER).mapInArrow(_compared, f"{_OPEN}, bytes binary"), "inner-runs"
+            runs.repartitionByRange(buckets, *_ORDER).mapInArrow(tidied(_compared), f"{_OPEN}, bytes binary"), "inner-runs"
         )
         spans.append(level.filter("settled").select("doc", "place", "n"))
         opened = level.filter("not settled").select("doc", "place", "bytes")
-    suffixes = opened.mapInArrow(_suffixes(length), "bytes binary, doc long, place long")
+    suffixes = opened.mapInArrow(tidied(_suffixes(length)), "bytes binary, doc long, place long")
     buckets = _buckets(_open_suffixes(level) * (length + 36), per_bucket or ROWS_PER_BUCKET)
     last = written(
         suffixes.repartitionByRange(buckets, "bytes", "doc", "place").mapInArrow(
-            _last_level(length), "doc long, place long, edge int, bytes binary"
+            tidied(_last_level(length)), "doc long, place long, edge int, bytes binary"
         ),
         "suffixes",
     )
@@ -462,7 +463,7 @@ def remove_repeated(
     return (
         rows.join(spans.hint("shuffle_hash"), ["doc", "check"], "left")
         .select("id", "text", "spans", *["rest"] * bool(carry))
-        .mapInArrow(_removed(length, with_text), schema)
+        .mapInArrow(tidied(_removed(length, with_text)), schema)
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.tables import written
-from daygrain.llm.word_table import release
+from daygrain.llm.word_table import release, tidied
 
 #: Digits and signs used in place of letters.
 DIGITS = dict(zip("01345789@", "oieastbga", strict=True))
@@ -246,7 +246,7 @@ def _counted(kind: str, of: Callable[[str], Iterable[str]]):
 def _by_class(sample: DataFrame, kind: str, of: Callable[[str], Iterable[str]]) -> DataFrame:
     """``kind, t, c``: toxic and clean texts that have each."""
     run, schema = _counted(kind, of)
-    found = sample.select("text", "label").mapInArrow(run, schema)
+    found = sample.select("text", "label").mapInArrow(tidied(run), schema)
     of_class = [F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(name) for k, name in ((1, "t"), (0, "c"))]
     return found.groupBy(kind).agg(*of_class)
 
@@ -418,7 +418,7 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
-        scored, f"doc_id {kind}, score double, predicted int, weight double"
+        tidied(scored), f"doc_id {kind}, score double, predicted int, weight double"
     )
 
 
@@ -435,4 +435,4 @@ def harmless(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataF
         for batch in batches:
             yield batch.filter(pa.array(score_of(batch.column(at))[0] < threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(tidied(kept), docs.schema)

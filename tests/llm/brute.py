@@ -96,3 +96,30 @@ def near_groups(texts: dict, size: int, threshold: int) -> dict:
 
 def sha256(text) -> str:
     return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+def plain_sketch(text, words=5, scale=16):
+    """Hashes of runs of words below the threshold; a run is hashed word by word, each with the hash before as seed."""
+    import xxhash
+
+    parts = [w for w in re.split("[ \t\n\x0b\f\r]+", (text or "").lower()) if w]
+    found = set()
+    for i in range(max(1, len(parts) - words + 1) if parts else 0):
+        h = 42
+        for w in parts[i : i + words]:
+            h = xxhash.xxh64(w.encode(), seed=h).intdigest()
+        h = h - (1 << 64) if h >> 63 else h
+        if h < -(1 << 63) + (1 << 64) // scale:
+            found.add(h)
+    return sorted(found)
+
+
+def plain_print(sketch):
+    import base64
+
+    return base64.b64encode(b"".join((h & 0xFFFFFFFF).to_bytes(4) for h in sketch)).decode()
+
+
+def plain_near(one, two, same):
+    union = len(set(one) | set(two))
+    return len(set(one) & set(two)) / union if union else float(same)

@@ -148,35 +148,6 @@ def test_hilbert_curve_visits_neighbours():
     assert (np.abs(np.diff(path, axis=1)).sum(axis=0) == 1).all()
 
 
-def plain_sketch(text, words=fingerprints.WORDS, scale=fingerprints.SCALE):
-    """Hashes of runs of words below the threshold; a run is hashed word by word, each with the hash before as seed."""
-    import re
-
-    import xxhash
-
-    parts = [w for w in re.split("[ \t\n\x0b\f\r]+", (text or "").lower()) if w]
-    found = set()
-    for i in range(max(1, len(parts) - words + 1) if parts else 0):
-        h = 42
-        for w in parts[i : i + words]:
-            h = xxhash.xxh64(w.encode(), seed=h).intdigest()
-        h = h - (1 << 64) if h >> 63 else h
-        if h < -(1 << 63) + (1 << 64) // scale:
-            found.add(h)
-    return sorted(found)
-
-
-def plain_print(sketch):
-    import base64
-
-    return base64.b64encode(b"".join((h & 0xFFFFFFFF).to_bytes(4) for h in sketch)).decode()
-
-
-def plain_near(one, two, same):
-    union = len(set(one) | set(two))
-    return len(set(one) & set(two)) / union if union else float(same)
-
-
 @pytest.mark.parametrize("few", [False, True])
 def test_fingerprints_of_edited_texts(docs, texts, few, monkeypatch):
     if few:  # buckets of few rows, empty ones among them, in runs of two
@@ -190,14 +161,14 @@ def test_fingerprints_of_edited_texts(docs, texts, few, monkeypatch):
         text, new = texts[i] or "", texts[after] or ""
         half = len(text) // 2
         edited = text[: len(text) - half] + new[:half]
-        r, one, two, three = rows[i], plain_sketch(text), plain_sketch(edited), plain_sketch(new)
+        r, one, two, three = rows[i], brute.plain_sketch(text), brute.plain_sketch(edited), brute.plain_sketch(new)
         assert r.n_chars == len(text) and r.edited_sha256 == brute.sha256(edited)
-        assert (r.fingerprint, r.edited_fingerprint) == (plain_print(one), plain_print(two))
-        assert r.near_edited == pytest.approx(plain_near(one, two, text == edited))
-        assert r.near_next == pytest.approx(plain_near(one, three, text == new))
+        assert (r.fingerprint, r.edited_fingerprint) == (brute.plain_print(one), brute.plain_print(two))
+        assert r.near_edited == pytest.approx(brute.plain_near(one, two, text == edited))
+        assert r.near_next == pytest.approx(brute.plain_near(one, three, text == new))
         assert r.contained_edited == (pytest.approx(len(set(one) & set(two)) / len(one)) if one else None)
     long = max(texts, key=lambda i: len(texts[i] or ""))
-    assert 120 < len(plain_sketch(texts[long])) < 260  # a sixteenth of 2996 shingles
+    assert 120 < len(brute.plain_sketch(texts[long])) < 260  # a sixteenth of 2996 shingles
     assert len(rows[long].fingerprint) < 0.1 * len(texts[long])
 
 
@@ -230,13 +201,13 @@ def test_sketches_merge_in_any_order_and_tell_containment(spark):
     df = spark.createDataFrame([(0, p) for p in parts] + [(1, "")], "g int, text string").repartition(4)
     df = df.withColumn("sketch", fingerprints.sketch(F.col("text")))
     got = {r.g: r.sketch for r in fingerprints.merge_sketches(df, ["g"]).collect()}
-    assert got == {0: plain_sketch(" ".join(whole)), 1: []}
+    assert got == {0: brute.plain_sketch(" ".join(whole)), 1: []}
     two = spark.createDataFrame([(" ".join(short), " ".join(whole), parts[0], parts[1])], "a string, b string, c string, d string")
     a, b, c, d = (fingerprints.sketch(F.col(x)) for x in "abcd")
     row = two.select(fingerprints.containment(a, b).alias("inside"), fingerprints.containment(b, a).alias("share"),
                      fingerprints.merged(c, d).alias("cd"), fingerprints.merged(d, c).alias("dc"), fingerprints.likeness(a, b).alias("near")).first()
     assert row.inside == 1.0 and row.share == pytest.approx(1 / 6, abs=0.05) and row.near == pytest.approx(1 / 6, abs=0.05)
-    assert row.cd == row.dc == sorted(set(plain_sketch(parts[0])) | set(plain_sketch(parts[1])))
+    assert row.cd == row.dc == sorted(set(brute.plain_sketch(parts[0])) | set(brute.plain_sketch(parts[1])))
 
 
 def test_sentencepiece_codes_equal_the_library(odd, empty, texts):
