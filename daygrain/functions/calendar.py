@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.fixed_values import (
@@ -26,6 +26,11 @@ def day_of(ts: Column | str) -> Column:
     return F.try_to_date(_col(ts))
 
 
+def day_in(df: DataFrame, ts: str) -> Column:
+    """:func:`day_of` a column of a frame; dates and timestamps need no check of a text."""
+    return day_of(ts) if dict(df.dtypes).get(ts, "string") == "string" else F.to_date(ts)
+
+
 def parse_date(text: Column | str, pattern: str) -> Column:
     """Text to date; text that does not fit the pattern becomes null."""
     return F.try_to_date(_col(text), pattern)

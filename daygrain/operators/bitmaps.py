@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.functions.calendar import day_of
+from daygrain.functions.calendar import day_in
 from daygrain.functions.text import tokens
 from daygrain.operators.domains import day_spine
 
@@ -33,7 +33,7 @@ def day_bitmaps(
     kept = df.filter(F.col(ts).isNotNull() & F.col(text).isNotNull())
     if where is not None:
         kept = kept.filter(where)
-    hits = kept.select(F.explode(tokens(text, sep)).alias(code), _number(day_of(ts)).alias("number"))
+    hits = kept.select(F.explode(tokens(text, sep)).alias(code), _number(day_in(df, ts)).alias("number"))
     return (
         hits.filter((F.col(code) != "") & F.col("number").isNotNull())
         .groupBy(code, F.bitmap_bucket_number("number").alias("bucket"))

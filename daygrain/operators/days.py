@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.fixed_values import OTHERS
-from daygrain.functions.calendar import day_of
+from daygrain.functions.calendar import day_in
 from daygrain.functions.flags import flag_from_code
 
 
@@ -24,7 +24,7 @@ def _by_day(df: DataFrame, ts: str, where: Column | None, day: str):
     kept = df.filter(F.col(ts).isNotNull())
     if where is not None:
         kept = kept.filter(where)
-    return kept.groupBy(day_of(ts).alias(day))
+    return kept.groupBy(day_in(df, ts).alias(day))
 
 
 def daily_min_max_avg(

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.functions.calendar import day_of, days_between
+from daygrain.functions.calendar import day_in, days_between
 from daygrain.functions.text import tokens
 
 
@@ -57,7 +57,7 @@ def code_day_grid(
         kept = kept.filter(where)
     hits = kept.select(
         F.explode(tokens(text, None)).alias("code"),
-        day_of(ts).alias("date"),
+        day_in(df, ts).alias("date"),
         F.lit(1).alias("present"),
     ).filter(F.col("code") != "")
     empty = day_spine(df.sparkSession, first, last).select(
