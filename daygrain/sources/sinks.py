@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.session import scratch_folder
@@ -69,8 +69,13 @@ def scratch_copy(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield read_table(spark, write_table(df, path))
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing lazy needs any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_to_all(df: DataFrame, paths: Sequence[str], fmt: str = "csv", **options) -> list[str]:
