@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.tables import written
+from daygrain.llm.tables import forget, written
 
 
-def _rooted(parents: DataFrame) -> DataFrame:
-    """``v, p`` with p the root of v's tree: every row jumps to its parent's parent until none moves."""
+def _rooted(parents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``v, p`` with p the root of v's tree, and the copy it is read from.
+
+    Every row jumps to its parent's parent until none moves.
+    """
+    before = parents
     while True:
         up = parents.select(F.col("v").alias("p"), F.col("p").alias("up"))
         jumped = written(
@@ -18,9 +22,10 @@ def _rooted(parents: DataFrame) -> DataFrame:
             ),
             "parents",
         )
-        parents = jumped.select("v", "p")
+        forget(before)
+        parents, before = jumped.select("v", "p"), jumped
         if jumped.filter("moved").isEmpty():
-            return parents
+            return parents, before
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,7 +46,8 @@ def components(links: DataFrame) -> DataFrame:
         parents = written(
             both.groupBy(F.col("a").alias("v")).agg(F.min(F.least("a", "b")).alias("p")), "parents"
         )
-        roots = _rooted(parents)
+        roots, copy = _rooted(parents)
+        old = labels
         if labels is None:
             labels = roots.select(F.col("v").alias("node"), F.col("p").alias("component_id"))
         else:
@@ -54,7 +60,9 @@ def components(links: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             root = roots.select(F.col("v").alias(end), F.col("p").alias("root"))
             ends = ends.join(root, end).drop(end).withColumnRenamed("root", end)
+        left = links
         links = written(ends.filter("a <> b").distinct(), "links")
+        forget(left, copy, old)
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component_id"))
     return labels

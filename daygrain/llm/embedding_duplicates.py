@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from daygrain.llm.byte_hash import U64, mix
 from daygrain.llm.components import components
-from daygrain.llm.tables import written
+from daygrain.llm.tables import forget, written
 
 #: Distinct vectors that the rotations are learned on.
 SAMPLE = 4096
@@ -316,8 +316,9 @@ def embedding_duplicates(
         .filter("members > 1 and not no_own")
         .select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
+    live = written(live, "buckets")
     blocks = (
-        places.join(written(live, "buckets"), "bucket")
+        places.join(live, "bucket")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("first", F.least("block", "other"))
@@ -329,6 +330,7 @@ def embedding_duplicates(
     close = written(_grouped(blocks).mapInArrow(_candidates, schema), "close")
     with_vectors = close.join(nodes.select("node", "vector", "copies"), "node")
     found = written(_grouped(with_vectors).mapInArrow(_links(cosine), "a long, b long, links long"), "links")
+    forget(places, live, close)
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = written(
         nodes.select(*key, "node", "least", "copies")

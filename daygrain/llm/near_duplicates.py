@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from daygrain.llm.byte_hash import U64, lower_ascii, mix, salt, shingles, text_parts, words
 from daygrain.llm.components import components
-from daygrain.llm.tables import written
+from daygrain.llm.tables import forget, written
 from daygrain.llm.word_table import tidied
 
 #: Bands and bins of each: a pair of similarity 0.8 shares no band with a chance of 3 in a million.
@@ -246,7 +246,8 @@ def near_duplicates(
         .filter("members > 1")
         .select("band", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"))
     )
-    shared = written(bands.join(written(pivots, "pivots"), "band"), "buckets")
+    pivots = written(pivots, "pivots")
+    shared = written(bands.join(pivots, "band"), "buckets")
     stars = (
         shared.filter((F.col("node") != F.col("pivot")) & _fits(F.col("n"), F.col("pivot_n"), threshold))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -268,8 +269,9 @@ def near_duplicates(
         .filter("low <> high and members > 2")
         .select("band", "pivot")
     )
+    mixed = written(mixed, "mixed")
     inside = written(
-        labelled.join(written(mixed, "mixed"), "band").select("pivot", "node", "component").distinct(), "mixed"
+        labelled.join(mixed, "band").select("pivot", "node", "component").distinct(), "mixed"
     )
     clusters = components(inside.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
     members = written(
@@ -282,8 +284,9 @@ def near_duplicates(
     cuts = members.groupBy("cluster").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("shingles")) / BLOCK_BYTES)).cast("int").alias("blocks")
     )
+    cuts = written(cuts, "cuts")
     apart = (
-        members.join(written(cuts, "cuts"), "cluster")
+        members.join(cuts, "cluster")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("first", F.least("block", "with"))
@@ -291,7 +294,9 @@ def near_duplicates(
         .drop("blocks", "with")
     )
     more = apart.groupBy("cluster", "first", "second").applyInPandas(_across(threshold), "a long, b long")
-    final = components(written(links.unionByName(more), "links"))
+    all_links = written(links.unionByName(more), "links")
+    final = components(all_links)
+    forget(pivots, shared, sets, links, joined, labelled, mixed, inside, clusters, members, cuts, all_links)
 
     # documents of a set stand under its node; sets of one id stand together
     kin = nodes.filter("copies > 1").select("set_a", "set_b", "node")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import daygrain
+from daygrain.session import scratch_folder
 from daygrain.sources import sinks
 
 #: Bytes of text that one task is dealt where an operator chooses the number of its partitions.
@@ -54,10 +55,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, "false")
     conf.set(key, "true")
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
     try:
-        return sinks.written(df, name)
+        sinks.write_table(df, path)
     finally:
         conf.set(key, before)
+    copy = spark.read.parquet(path)
+    copy.scratch = path
+    return copy
+
+
+def forget(*copies: DataFrame | None) -> None:
+    """Remove the files of copies that :func:`written` made and that nothing lazy needs any more."""
+    for copy in copies:
+        path = getattr(copy, "scratch", None)
+        if path is not None:
+            sinks.remove_folder(copy.sparkSession, path)
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
@@ -70,4 +84,4 @@ def tasks_for(size: int, per_task: int = TEXT_PER_TASK, least: int = 12) -> int:
     return max(least, -(-size // per_task))
 
 
-__all__ = ["TEXT_PER_TASK", "ship", "table", "tasks_for", "text_bytes", "written"]
+__all__ = ["TEXT_PER_TASK", "forget", "ship", "table", "tasks_for", "text_bytes", "written"]
