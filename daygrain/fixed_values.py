@@ -1,8 +1,9 @@
 """Names, codes, patterns and orders that decide the results.
 
 They come from the public data sets (NOAA local climatological data, NYC motor
-vehicle collisions, MTA daily ridership) and must be exactly these values for
-the results to be right.
+vehicle collisions, MTA daily ridership), and some are the labels of the published
+results (classes of collisions, parties, names of measures). They must be exactly these
+values for the results to be right.
 """
 
 from __future__ import annotations
