@@ -28,11 +28,11 @@ from daygrain.llm.word_table import for_worker, tidied
 #: Open windows of a partition.
 OPEN = 16
 #: Rows of pieces that a task hands over together.
-ROWS = 1024
+ROWS = 256
 #: Partitions whose leftover windows are merged together, so a merge sees OPEN * MERGED windows at most.
 MERGED = 16
 #: Distinct words a worker remembers, those of a generation, and texts looked at together.
-WORDS, KEPT, TEXTS = 500_000, 250_000, 512
+WORDS, KEPT, TEXTS = 400_000, 200_000, 256
 #: Letters that neither composing nor lower case makes more than one letter of, and signs behind them.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
@@ -53,7 +53,7 @@ class WordIds:
 
         self.library = Tokenizer.from_file(tokenizer_file)
         for whole, parts in ((" a \n b ", ["a", "b"]), ("Ab.", ["ab", "."]), ("ab,(", ["ab", ",("])):
-            if self._ids([whole])[0] != b"".join(self._ids(parts)):
+            if b"".join(self._ids([whole])) != b"".join(self._ids(parts)):
                 raise ValueError("this tokenizer does not part words as the table does")
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -61,14 +61,16 @@ class WordIds:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+    def _ids(self, texts: list[str], at_once: int = 2048) -> Iterator[bytes]:
+        """Ids of each text; the library holds much more than these for the texts it is given at once."""
+        for first in range(0, len(texts), at_once):
+            for c in self.library.encode_batch_fast(texts[first : first + at_once], add_special_tokens=False):
+                yield np.array(c.ids, "<u4").tobytes()
 
     def _letters(self, words: list[str], together: int = 256) -> Iterator[bytes]:
         """Ids of words of letters."""
         groups = [words[i : i + together] for i in range(0, len(words), together)]
-        for group, data in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
+        for group, data in zip(groups, self._ids([" ".join(g) for g in groups], 16), strict=True):
             cuts = 4 * (np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1)
             if len(cuts) != len(group):
                 yield from self._ids(group)

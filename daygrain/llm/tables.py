@@ -47,20 +47,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: While a copy is written: shuffle files go when nothing needs them, and Python gets rows in small batches.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows read back from a copy in the shared scratch folder; frees the shuffle files behind it.
 
-    What follows needs the copy alone, so Spark may drop the shuffle files when the write ends.
+    What follows needs the copy alone, so Spark may drop the shuffle files when the write ends. Batches of whole
+    texts are kept small, in the executor and in its Python workers.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, "false")
-    conf.set(key, "true")
     spark = df.sparkSession
     path = scratch_folder(spark, name)
+    before = {key: spark.conf.get(key, None) for key in _WRITING}
+    for key, value in _WRITING.items():
+        spark.conf.set(key, value)
     try:
         sinks.write_table(df, path)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     copy = spark.read.parquet(path)
     copy.scratch = path
     return copy
