@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,15 +173,16 @@ def _across(threshold: int):
     All pairs of different components are tested by sizes, and what those allow by full sets.
     """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        first, second = int(group["first"].iloc[0]), int(group["second"].iloc[0])
-        one, two = group[group["block"] == first], group[group["block"] == second]
+    def run(group: pa.Table) -> pa.Table:
+        block = group.column("block").to_numpy()
+        one, two = (group.filter(pa.array(block == group.column(c)[0].as_py())) for c in ("first", "second"))
         found: list[tuple[int, int]] = []
         if len(one) and len(two):
-            sets = [[np.frombuffer(s, U64) for s in part["shingles"]] for part in (one, two)]
+            sets = [[np.frombuffer(s.as_buffer(), U64) for s in part.column("shingles")] for part in (one, two)]
             common = _common(*sets)
-            n, m = one["n"].to_numpy(), two["n"].to_numpy()
-            kin, other = one["component"].to_numpy(), two["component"].to_numpy()
+            n, m = (part.column("n").to_numpy() for part in (one, two))
+            kin, other = (part.column("component").to_numpy() for part in (one, two))
+            nodes, others = (part.column("node").to_numpy() for part in (one, two))
             root = {int(c): int(c) for c in np.r_[kin, other]}
 
             def find(c: int) -> int:
@@ -200,8 +200,9 @@ def _across(threshold: int):
                     p, q = find(int(kin[i])), find(int(other[j]))
                     if p != q:
                         root[p] = q
-                        found.append((int(one["node"].iloc[i]), int(two["node"].iloc[j])))
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+                        found.append((int(nodes[i]), int(others[j])))
+        columns = zip(*found, strict=True) if found else [[]] * 2
+        return pa.table([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b"])
 
     return run
 
@@ -293,7 +294,7 @@ def near_duplicates(
         .withColumn("second", F.greatest("block", "with"))
         .drop("blocks", "with")
     )
-    more = apart.groupBy("cluster", "first", "second").applyInPandas(_across(threshold), "a long, b long")
+    more = apart.groupBy("cluster", "first", "second").applyInArrow(_across(threshold), "a long, b long")
     all_links = written(links.unionByName(more), "links")
     final = components(all_links)
     forget(pivots, shared, sets, links, joined, labelled, mixed, inside, clusters, members, cuts, all_links)

@@ -16,7 +16,6 @@ from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -227,7 +226,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], ids_of, end_id: int, size: int, m
 def _merge(size: int, most_open: int):
     """Pack leftover windows as wholes, the fullest first."""
 
-    def merged(group: pd.DataFrame) -> pd.DataFrame:
+    def merged(group: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int]] = []
 
         def emit(_, windows: list, __) -> None:
@@ -235,10 +234,12 @@ def _merge(size: int, most_open: int):
             out.extend((window, target, shift) for shift, window in windows)
 
         packed = Windows(size, most_open, emit)
-        for fill, window in sorted(zip(-group["fill"], group["window"], strict=True)):
-            packed.place(int(-fill), int(window))
+        fills, windows = (group.column(c).to_pylist() for c in ("fill", "window"))
+        for fill, window in sorted((-f, w) for f, w in zip(fills, windows, strict=True)):
+            packed.place(-fill, window)
         packed.finish()
-        return pd.DataFrame(out, columns=["window", "target", "shift"]).astype("int64")
+        columns = zip(*out, strict=True) if out else [[]] * 3
+        return pa.table([pa.array(list(c), pa.int64()) for c in columns], names=["window", "target", "shift"])
 
     return merged
 
@@ -288,7 +289,7 @@ def pack_documents(
     left = pieces.filter("open")
     fills = left.groupBy("window").agg(F.sum("length").alias("fill"))
     near = F.floor(F.shiftright("window", 32) / merged_partitions)
-    moves = fills.groupBy(near.alias("near")).applyInPandas(
+    moves = fills.groupBy(near.alias("near")).applyInArrow(
         _merge(size, most_open * merged_partitions), "window long, target long, shift long"
     )
     closed = pieces.filter("not open").select(*columns, F.col("window").alias("sequence_id"), "offset")

@@ -12,10 +12,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from daygrain.llm.tables import tasks_for, written
 
@@ -58,12 +57,15 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _curve(bits: int):
-    @F.pandas_udf(T.LongType())
-    def index(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for axes in parts:
-            yield pd.Series(hilbert_index(np.stack([a.to_numpy(np.int64) for a in axes]), bits))
+    """Rows of (doc_id, size, text_crc32, axes …) with the index of the axes in their place."""
 
-    return index
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            axes = np.stack([batch.column(k).to_numpy() for k in range(3, batch.num_columns)])
+            columns = [*batch.columns[:3], pa.array(hilbert_index(axes, bits))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "text_crc32", "curve"])
+
+    return run
 
 
 def _ranked(value: Column, bounds: list) -> Column:
@@ -133,9 +135,9 @@ def hilbert_shards(
     quantiles = rows.agg(F.percentile_approx("size", shares, 10_000)).first()[0]
     axes.append(_ranked(F.col("size"), sorted(set(quantiles or []))))
     axes = [a.cast("long") for a in axes]
-    curved = rows.withColumn("curve", _curve(bits)(*axes)).select(
-        "doc_id", "size", "text_crc32", "curve"
-    )
+    kind = dict(rows.dtypes)["doc_id"]
+    points = rows.select("doc_id", "size", "text_crc32", *[a.alias(f"axis_{i}") for i, a in enumerate(axes)])
+    curved = points.mapInArrow(_curve(bits), f"doc_id {kind}, size long, text_crc32 long, curve long")
     key = ["curve", "text_crc32", "size", "doc_id"]
     parts = tasks_for(total, ROWS_PER_TASK)
     placed = written(
