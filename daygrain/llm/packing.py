@@ -31,7 +31,7 @@ ROWS = 256
 #: Partitions whose leftover windows are merged together, so a merge sees OPEN * MERGED windows at most.
 MERGED = 16
 #: Distinct words a worker remembers, those of a generation, and texts looked at together.
-WORDS, KEPT, TEXTS = 400_000, 200_000, 256
+WORDS, KEPT, TEXTS = 400_000, 200_000, 1024
 #: Letters that neither composing nor lower case makes more than one letter of, and signs behind them.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
