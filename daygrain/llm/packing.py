@@ -9,7 +9,6 @@ its neighbours.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -30,10 +29,23 @@ OPEN = 16
 ROWS = 256
 #: Partitions whose leftover windows are merged together, so a merge sees OPEN * MERGED windows at most.
 MERGED = 16
-#: Distinct words a worker remembers, those of a generation, and texts looked at together.
+#: Words, letters and signs a worker remembers, those that stay when these are too many, and texts looked at together.
 WORDS, KEPT, TEXTS = 400_000, 200_000, 1024
+#: Bytes of a string that may stay; a text without blanks is one long word.
+LONGEST = 64
 #: Letters that neither composing nor lower case makes more than one letter of, and signs behind them.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+_PLAIN = f"^(?P<letters>{_LETTERS})(?P<signs>[!-&(-/:-@\\[-`{{-~]*)$"
+
+
+def _gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``size`` numbers from each ``start``, one after another, and where each begins and the last ends."""
+    # a batch has fewer than 2**31 tokens
+    ends = np.zeros(len(size) + 1, np.int32)
+    np.cumsum(size, out=ends[1:])
+    at = np.repeat(start - ends[:-1], size)
+    at += np.arange(len(at), dtype=np.int32)
+    return data[at], ends
 
 
 class WordIds:
@@ -42,8 +54,9 @@ class WordIds:
     For tokenizers that drop white space and whose tokens never cross it, the ids of a text are those
     of its words in order. Such a tokenizer also parts letters from the signs behind them and puts them in
     lower case, so a word is put together from bare letters and signs, and letters are tokenized many at a
-    time, since their last token tells where a word ends. Words are kept in two generations: the older is
-    forgotten when the recent one is full, so memory is bounded and what is in use stays.
+    time, since their last token tells where a word ends. What is known is held in four arrays: the strings, where
+    their ids start, how many these are, and when a string was last asked for. Those not asked for longest are
+    forgotten when the arrays are full, so memory is bounded and what is in use stays.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -52,74 +65,76 @@ class WordIds:
 
         self.library = Tokenizer.from_file(tokenizer_file)
         for whole, parts in ((" a \n b ", ["a", "b"]), ("Ab.", ["ab", "."]), ("ab,(", ["ab", ",("])):
-            if b"".join(self._ids([whole])) != b"".join(self._ids(parts)):
+            if self._ids([whole])[0].tolist() != self._ids(parts)[0].tolist():
                 raise ValueError("this tokenizer does not part words as the table does")
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.strings = pa.array([], pa.large_string())
+        self.start, self.size, self.asked = (np.zeros(0, np.int32) for _ in range(3))
+        self.data, self.now = np.zeros(0, "<u4"), 0
 
-    def _ids(self, texts: list[str], at_once: int = 2048) -> Iterator[bytes]:
-        """Ids of each text; the library holds much more than these for the texts it is given at once."""
+    def _ids(self, texts: list[str], at_once: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and their number in each; the library holds much more than these for the texts it is given at once."""
+        found = [np.zeros(0, "<u4")]
         for first in range(0, len(texts), at_once):
-            for c in self.library.encode_batch_fast(texts[first : first + at_once], add_special_tokens=False):
-                yield np.array(c.ids, "<u4").tobytes()
+            coded = self.library.encode_batch_fast(texts[first : first + at_once], add_special_tokens=False)
+            found.extend(np.array(c.ids, "<u4") for c in coded)
+        return np.concatenate(found), np.fromiter(map(len, found[1:]), np.int32, len(texts))
 
-    def _letters(self, words: list[str], together: int = 256) -> Iterator[bytes]:
-        """Ids of words of letters."""
+    def _letters(self, words: list[str], together: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters and their number in each."""
         groups = [words[i : i + together] for i in range(0, len(words), together)]
-        for group, data in zip(groups, self._ids([" ".join(g) for g in groups], 16), strict=True):
-            cuts = 4 * (np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1)
-            if len(cuts) != len(group):
-                yield from self._ids(group)
-                continue
-            first = 0
-            for cut in cuts.tolist():
-                yield data[first:cut]
-                first = cut
-
-    def _learn(self, words: list[str]) -> None:
-        """Find the ids of words that are in neither generation."""
-        table, older = self.recent, self.older
-        bare: dict[str, None] = {}
-        whole: dict[str, None] = {}
-        built = []
-        for word in words:
-            plain = _PLAIN.fullmatch(word)
-            if plain is None:
-                whole[word] = None
-                continue
-            letters, signs = plain.groups()
-            letters = letters.lower()
-            built.append((word, letters, signs))
-            if letters not in table and letters not in older:
-                bare[letters] = None
-            if signs and signs not in table and signs not in older:
-                whole[signs] = None
-        table.update(zip(whole, self._ids(list(whole)), strict=True))
-        table.update(zip(bare, self._letters(list(bare)), strict=True))
-        for word, letters, signs in built:
-            ids = table.get(letters) or older[letters]
-            table[word] = ids + (table.get(signs) or older[signs]) if signs else ids
-
-    def _of(self, words: list[str]) -> list[bytes]:
-        table, older = self.recent, self.older
-        found = list(map(table.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        for i in missing:
-            word = words[i]
-            if word in older:
-                found[i] = table[word] = older[word]
-        missing = [i for i in missing if found[i] is None]
-        self._learn([words[i] for i in missing])
-        for i in missing:
-            found[i] = table[words[i]]
-        if len(table) > KEPT:
-            self.older, self.recent = table, {}
-        elif len(table) + len(older) > WORDS:
-            self.older = {}
-        return found
+        data, sizes = self._ids([" ".join(g) for g in groups], 16)
+        cuts = np.flatnonzero(self.ends[data]) + 1
+        each = np.diff(np.searchsorted(cuts, np.cumsum(sizes), "right"), prepend=0)
+        if each.tolist() != list(map(len, groups)):
+            return self._ids(words)
+        return data, np.diff(cuts, prepend=0).astype(np.int32)
+
+    def _learn(self, strings: pa.Array) -> None:
+        """Put strings that are not known, and their ids, behind those that are."""
+        bare = pc.match_substring_regex(strings, f"^{_LETTERS}$")
+        for new, ids_of in ((strings.filter(bare), self._letters), (strings.filter(pc.invert(bare)), self._ids)):
+            data, size = ids_of(new.to_pylist())
+            self.strings = pa.concat_arrays([self.strings, new])
+            self.start = np.concatenate([self.start, len(self.data) + np.cumsum(size, dtype=np.int32) - size])
+            self.size = np.concatenate([self.size, size])
+            self.asked = np.concatenate([self.asked, np.full(len(new), self.now, np.int32)])
+            self.data = np.concatenate([self.data, data])
+
+    def _forget(self) -> None:
+        """Keep the strings asked for last, but no long ones."""
+        short = np.flatnonzero(pc.binary_length(self.strings).to_numpy() <= LONGEST)
+        kept = np.sort(short[np.argsort(-self.asked[short], kind="stable")[:KEPT]])
+        self.strings = self.strings.take(pa.array(kept))
+        self.size, self.asked = self.size[kept], self.asked[kept]
+        self.data, ends = _gathered(self.data, self.start[kept], self.size)
+        self.start = ends[:-1]
+
+    def _of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and where those of each begin and the last end."""
+        plain = pc.extract_regex(words, _PLAIN)
+        # by Arrow's lower case, which is the tokenizer's for these letters
+        letters = pc.coalesce(pc.utf8_lower(pc.struct_field(plain, [0])), words)
+        signs = pc.fill_null(pc.struct_field(plain, [1]), "")
+        parts = pa.concat_arrays([letters, signs]).dictionary_encode()
+        if len(self.strings) + len(parts.dictionary) > WORDS or self.strings.nbytes > LONGEST * WORDS:
+            self._forget()
+        self.now += 1
+        at = pc.index_in(parts.dictionary, value_set=self.strings)
+        unknown = pc.is_null(at)
+        place = pc.fill_null(at, 0).to_numpy().copy()
+        known = pc.invert(unknown).to_numpy(zero_copy_only=False)
+        self.asked[place[known]] = self.now
+        new = parts.dictionary.filter(unknown)
+        if len(new):
+            before = len(self.strings)
+            self._learn(new)
+            place[~known] = before + pc.index_in(new, value_set=self.strings.slice(before)).to_numpy()
+        which = place[parts.indices.to_numpy().reshape(2, -1).T.ravel()]
+        data, ends = _gathered(self.data, self.start[which], self.size[which])
+        return data, ends[::2]
 
     def __call__(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
         column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string())
@@ -127,19 +142,15 @@ class WordIds:
         for first in range(0, len(column), TEXTS):
             rows = pc.split_pattern(pc.replace_substring(column.slice(first, TEXTS), "\n", " "), " ")
             words = rows.flatten().dictionary_encode()
-            ids = self._of(words.dictionary.to_pylist())
-            # a batch has fewer than 2**31 tokens
-            size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-            data, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size, dtype=np.int32) - size
+            ids, ends = self._of(words.dictionary)
             which = words.indices.to_numpy()
-            sizes = size[which]
-            ends = np.zeros(len(which) + 1, np.int32)
-            np.cumsum(sizes, out=ends[1:])
-            at = np.repeat(start[which] - ends[:-1], sizes)
-            at += np.arange(len(at), dtype=np.int32)
-            flat = data[at].tobytes()
+            flat, ends = _gathered(ids, ends[which], np.diff(ends)[which])
+            flat = flat.tobytes()
             bounds = rows.offsets.to_numpy() - rows.offsets[0].as_py()
             bounds = (4 * ends[bounds].astype(np.int64)).tolist()
+            del rows, words, which
+            # the pool would keep several times what is in use
+            pa.default_memory_pool().release_unused()
             for low, high in pairwise(bounds):
                 yield flat[low:high]
 

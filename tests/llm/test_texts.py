@@ -302,6 +302,45 @@ def test_codes_of_random_texts_equal_the_library():
         assert codec(text) == (len(ids), ",".join(map(str, ids)), codec.library.decode(ids)), repr(text)
 
 
+def test_known_words_take_few_bytes_and_no_call_each():
+    import cProfile
+    import itertools
+    import pstats
+    import tracemalloc
+
+    import pyarrow as pa
+
+    distinct = list(map("".join, itertools.product("bdfglmnprt", "aeiou", "bdfglmnprt", "aeiou", "st")))
+    text = pa.array([" ".join(distinct), " ".join(w.title() + "." for w in distinct)], pa.large_string())
+    words = packing.WordIds(WORDS)
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    seen, calls = [], cProfile.Profile()
+    calls.enable()
+    seen += map(zlib.crc32, words(text))
+    calls.disable()
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 100 * len(distinct)
+    assert pstats.Stats(calls).total_calls < len(distinct)
+    library = words.library.encode_batch(text.to_pylist(), add_special_tokens=False)
+    assert seen == [zlib.crc32(np.array(one.ids, "<u4").tobytes()) for one in library]
+
+
+def test_forgotten_words_are_learned_again(monkeypatch):
+    words = packing.WordIds(WORDS)
+    monkeypatch.setattr(packing, "WORDS", 40)
+    monkeypatch.setattr(packing, "KEPT", 20)
+    monkeypatch.setattr(packing, "TEXTS", 2)
+    texts = _random_texts(400)
+    coded = words.library.encode_batch(texts, add_special_tokens=False)
+    assert list(words(texts)) == [np.array(one.ids, "<u4").tobytes() for one in coded]
+    assert len(words.strings) <= 40
+    long = ["中" * n for n in range(2000, 2100)]
+    assert len({ids for ids in words(long)}) == 100
+    assert words.strings.nbytes < 3 * 2100 * 4
+
+
 def test_full_tables_start_anew(monkeypatch):
     words = packing.WordIds(WORDS)
     monkeypatch.setattr(packing, "WORDS", 5)
