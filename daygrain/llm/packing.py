@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.llm.tables import written
-from daygrain.llm.word_table import for_worker, tidied
+from daygrain.llm.word_table import for_worker, give_back, tidied
 
 #: Open windows of a partition.
 OPEN = 16
@@ -73,6 +73,8 @@ class WordIds:
         self.strings = pa.array([], pa.large_string())
         self.start, self.size, self.asked = (np.zeros(0, np.int32) for _ in range(3))
         self.data, self.now = np.zeros(0, "<u4"), 0
+        del vocabulary
+        give_back()
 
     def _ids(self, texts: list[str], at_once: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and their number in each; the library holds much more than these for the texts it is given at once."""
@@ -149,8 +151,8 @@ class WordIds:
             bounds = rows.offsets.to_numpy() - rows.offsets[0].as_py()
             bounds = (4 * ends[bounds].astype(np.int64)).tolist()
             del rows, words, which
-            # the pool would keep several times what is in use
-            pa.default_memory_pool().release_unused()
+            # the allocators would keep several times what is in use
+            give_back()
             for low, high in pairwise(bounds):
                 yield flat[low:high]
 

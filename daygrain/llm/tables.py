@@ -47,10 +47,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: While a copy is written: shuffle files go when nothing needs them, and Python gets rows in small batches.
+#: While a copy is written: shuffle files go when nothing needs them, and rows are read and given to Python in small batches.
 _WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.parquet.columnarReaderBatchSize": "1024",
 }
 
 

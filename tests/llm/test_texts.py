@@ -254,6 +254,16 @@ def test_packed_pieces_hold_every_id_once(odd, empty, documents):
     assert packing.pack_documents(empty, WORDS).count() == 0
 
 
+def test_copies_are_read_in_small_batches(spark, monkeypatch):
+    from daygrain.llm import tables
+
+    key, seen, write = "spark.sql.parquet.columnarReaderBatchSize", [], tables.sinks.write_table
+    monkeypatch.setattr(tables.sinks, "write_table", lambda *a: (seen.append(int(spark.conf.get(key))), write(*a)))
+    before = spark.conf.get(key)
+    assert tables.written(spark.range(5), "small").count() == 5
+    assert seen == [1024] and spark.conf.get(key) == before
+
+
 def test_counts_equal_a_unigram_tokenizer(odd, empty, texts):
     from tokenizers import Tokenizer
     from tokenizers.models import Unigram
