@@ -242,25 +242,48 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contents(length: int):
-    """Open runs with their bytes, from (doc, check, text, runs of that text)."""
+    """Open runs with their bytes, those of several texts together, from (doc, check, text, runs of that text)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, checks = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             spans = batch.column(3)
+            held, size_held = [], 0
             for row in range(batch.num_rows):
                 data = np.frombuffer(batch.column(2)[row].as_buffer(), np.uint8)
                 start, n = (spans[row].values.field(k).to_numpy() for k in (0, 1))
                 for first in range(0, len(start), 4096):
                     at, size = start[first : first + 4096].astype(np.int64), n[first : first + 4096].astype(np.int64)
-                    yield _record(
-                        "doc long, place long, bytes binary",
-                        [np.full(len(at), docs[row]), (checks[row] << 32) | at, _strings(data, at, size + length - 1)],
-                    )
+                    found = _strings(data, at, size + length - 1)
+                    held.append((np.full(len(at), docs[row]), (checks[row] << 32) | at, found))
+                    size_held += found.nbytes
+                    if size_held >= AT_ONCE:
+                        yield _joined(held)
+                        held, size_held = [], 0
+            if held:
+                yield _joined(held)
 
     return cut
 
 
+def _joined(held: list[tuple]) -> pa.RecordBatch:
+    docs, places, found = zip(*held, strict=True)
+    return _record("doc long, place long, bytes binary", [np.concatenate(docs), np.concatenate(places), pa.concat_arrays(found)])
+
+
+def _as_given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return batches
+
+
+def _chained(first, then):
+    """Both functions of batches in one Python worker; two ``mapInArrow`` in a row take two for each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from then(first(batches))
+
+    return run
+
+
 def _suffixes(length: int):
     """Each suffix of open runs with its bytes, from (doc, place, bytes)."""
 
@@ -379,18 +402,18 @@ def repeated_spans(
         .groupBy("doc", "check")
         .agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     )
-    met = docs.join(wanted.hint("shuffle_hash"), ["doc", "check"]).select("doc", "check", "text", "runs")
-    opened = met.mapInArrow(tidied(_contents(length)), "doc long, place long, bytes binary")
+    opened = docs.join(wanted.hint("shuffle_hash"), ["doc", "check"]).select("doc", "check", "text", "runs")
+    contents = _contents(length)
     for anchor in anchors[1:]:
         rows = _open_suffixes(level) // max(1, (length - anchor + 1) // 2) + 1
         buckets = _buckets(rows * 2 * length, per_bucket or ROWS_PER_BUCKET)
-        runs = opened.mapInArrow(tidied(_inner_runs(length, anchor)), f"{_RUN}, bytes binary")
+        runs = opened.mapInArrow(tidied(_chained(contents, _inner_runs(length, anchor))), f"{_RUN}, bytes binary")
         level = written(
             runs.repartitionByRange(buckets, *_ORDER).mapInArrow(tidied(_compared), f"{_OPEN}, bytes binary"), "inner-runs"
         )
         spans.append(level.filter("settled").select("doc", "place", "n"))
-        opened = level.filter("not settled").select("doc", "place", "bytes")
-    suffixes = opened.mapInArrow(tidied(_suffixes(length)), "bytes binary, doc long, place long")
+        opened, contents = level.filter("not settled").select("doc", "place", "bytes"), _as_given
+    suffixes = opened.mapInArrow(tidied(_chained(contents, _suffixes(length))), "bytes binary, doc long, place long")
     buckets = _buckets(_open_suffixes(level) * (length + 36), per_bucket or ROWS_PER_BUCKET)
     last = written(
         suffixes.repartitionByRange(buckets, "bytes", "doc", "place").mapInArrow(

@@ -8,8 +8,10 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import daygrain
 from daygrain.session import scratch_folder
@@ -47,6 +49,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver as a table.
+
+    They go to Spark in Arrow's form. Of a list it makes an RDD that Python workers hand on, others than those of
+    ``mapInArrow``, which then stay in the executors' memory beside these.
+    """
+    kinds = StructType.fromDDL(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kinds])
+    columns = [pa.array(list(c)) for c in zip(*rows, strict=True)]
+    return spark.createDataFrame(pa.table(columns, names=kinds.names), kinds)
+
+
 #: While a copy is written: shuffle files go when nothing needs them, and rows are read and given to Python in small batches.
 _WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
@@ -94,4 +109,4 @@ def tasks_for(size: int, per_task: int = TEXT_PER_TASK, least: int = 12) -> int:
     return max(least, -(-size // per_task))
 
 
-__all__ = ["TEXT_PER_TASK", "forget", "ship", "table", "tasks_for", "text_bytes", "written"]
+__all__ = ["TEXT_PER_TASK", "forget", "ship", "small_table", "table", "tasks_for", "text_bytes", "written"]

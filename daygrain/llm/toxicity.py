@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.llm.tables import written
+from daygrain.llm.tables import small_table, written
 from daygrain.llm.word_table import release, tidied
 
 #: Digits and signs used in place of letters.
@@ -274,14 +274,14 @@ def learn_from(sample: DataFrame) -> Lexicon:
             )
 
     kind = dict(sample.dtypes)["doc_id"]
-    rows = sample.select("doc_id", "text", "label").mapInArrow(keys, f"doc_id {kind}, label int, keys array<long>")
+    rows = sample.select("doc_id", "text", "label").mapInArrow(tidied(keys), f"doc_id {kind}, label int, keys array<long>")
     seen: set = set()
     taken = [r for r in sorted(rows.collect(), key=lambda r: r.doc_id) if _first(r["keys"], seen)]
     n1 = sum(r.label for r in taken)
     n0 = len(taken) - n1
     if not n1 or not n0:
         return Lexicon()
-    ids = spark.createDataFrame([(r.doc_id,) for r in taken], f"doc_id {kind}")
+    ids = small_table(spark, [(r.doc_id,) for r in taken], f"doc_id {kind}")
     sample = written(sample.join(F.broadcast(ids), "doc_id"), "labelled")  # TOXIC_DOCS + CLEAN_DOCS rows at most
     counts = written(_by_class(sample, "entry", lambda f: _entries(set(f.split()))), "entries")
     words = counts.filter(F.col("entry").endswith(" ") & (F.col("t") + F.col("c") > 1)).count()
@@ -302,7 +302,7 @@ def learn_from(sample: DataFrame) -> Lexicon:
                 [*(pa.array([v[k] for v in x], pa.float64()) for k in (0, 1)), batch.column(1)], ["one", "two", "label"]
             )
 
-    fit = sample.select("text", "label").mapInArrow(measured, "one double, two double, label int")
+    fit = sample.select("text", "label").mapInArrow(tidied(measured), "one double, two double, label int")
     fit = np.array(sorted(map(tuple, fit.collect())))
     lexicon.logistic = _logistic(fit[:, :2], fit[:, 2])
     return lexicon
@@ -358,7 +358,7 @@ def chosen_texts(
         for r in known.filter(F.col("label") == value).orderBy(*order).limit(most).collect()
     ]
     kind = dict(labels.dtypes)["doc_id"]
-    ids = docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, label int, digest long")
+    ids = small_table(docs.sparkSession, chosen, f"doc_id {kind}, label int, digest long")
     return (
         with_text.withColumn("digest", digest)
         .join(F.broadcast(ids), ["doc_id", "digest"])  # TOXIC_DOCS + CLEAN_DOCS rows at most

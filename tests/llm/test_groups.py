@@ -5,6 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 
@@ -250,6 +251,21 @@ def test_learning_on_executors_equals_learning_on_the_driver(spark):
     assert toxicity.learn_from(sample.limit(0)) == toxicity.Lexicon() == toxicity.learn_from(sample.filter("label = 1"))
 
 
+def test_learning_makes_no_rdd_of_a_list(spark, monkeypatch):
+    """Of a list Spark makes an RDD with Python workers of its own, which stay beside the others."""
+    rows = [(i, t, label) for i, (t, label) in enumerate(_labelled(300))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int").cache()
+    texts = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")).cache()
+    want = toxicity.learn([(t, label) for _, t, label in rows])
+    assert docs.count() == texts.count()
+    monkeypatch.setattr(spark.sparkContext, "parallelize", None)
+    for table in (docs, texts):  # ids of either kind
+        sample = toxicity.chosen_texts(table, table.withColumnRenamed("label", "toxic"))
+        assert dict(sample.dtypes)["doc_id"] == dict(table.dtypes)["doc_id"]
+        assert set(toxicity.learn_from(sample).weights) == set(want.weights) != set()
+    assert toxicity.chosen_texts(docs, docs.withColumnRenamed("label", "toxic").limit(0)).count() == 0
+
+
 def test_a_text_of_many_terms_and_phrases_is_weighed_in_linear_time():
     import random
     import time

@@ -73,6 +73,34 @@ def test_suffix_dedup_of_an_anchor_with_thousands_of_contexts(spark):
     assert removed(frame, per_bucket=60_000) == plain_removed(texts)
 
 
+def test_suffix_dedup_takes_one_python_worker_a_task(docs, monkeypatch):
+    import re
+
+    seen, write = [], suffix_dedup.written
+    monkeypatch.setattr(
+        suffix_dedup, "written", lambda df, name: (seen.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, name))[1]
+    )
+    for anchors in ((48, 88), (24,)):
+        last = suffix_dedup.remove_repeated(docs, anchors=anchors)
+        for plan in [*seen, last._jdf.queryExecution().optimizedPlan().toString()]:
+            # from the last step down to the table: what lies between two functions in Python is a shuffle
+            steps = re.findall("MapInArrow|RepartitionByExpression|Join|Relation", plan)
+            assert ("MapInArrow", "MapInArrow") not in zip(steps, steps[1:], strict=False)
+    assert len(seen) == 7
+
+
+def test_open_runs_of_many_texts_travel_together(spark):
+    import pyarrow as pa
+
+    runs = pa.array([[{"start": 0, "n": 2}, {"start": 5, "n": 1}]] * 50, pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())])))
+    texts = [f"{k:03d} " + "abcdefghij" * 12 for k in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50), pa.int64()), pa.array([7] * 50, pa.int64()), pa.array(texts), runs], ["doc", "check", "text", "runs"])
+    out = list(suffix_dedup._contents(100)(iter([batch, batch.slice(0, 0)])))
+    assert len(out) == 1
+    want = [(k, 7 << 32 | at, texts[k].encode()[at : at + n + 99]) for k in range(50) for at, n in ((0, 2), (5, 1))]
+    assert list(zip(*(c.to_pylist() for c in out[0].columns), strict=True)) == want
+
+
 def test_suffix_dedup_of_few_long_documents(spark):
     """Texts beyond what is handled at once, with shared passages across the cuts."""
     draw = np.random.default_rng(8)
